@@ -15,6 +15,7 @@ from lakecart.contracts import contract
 from lakecart.functions.jsonfmt import parse_payload
 from lakecart.functions.quality import error_list, is_late_expr, required_null_errors
 from lakecart.functions.time import as_timestamp_literal, parse_event_time
+from lakecart.operators.rows import keep_where
 from lakecart.sources.bus import ENVELOPE_COLUMNS
 
 QUALITY_COLUMNS = ["_dq_errors", "_dq_is_valid", "_dq_checked_at", "_dq_is_late"]
@@ -50,11 +51,14 @@ def silver_frame(envelope_df: DataFrame, topic: str, now: datetime | str | Colum
 
 
 def valid_rows(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("_dq_is_valid"))
+    """Valid rows (F1).  See `keep_where` for why this is not a plain filter."""
+    return keep_where(df, "_dq_is_valid")
 
 
 def quarantine_rows(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col("_dq_is_valid"))
+    """Invalid rows (F2): the exact complement, since the flag is never null."""
+    return keep_where(df.withColumn("_dq_is_invalid", ~F.col("_dq_is_valid")), "_dq_is_invalid") \
+        .drop("_dq_is_invalid")
 
 
 def dedupe_events(df: DataFrame, topic: str, tie_break: list[str] | None = None) -> DataFrame:

@@ -10,8 +10,9 @@ Kinds come from `schema_of_variant` on the parsed payload:
 string ← STRING; int ← integral, BOOLEAN, or DECIMAL(p,0) with p ≥ 19 (an
 integer literal beyond 64 bits; shorter DECIMAL(p,0) is a literal like `1.0`);
 float ← the int kinds plus any DECIMAL, DOUBLE, FLOAT.  JSON null (VOID) and an
-absent field are `field:null`.  A payload that is not one JSON object (malformed,
-truncated, duplicate keys, an array, null) gets the single error `payload:not_an_object`.
+absent field are `field:null`.  A repeated key keeps its last value, as the
+publishing side's JSON decoder does.  A payload that is not one JSON object
+(malformed, truncated, an array, null) gets the single error `payload:not_an_object`.
 """
 
 from __future__ import annotations
@@ -20,22 +21,39 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakecart.contracts import contract
 from lakecart.functions.quality import error_list, is_late_expr
+from lakecart.operators.rows import keep_where
 from lakecart.functions.time import DATE_PREFIX, parse_event_time
 from lakecart.sinks.writers import publish_frame
 
 _INTEGRAL = ["TINYINT", "SMALLINT", "INT", "BIGINT", "BOOLEAN"]
 _NOT_OBJECT = "payload:not_an_object"
+_CORRUPT = "_corrupt_payload"
 
 
-def _variant(payload: Column) -> Column:
-    return F.try_parse_json(payload)
+def _with_kinds(df: DataFrame, topic: str, payload: str) -> DataFrame:
+    """Parse the payload once; record the JSON kind of each checked field as a column.
+
+    `from_json` with VARIANT-typed fields is one streaming parse per row and keeps
+    each value's own JSON kind; malformed text lands in the corrupt-record field.
+    """
+    c = contract(topic)
+    names = list(dict.fromkeys([*c.required_names, c.event_time]))
+    schema = T.StructType([T.StructField(n, T.VariantType()) for n in names] +
+                          [T.StructField(_CORRUPT, T.StringType())])
+    j = F.from_json(F.col(payload), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    kinds = [F.schema_of_variant(F.col(f"_j.{n}")).alias(f"_k_{n}") for n in names]
+    is_object = F.col("_j").isNotNull() & F.col(f"_j.{_CORRUPT}").isNull()
+    return (df.withColumn("_j", j)
+            .select("*", is_object.alias("_obj_"), *kinds,
+                    F.try_variant_get(F.col(f"_j.{c.event_time}"), "$", "string").alias("_t_")))
 
 
-def _kind_of(v: Column, field: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
+def _drop_kinds(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c in ("_j", "_t_", "_obj_") or c.startswith("_k_")])
 
 
 def _is_big_int(kind: Column) -> Column:
@@ -52,51 +70,55 @@ def _kind_ok(kind: Column, expected: str) -> Column:
     return is_int | kind.startswith("DECIMAL(") | kind.isin("DOUBLE", "FLOAT")
 
 
-def _time_text_error(v: Column, field: str) -> Column:
+def _time_text(topic: str) -> Column:
+    """The event time when it is JSON text, else null."""
+    c = contract(topic)
+    return F.when(F.col(f"_k_{c.event_time}") == "STRING", F.col("_t_"))
+
+
+def _time_text_error(topic: str) -> Column:
     """A non-empty text time that does not parse; other kinds are reported by the type check."""
-    kind = _kind_of(v, field)
-    text = F.try_variant_get(v, f"$.{field}", "string")
-    bad = (kind == "STRING") & (text != "") & (~text.rlike(DATE_PREFIX) | parse_event_time(text).isNull())
-    return F.when(bad, F.lit(f"{field}:invalid_timestamp"))
+    c = contract(topic)
+    text = _time_text(topic)
+    bad = (text != "") & (~text.rlike(DATE_PREFIX) | parse_event_time(text).isNull())
+    return F.when(bad, F.lit(f"{c.event_time}:invalid_timestamp"))
 
 
-def strict_error_list(topic: str, payload: Column | str = "payload") -> Column:
-    """Ordered errors: per required field `field:null` / `field:expected_<kind>`, then the time check."""
+def _strict_errors(topic: str) -> Column:
     c = contract(topic)
-    p = F.col(payload) if isinstance(payload, str) else payload
-    v = _variant(p)
     parts = []
     for name, expected in c.required:
-        kind = _kind_of(v, name)
+        kind = F.col(f"_k_{name}")
         parts.append(F.when(kind.isNull() | (kind == "VOID"), F.lit(f"{name}:null"))
                      .when(~_kind_ok(kind, expected), F.lit(f"{name}:expected_{expected}")))
-    parts.append(_time_text_error(v, c.event_time))
-    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT<"), F.lit(False))
-    return F.when(is_object, error_list(parts)).otherwise(F.array(F.lit(_NOT_OBJECT)))
+    parts.append(_time_text_error(topic))
+    return F.when(F.col("_obj_"), error_list(parts)).otherwise(F.array(F.lit(_NOT_OBJECT)))
 
 
 def check_events(df: DataFrame, topic: str, payload: str = "payload") -> DataFrame:
-    """Adds `_strict_errors` and `_strict_is_valid` (D3 + D4)."""
-    return (df.withColumn("_strict_errors", strict_error_list(topic, payload))
-            .withColumn("_strict_is_valid", F.size("_strict_errors") == 0))
+    """Adds `_strict_errors` (ordered; per required field `field:null` / `field:expected_<kind>`,
+    then the time check) and `_strict_is_valid` (D3 + D4)."""
+    out = (_with_kinds(df, topic, payload)
+           .withColumn("_strict_errors", _strict_errors(topic))
+           .withColumn("_strict_is_valid", F.size("_strict_errors") == 0))
+    return _drop_kinds(out)
 
 
 def timestamp_errors(df: DataFrame, topic: str, payload: str = "payload") -> DataFrame:
-    """The event-time check alone (D4, D5): `_time_error` and the parsed UTC time."""
-    c = contract(topic)
-    v = _variant(F.col(payload))
-    text = F.when(_kind_of(v, c.event_time) == "STRING", F.try_variant_get(v, f"$.{c.event_time}", "string"))
-    return (df.withColumn("_event_time", parse_event_time(text))
-            .withColumn("_time_error", _time_text_error(v, c.event_time)))
+    """The event-time check alone (D4, D5): `_time_error` and the parsed UTC time `_event_time`."""
+    out = (_with_kinds(df, topic, payload)
+           .withColumn("_event_time", parse_event_time(_time_text(topic)))
+           .withColumn("_time_error", _time_text_error(topic)))
+    return _drop_kinds(out)
 
 
 def late_by_payload(df: DataFrame, topic: str, now: datetime | str | Column | None = None,
                     payload: str = "payload") -> DataFrame:
     """`_is_late` from the payload's own event time against `now`, strict (D6).  Unparsable → null."""
     c = contract(topic)
-    v = _variant(F.col(payload))
-    text = F.when(_kind_of(v, c.event_time) == "STRING", F.try_variant_get(v, f"$.{c.event_time}", "string"))
-    return df.withColumn("_is_late", is_late_expr(parse_event_time(text), c.lateness_minutes, now))
+    out = _with_kinds(df, topic, payload).withColumn(
+        "_is_late", is_late_expr(parse_event_time(_time_text(topic)), c.lateness_minutes, now))
+    return _drop_kinds(out)
 
 
 def publish_gate(envelope_df: DataFrame, topic: str, num_partitions: int | None = None,
@@ -104,7 +126,7 @@ def publish_gate(envelope_df: DataFrame, topic: str, num_partitions: int | None
     """Drop events failing the strict checks; key the rest by the primary-key fingerprint and
     re-serialise them as sorted-key JSON (D8 → K5).  Returns bus records."""
     c = contract(topic)
-    checked = check_events(envelope_df, topic, payload).filter(F.col("_strict_is_valid"))
+    checked = keep_where(check_events(envelope_df, topic, payload), "_strict_is_valid")
     fields = (checked.select(F.from_json(F.col(payload), c.schema).alias("_e"), "kafka_timestamp")
               .select("_e.*", "kafka_timestamp"))
     return publish_frame(fields, topic, list(c.primary_key), c.field_names, num_partitions=num_partitions,

@@ -20,6 +20,7 @@ SESSION_DEFAULTS = {
 # Only settable before the JVM starts.
 _STATIC_DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
