@@ -270,3 +270,76 @@ def publish_gate(spark, sf_dir):
     return portable(records.select(F.col("key").cast("string").alias("kafka_key"), "topic",
                                    value["event_id"].alias("event_id"),
                                    F.col("timestamp").alias("kafka_timestamp")))
+
+
+# ---- streaming: publish fixture records to a file bus, drain the topic's queries, read the sinks --------
+
+def _drain_topic(spark, sf_dir, topic: str):
+    from lakecart.session import run_dir
+    from lakecart.sinks.layout import Layout
+    from lakecart.sinks.writers import publish_to_files
+    from lakecart.streaming.topic_streams import StreamSettings, await_queries, start_topic, topic_source
+
+    fx = _fx(spark, sf_dir)
+    base = run_dir(spark, f"stream-{topic}")
+    records = fx["click_records"] if topic == "clickstream" else testviews.order_records(fx["orders"], corrupt=False)
+    publish_to_files(records, f"{base}/bus/{topic}")
+    layout = Layout.under(base)
+    settings = StreamSettings(layout=layout, available_now=True, now=LATE_NOW,
+                              catalog=fx["catalog"] if topic == "orders" else None)
+    src = topic_source(spark, topic, "files", f"{base}/bus", ingested_at=LATE_NOW)
+    await_queries(spark, start_topic(src, topic, settings), drain=True)
+    return layout
+
+
+@query
+def stream_bronze(spark, sf_dir):
+    lay = _drain_topic(spark, sf_dir, "clickstream")
+    return portable(spark.read.parquet(lay.table("bronze", "clickstream")).drop("_ingested_at"))
+
+
+@query
+def stream_silver_clickstream(spark, sf_dir):
+    """Dedupe keys only: which copy of a duplicate survives a streaming dedupe is arbitrary."""
+    lay = _drain_topic(spark, sf_dir, "clickstream")
+    return portable(spark.read.parquet(lay.table("silver", "clickstream"))
+                    .select("session_id", "event_type", "event_ts"))
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    lay = _drain_topic(spark, sf_dir, "clickstream")
+    return portable(spark.read.parquet(lay.table("quarantine", "clickstream"))
+                    .select("kafka_offset", "event_ts", "_dq_errors"))
+
+
+@query
+def stream_gold_increment(spark, sf_dir):
+    """Group keys and distinct orders: independent of which duplicate the dedupe kept."""
+    lay = _drain_topic(spark, sf_dir, "orders")
+    return (spark.read.parquet(lay.table("gold", "revenue_daily_incremental"))
+            .select(F.col("_batch_id").cast("bigint").alias("_batch_id"), "order_date", "product_id",
+                    "product_name", "category", "channel", "orders"))
+
+
+@query
+def layer_health(spark, sf_dir):
+    """Health of a lakehouse drained from the fixture streams (rows-only check: paths and times vary)."""
+    from lakecart.operators.health import layer_health as health
+    from lakecart.sinks.layout import Layout
+    from lakecart.streaming.topic_streams import StreamSettings, await_queries, start_topic, topic_source
+    from lakecart.session import run_dir
+    from lakecart.sinks.writers import publish_to_files
+
+    fx = _fx(spark, sf_dir)
+    base = run_dir(spark, "health")
+    publish_to_files(fx["click_records"], f"{base}/bus/clickstream")
+    publish_to_files(testviews.order_records(fx["orders"]), f"{base}/bus/orders")
+    layout = Layout.under(base)
+    settings = StreamSettings(layout=layout, available_now=True, now=LATE_NOW, catalog=fx["catalog"])
+    queries = []
+    for topic in ("clickstream", "orders"):
+        queries += start_topic(topic_source(spark, topic, "files", f"{base}/bus", ingested_at=LATE_NOW),
+                               topic, settings)
+    await_queries(spark, queries, drain=True)
+    return health(spark, layout).drop("latest_modified")

@@ -278,4 +278,20 @@ ORACLES: dict[str, str] = {
       SELECT sha256('{"event_id": "' || kafka_key || '"}') AS kafka_key, 'orders' AS topic,
              kafka_key AS event_id, event_ts AS kafka_timestamp
       FROM strict WHERE _strict_errors = ''""",
+
+    "stream_bronze": CLICK_CTE + """
+      SELECT 'S' || CAST(e.user_id AS VARCHAR) AS kafka_key, p.payload, 'clickstream' AS kafka_topic,
+             p.kafka_partition, p.kafka_offset, e.ts AS kafka_timestamp, 'clickstream' AS topic
+      FROM parsed p JOIN ev e ON e.event_id = p.kafka_offset""",
+
+    "stream_silver_clickstream": CLICK_CTE + """
+      SELECT DISTINCT session_id, event_type, event_ts FROM checked WHERE _dq_errors = ''""",
+
+    "stream_quarantine": CLICK_CTE + " SELECT kafka_offset, event_ts, _dq_errors FROM checked WHERE _dq_errors <> ''",
+
+    # one micro-batch (batch 0) holds the whole drained file bus
+    "stream_gold_increment": ORDERS_CTE + """
+      SELECT CAST(0 AS BIGINT) AS _batch_id, order_date, product_id, product_name, category, channel,
+             count(DISTINCT order_id) AS orders
+      FROM fact GROUP BY ALL""",
 }
