@@ -343,3 +343,33 @@ def layer_health(spark, sf_dir):
                                topic, settings)
     await_queries(spark, queries, drain=True)
     return health(spark, layout).drop("latest_modified")
+
+
+# ---- SQL models over fixture silver views ---------------------------------------------
+
+def _register_silver_views(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    _enriched(fx).withColumn("_dq_is_valid", F.lit(True)).createOrReplaceTempView("orders_silver")
+    fx["inventory"].withColumn("_dq_is_valid", F.lit(True)).createOrReplaceTempView("inventory_silver")
+
+
+@query
+def sql_revenue_daily(spark, sf_dir):
+    from lakecart.plans.sql_models import build_models
+    _register_silver_views(spark, sf_dir)
+    return build_models(spark, only=["stg_orders", "revenue_daily"])["revenue_daily"]
+
+
+@query
+def sql_inventory_risk(spark, sf_dir):
+    from lakecart.plans.sql_models import build_models
+    _register_silver_views(spark, sf_dir)
+    return portable(build_models(spark, only=["inventory_risk"])["inventory_risk"])
+
+
+@query
+def sql_model_tests(spark, sf_dir):
+    from lakecart.plans.sql_models import build_models, test_models
+    _register_silver_views(spark, sf_dir)
+    build_models(spark)
+    return test_models(spark)

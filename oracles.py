@@ -153,6 +153,19 @@ strict AS (
 
 STRICT_CTE = "WITH " + ",".join([V_ORDERS, ORDER_STRICT])
 
+DATA_TESTS = ORDERS_CTE + "," + REVENUE_DAILY + "," + TOP_PRODUCTS + "," + V_INVENTORY + "," + LATEST_INV + """
+      SELECT 'orders_gold' AS model, 'order_id' AS column_name, 'not_null' AS test,
+             count(*) FILTER (WHERE order_id IS NULL) AS failures FROM fact
+      UNION ALL SELECT 'orders_gold', 'order_total', 'not_null', count(*) FILTER (WHERE order_total IS NULL) FROM fact
+      UNION ALL SELECT 'orders_gold', 'order_total', 'non_negative', count(*) FILTER (WHERE order_total < 0) FROM fact
+      UNION ALL SELECT 'revenue_daily', 'order_date', 'not_null', count(*) FILTER (WHERE order_date IS NULL) FROM revenue
+      UNION ALL SELECT 'revenue_daily', 'revenue', 'non_negative', count(*) FILTER (WHERE revenue < 0) FROM revenue
+      UNION ALL SELECT 'top_products', 'product_id', 'not_null', count(*) FILTER (WHERE product_id IS NULL) FROM top
+      UNION ALL SELECT 'top_products', 'revenue', 'non_negative', count(*) FILTER (WHERE revenue < 0) FROM top
+      UNION ALL SELECT 'inventory_risk', 'inventory_risk_level', 'accepted_values',
+             count(*) FILTER (WHERE inventory_risk_level IS NULL
+                              OR inventory_risk_level NOT IN ('stockout', 'reorder', 'healthy')) FROM latest"""
+
 ORACLES: dict[str, str] = {
     "catalog_scan": f"WITH {V_CATALOG} SELECT * FROM v_catalog",
 
@@ -242,19 +255,8 @@ ORACLES: dict[str, str] = {
       SELECT status, count(*) AS n_rows FROM fact
       WHERE status IS NULL OR status NOT IN ('F', 'O') GROUP BY status""",
 
-    "data_tests": ORDERS_CTE + "," + REVENUE_DAILY + "," + TOP_PRODUCTS + "," + V_INVENTORY + "," + LATEST_INV + """
-      SELECT 'orders_gold' AS model, 'order_id' AS column_name, 'not_null' AS test,
-             count(*) FILTER (WHERE order_id IS NULL) AS failures FROM fact
-      UNION ALL SELECT 'orders_gold', 'order_total', 'not_null', count(*) FILTER (WHERE order_total IS NULL) FROM fact
-      UNION ALL SELECT 'orders_gold', 'order_total', 'non_negative', count(*) FILTER (WHERE order_total < 0) FROM fact
-      UNION ALL SELECT 'revenue_daily', 'order_date', 'not_null', count(*) FILTER (WHERE order_date IS NULL) FROM revenue
-      UNION ALL SELECT 'revenue_daily', 'revenue', 'non_negative', count(*) FILTER (WHERE revenue < 0) FROM revenue
-      UNION ALL SELECT 'top_products', 'product_id', 'not_null', count(*) FILTER (WHERE product_id IS NULL) FROM top
-      UNION ALL SELECT 'top_products', 'revenue', 'non_negative', count(*) FILTER (WHERE revenue < 0) FROM top
-      UNION ALL SELECT 'inventory_risk', 'inventory_risk_level', 'accepted_values',
-             count(*) FILTER (WHERE inventory_risk_level IS NULL
-                              OR inventory_risk_level NOT IN ('stockout', 'reorder', 'healthy')) FROM latest""",
-
+    "data_tests": DATA_TESTS,
+    "sql_model_tests": DATA_TESTS,
     "strict_type_errors": STRICT_CTE + """
       SELECT kafka_key, _strict_errors, _strict_errors = '' AS _strict_is_valid FROM strict""",
 
@@ -294,4 +296,10 @@ ORACLES: dict[str, str] = {
       SELECT CAST(0 AS BIGINT) AS _batch_id, order_date, product_id, product_name, category, channel,
              count(DISTINCT order_id) AS orders
       FROM fact GROUP BY ALL""",
+
+    "sql_revenue_daily": ORDERS_CTE + "," + REVENUE_DAILY + " SELECT * FROM revenue",
+
+    "sql_inventory_risk": INV_CTE + """
+      SELECT product_id, sku, store_id, event_ts, on_hand, available_to_promise, reorder_point,
+             inventory_risk_level FROM latest""",
 }
