@@ -13,8 +13,25 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
 def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """True when `dim` has at most `max_rows` rows (reads at most max_rows + 1 of them).
+
+    The answer is remembered per session for the same plan over the same input
+    files; a dimension that gains files is checked again.
+    """
+    try:
+        key = (id(dim.sparkSession), dim.semanticHash(), tuple(sorted(dim.inputFiles())), max_rows)
+    except Exception:  # noqa: BLE001 - plans without file inputs are simply not memoised
+        key = None
+    if key is not None and key in _CHECKED:
+        return _CHECKED[key]
+    ok = dim.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _CHECKED[key] = ok
+    return ok
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",
