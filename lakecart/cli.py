@@ -37,7 +37,8 @@ def cmd_stream(args) -> int:
     topics = select_topics(args.topics)
     catalog = load_catalog(spark, args.catalog) if "orders" in topics else None
     settings = StreamSettings(layout=_layout(args), available_now=args.available_now,
-                              processing_time=args.processing_time, catalog=catalog)
+                              processing_time=args.processing_time, catalog=catalog,
+                              shared_scan=args.shared_scan)
     src = lambda t: topic_source(spark, t, args.source, args.location,
                                  starting_offsets=args.starting_offsets,
                                  max_files_per_trigger=args.max_files_per_trigger)
@@ -109,6 +110,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--processing-time", default=None, help="e.g. '30 seconds'")
     s.add_argument("--starting-offsets", default="earliest")
     s.add_argument("--max-files-per-trigger", type=int, default=None)
+    s.add_argument("--shared-scan", action="store_true",
+                   help="two queries per topic (bus read twice), tables partitioned by _batch_id")
     s.set_defaults(func=cmd_stream)
 
     r = sub.add_parser("refresh", help="rebuild gold from silver")

@@ -42,9 +42,9 @@ def _write_batch(bus_dir, batch, rows, mtime):
     os.utime(path, (mtime, mtime))
 
 
-def _run(spark, base, catalog):
+def _run(spark, base, catalog, shared=False):
     layout = Layout.under(base)
-    settings = StreamSettings(layout=layout, available_now=True, catalog=catalog,
+    settings = StreamSettings(layout=layout, available_now=True, catalog=catalog, shared_scan=shared,
                               now=datetime(2026, 5, 2, 21, 0, tzinfo=timezone.utc))
     src = topic_source(spark, "orders", "files", f"{base}/bus", max_files_per_trigger=1)
     queries = start_topic(src, "orders", settings)
@@ -103,3 +103,19 @@ def test_gold_batch_writer_is_idempotent(spark, catalog, tmp_path):
     inc = spark.read.parquet(layout.table("gold", "revenue_daily_incremental"))
     assert inc.filter("_batch_id = 7").count() == 2
     assert set(fact.columns) == set(gold.ORDER_FACT_COLUMNS) | {"_batch_id"}
+
+
+def test_shared_scan_mode_gives_the_same_tables(spark, catalog):
+    base = tempfile.mkdtemp(prefix="lakecart-shared-")
+    bus_dir = f"{base}/bus/orders"
+    t0 = 1_700_000_000
+    for b in (1, 2, 3, 4):
+        _write_batch(bus_dir, b, [(o, t) for bb, o, t in SCHEDULE if bb == b], t0 + b * 10)
+    layout, qs = _run(spark, base, catalog, shared=True)
+    assert len(qs) == 2
+    silver = sorted(r.order_id for r in spark.read.parquet(layout.table("silver", "orders")).collect())
+    assert silver == ["A", "L1", "x", "y"]
+    assert watermark_drops(qs[1]) == 4
+    assert spark.read.parquet(layout.table("bronze", "orders")).count() == len(SCHEDULE)
+    inc = spark.read.parquet(layout.table("gold", "orders_gold_incremental"))
+    assert sorted(r.order_id for r in inc.collect()) == ["A", "L1", "x", "y"]
