@@ -373,3 +373,40 @@ def sql_model_tests(spark, sf_dir):
     _register_silver_views(spark, sf_dir)
     build_models(spark)
     return test_models(spark)
+
+
+# ---- the other topics through the whole payload path ----------------------------------
+
+def _published_envelope(events: DataFrame, topic: str) -> DataFrame:
+    """Typed fixture events → bus records (canonical JSON, fingerprint key) → envelope."""
+    from lakecart.contracts import contract
+    from lakecart.functions.time import iso_utc_text
+    from lakecart.sinks.writers import publish_frame
+
+    c = contract(topic)
+    wire = events.select(*[iso_utc_text(n).alias(n) if n in ("event_ts", "ingestion_ts") else F.col(n)
+                           for n in c.field_names])
+    records = publish_frame(wire, topic, list(c.primary_key), c.field_names,
+                            partition=F.lit(0), offset=F.xxhash64("event_id"), timestamp=F.lit(LATE_NOW))
+    return bus.envelope(records, ingested_at=LATE_NOW)
+
+
+_PRICING_OUT = ["event_id", "event_type", "event_ts", "product_id", "sku", "old_price", "new_price", "currency",
+                "reason", "_dq_is_late"]
+_INVENTORY_OUT = ["event_id", "event_ts", "product_id", "store_id", "on_hand", "available_to_promise",
+                  "reorder_point", "change_quantity", "_dq_is_late"]
+
+
+@query
+def silver_pricing(spark, sf_dir):
+    env = _published_envelope(_fx(spark, sf_dir)["pricing"], "pricing")
+    sil = silver.dedupe_events(silver.valid_rows(silver.silver_frame(env, "pricing", now=PAYLOAD_LATE_NOW)), "pricing")
+    return portable(sil.select(*_PRICING_OUT))
+
+
+@query
+def silver_inventory(spark, sf_dir):
+    env = _published_envelope(_fx(spark, sf_dir)["inventory"], "inventory")
+    sil = silver.dedupe_events(silver.valid_rows(silver.silver_frame(env, "inventory", now=PAYLOAD_LATE_NOW)),
+                               "inventory")
+    return portable(sil.select(*_INVENTORY_OUT))

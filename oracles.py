@@ -77,6 +77,15 @@ v_inventory AS (
          'sale' AS reason
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
 
+V_PRICING = """
+v_pricing AS (
+  SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS event_id,
+         'price_change' AS event_type, l.l_shipdate AS event_ts,
+         CAST(l.l_partkey AS VARCHAR) AS product_id, 'SKU-' || CAST(l.l_partkey AS VARCHAR) AS sku,
+         p.p_retailprice AS old_price, l.l_extendedprice / l.l_quantity AS new_price,
+         'USD' AS currency, 'markdown' AS reason
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
+
 LATEST_INV = """
 latest AS (
   SELECT * EXCLUDE (rn),
@@ -302,4 +311,17 @@ ORACLES: dict[str, str] = {
     "sql_inventory_risk": INV_CTE + """
       SELECT product_id, sku, store_id, event_ts, on_hand, available_to_promise, reorder_point,
              inventory_risk_level FROM latest""",
+
+    "silver_pricing": "WITH " + V_PRICING + """
+      SELECT event_id, event_type, event_ts, product_id, sku, old_price, new_price, currency, reason,
+             event_ts < TIMESTAMP '1998-01-01 00:00:00' - INTERVAL 240 MINUTE AS _dq_is_late
+      FROM (SELECT *, row_number() OVER (PARTITION BY product_id, event_ts ORDER BY event_id) AS rn FROM v_pricing)
+      WHERE rn = 1""",
+
+    "silver_inventory": "WITH " + V_INVENTORY + """
+      SELECT event_id, event_ts, product_id, store_id, on_hand, available_to_promise, reorder_point,
+             change_quantity, event_ts < TIMESTAMP '1998-01-01 00:00:00' - INTERVAL 180 MINUTE AS _dq_is_late
+      FROM (SELECT *, row_number() OVER (PARTITION BY product_id, store_id, event_ts ORDER BY event_id) AS rn
+            FROM v_inventory)
+      WHERE rn = 1""",
 }
