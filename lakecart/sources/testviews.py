@@ -13,6 +13,8 @@ The mappings are fixture definitions, not pipeline logic.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +29,17 @@ TRUNCATE_CHARS = 15
 QTY_AS_TEXT_MOD, NO_PRICE_MOD, ORDER_BAD_TIME_MOD, USER_AS_NUMBER_MOD = 29, 31, 37, 41
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  The read (and its schema-inference job) happens once per session
+    and path; the tables are read-only inputs."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def orders_events(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
@@ -188,13 +199,33 @@ def order_records(orders_ev: DataFrame, corrupt: bool = True) -> DataFrame:
     )
 
 
-def load_fixtures(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    t = {n: table(spark, sf_dir, n) for n in ("lineitem", "orders", "part", "events")}
-    return {
-        "orders": orders_events(t["lineitem"], t["orders"]),
-        "catalog": catalog(t["part"]),
-        "catalog_text": catalog_text(t["part"]),
-        "inventory": inventory_events(t["lineitem"], t["part"]),
-        "pricing": pricing_events(t["lineitem"], t["part"]),
-        "click_records": click_records(t["events"]),
+class Fixtures(Mapping):
+    """Contract-shaped frames over one scale factor, each built on first use."""
+
+    _BUILDERS = {
+        "orders": (orders_events, ("lineitem", "orders")),
+        "catalog": (catalog, ("part",)),
+        "catalog_text": (catalog_text, ("part",)),
+        "inventory": (inventory_events, ("lineitem", "part")),
+        "pricing": (pricing_events, ("lineitem", "part")),
+        "click_records": (click_records, ("events",)),
     }
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            fn, tables = self._BUILDERS[name]
+            self._built[name] = fn(*[table(self.spark, self.sf_dir, t) for t in tables])
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._BUILDERS)
+
+    def __len__(self) -> int:
+        return len(self._BUILDERS)
+
+
+def load_fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
+    return Fixtures(spark, sf_dir)
