@@ -72,10 +72,16 @@ def cmd_models(args) -> int:
 
 
 def cmd_health(args) -> int:
-    from lakecart.operators.health import layer_health
+    from lakecart.operators.health import layer_contents, layer_health
 
     spark = build_session(app="lakecart-health", master=args.master)
-    out = layer_health(spark, _layout(args)).orderBy("kind", "layer", "table")
+    lay = _layout(args)
+    out = layer_health(spark, lay)
+    if args.contents:
+        # the table list is one row per table: small and bounded
+        names = [(r.layer, r.table) for r in out.filter("kind = 'table'").select("layer", "table").collect()]
+        out = out.join(layer_contents(spark, lay, names), ["layer", "table"], "left")
+    out = out.orderBy("kind", "layer", "table")
     out.write.mode("overwrite").json(args.output) if args.output else out.show(1000, truncate=False)
     return 0
 
@@ -127,6 +133,7 @@ def main(argv: list[str] | None = None) -> int:
     h = sub.add_parser("health", help="layer and checkpoint report")
     _common(h)
     h.add_argument("--output", default=None, help="write the report as JSON files here")
+    h.add_argument("--contents", action="store_true", help="add rows and newest event time per table")
     h.set_defaults(func=cmd_health)
 
     pb = sub.add_parser("publish", help="gate JSON-lines events and publish them")

@@ -36,6 +36,7 @@ def test_end_to_end(spark, tmp_path):
     alerts = {r.product_id: r.inventory_risk_level for r in spark.read.parquet(f"{lake}/gold/inventory_alerts").collect()}
     assert alerts == {"P1001": "stockout", "P1002": "reorder"}
     assert main(["models", "--catalog", str(cat), *common]) == 0
-    assert main(["health", "--output", str(tmp_path / "health"), *common]) == 0
+    assert main(["health", "--contents", "--output", str(tmp_path / "health"), *common]) == 0
     health = spark.read.json(str(tmp_path / "health"))
     assert health.filter("kind = 'table' AND layer = 'gold' AND table = 'revenue_daily'").count() == 1
+    assert health.filter("layer = 'silver' AND table = 'orders' AND kind = 'table'").first().rows == 5

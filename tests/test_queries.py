@@ -61,3 +61,14 @@ def test_layer_health_rows(spark):
     df = entry_mod.queries()["layer_health"](spark, SF)
     kinds = {(r.kind, r.layer, r.table) for r in df.collect()}
     assert ("table", "silver", "orders") in kinds and ("checkpoint", "gold", "orders") in kinds
+
+
+def test_layer_contents(spark, tmp_path):
+    from lakecart.operators.health import layer_contents
+    from lakecart.sinks.layout import Layout
+
+    lay = Layout.under(str(tmp_path))
+    spark.sql("SELECT 1 AS x, TIMESTAMP'2026-05-02 10:00:00' AS event_ts").write.parquet(lay.table("silver", "orders"))
+    rows = {(r.layer, r.table): (r.rows, str(r.max_event_ts)) for r in
+            layer_contents(spark, lay, [("silver", "orders"), ("bronze", "orders")]).collect()}
+    assert rows == {("silver", "orders"): (1, "2026-05-02 10:00:00")}
