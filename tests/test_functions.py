@@ -4,7 +4,6 @@ from datetime import UTC, datetime, timedelta
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from lakecart.functions.fingerprint import fingerprint
 from lakecart.functions.quality import is_late_expr

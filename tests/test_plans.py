@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakecart.operators import gold, inventory, silver
 from lakecart.sources import bus, testviews
