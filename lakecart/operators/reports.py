@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakecart.functions.money import round_money
+from lakecart.operators.gold import rank_products
 from lakecart.operators.inventory import ALERT_REPORT_COLUMNS
 
 
@@ -24,8 +25,7 @@ def orders_by_channel(orders_gold: DataFrame) -> DataFrame:
 
 def top_products_table(top_products: DataFrame) -> DataFrame:
     """Leaderboard table, four columns, revenue descending."""
-    return (top_products.orderBy(F.desc_nulls_last("revenue"), F.asc("product_id"))
-            .select("product_name", "category", "units_sold", "revenue"))
+    return rank_products(top_products).select("product_name", "category", "units_sold", "revenue")
 
 
 def low_inventory_table(alerts: DataFrame) -> DataFrame:

@@ -410,3 +410,9 @@ def silver_inventory(spark, sf_dir):
     sil = silver.dedupe_events(silver.valid_rows(silver.silver_frame(env, "inventory", now=PAYLOAD_LATE_NOW)),
                                "inventory")
     return portable(sil.select(*_INVENTORY_OUT))
+
+
+@query
+def revenue_daily_ordered(spark, sf_dir):
+    """The daily revenue table in its report order (O1)."""
+    return gold.order_revenue_daily(gold.revenue_daily(_fact(_fx(spark, sf_dir))))

@@ -324,4 +324,6 @@ ORACLES: dict[str, str] = {
       FROM (SELECT *, row_number() OVER (PARTITION BY product_id, store_id, event_ts ORDER BY event_id) AS rn
             FROM v_inventory)
       WHERE rn = 1""",
+
+    "revenue_daily_ordered": ORDERS_CTE + "," + REVENUE_DAILY + " SELECT * FROM revenue ORDER BY order_date, category, channel",
 }
