@@ -1,42 +1,63 @@
 """Dimension joins with a checked broadcast.
 
-A dimension is broadcast only when a bounded count proves it small; otherwise the
-join is left to the planner (sort-merge, or AQE's runtime switch to broadcast for
-batch plans).  The bounded count reads at most `max_rows + 1` rows.
+A dimension is broadcast only when one bounded job proves it small in rows and in
+bytes; otherwise the join is left to the planner (sort-merge, or AQE's runtime
+switch to broadcast for batch plans).  The job reads at most `max_rows + 1` rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
+          T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
+
+
+def _value_bytes(field: T.StructField) -> Column:
+    """Approximate in-memory bytes of one value: text/binary by length, the rest by type width."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8)
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + F.lit(8)
+    return F.lit(_WIDTH.get(type(field.dataType), 8))
 
 
 _CHECKED: dict[tuple, bool] = {}
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    """True when `dim` has at most `max_rows` rows (reads at most max_rows + 1 of them).
+def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    """True when `dim` has at most `max_rows` rows and about `max_bytes` of values.
 
+    One job over at most max_rows + 1 rows counts them and sums their value sizes.
     The answer is remembered per session for the same plan over the same input
     files; a dimension that gains files is checked again.
     """
     try:
-        key = (id(dim.sparkSession), dim.semanticHash(), tuple(sorted(dim.inputFiles())), max_rows)
+        key = (id(dim.sparkSession), dim.semanticHash(), tuple(sorted(dim.inputFiles())), max_rows, max_bytes)
     except Exception:  # noqa: BLE001 - plans without file inputs are simply not memoised
         key = None
     if key is not None and key in _CHECKED:
         return _CHECKED[key]
-    ok = dim.limit(max_rows + 1).count() <= max_rows
+    size = sum((_value_bytes(f) for f in dim.schema.fields), F.lit(0))
+    row = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    ok = row.n <= max_rows and (row.b or 0) <= max_bytes
     if key is not None:
         _CHECKED[key] = ok
     return ok
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",
-                   broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                   broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+                   broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """`fact ⋈ dim`; `broadcast_max_rows=None` skips the check and leaves the choice to Spark."""
-    if broadcast_max_rows is not None and fits_broadcast(dim, broadcast_max_rows):
+    if broadcast_max_rows is not None and fits_broadcast(dim, broadcast_max_rows, broadcast_max_bytes):
         dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)

@@ -38,6 +38,10 @@ def test_small_dimension_is_broadcast_large_is_not(fx):
     assert "strategy=broadcast" not in hinted                           # no forced broadcast beyond the bound
     assert "strategy=broadcast" in enriched._jdf.queryExecution().analyzed().toString()
     assert capped.count() == enriched.count()
+    bytes_capped = gold.enrich_orders(fx["orders"], fx["catalog"])  # row bound fine …
+    from lakecart.operators.joins import fits_broadcast
+    assert fits_broadcast(fx["catalog"]) and not fits_broadcast(fx["catalog"], max_bytes=1000)  # … byte bound not
+    assert bytes_capped.count() == enriched.count()
 
 
 def test_distinct_aggregation_has_no_expand_and_combines_map_side(fx):
