@@ -1,8 +1,10 @@
 """SQL models: staged views over silver, gold tables, and their column tests.
 
-The same semantics as the DataFrame operators, for users who keep their models
-as SQL.  Sources are the temp views `orders_silver`, `inventory_silver` and
-`product_catalog`; models are created in dependency order.
+For users who keep their models as SQL.  The statements are generated from the
+same column lists and metric definitions as the DataFrame operators, so both
+paths stay one definition.  Sources are the temp views `orders_silver`,
+`inventory_silver` (and optionally `product_catalog`); models are created in
+dependency order.
 """
 
 from __future__ import annotations
@@ -10,42 +12,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakecart.operators.checks import GOLD_TESTS, run_data_tests
+from lakecart.operators.gold import (LEADERBOARD_KEY, ORDER_FACT_COLUMNS, REVENUE_DAILY_KEY, STAGED_INVENTORY_COLUMNS,
+                                     STAGED_ORDER_COLUMNS)
+from lakecart.operators.inventory import HEALTHY, INVENTORY_KEY, REORDER, RISK_MODEL_COLUMNS, STOCKOUT
 from lakecart.sinks.writers import materialize
 
+_DERIVED = {
+    "event_ts": "CAST(event_ts AS TIMESTAMP)",
+    "order_date": "CAST(event_ts AS DATE)",
+    "inventory_risk_level": (f"CASE WHEN available_to_promise <= 0 THEN '{STOCKOUT}' "
+                             f"WHEN available_to_promise <= reorder_point THEN '{REORDER}' ELSE '{HEALTHY}' END"),
+}
+_METRICS = {
+    "orders": "count(DISTINCT order_id)",
+    "units_sold": "sum(quantity)",
+    "revenue": "round(sum(order_total), 2)",
+    "gross_margin": "round(sum(gross_margin), 2)",
+}
+
+
+def _project(columns: list[str], derived: tuple[str, ...] = ()) -> str:
+    return ", ".join(f"{_DERIVED[c]} AS {c}" if c in derived else c for c in columns)
+
+
+def _valid(source: str) -> str:
+    return f"(SELECT * FROM {source} WHERE _dq_is_valid = true)"
+
+
+def _rollup(source: str, keys: list[str], metrics: list[str]) -> str:
+    cols = ", ".join([*keys, *[f"{_METRICS[m]} AS {m}" for m in metrics]])
+    return f"SELECT {cols} FROM {source} GROUP BY {', '.join(keys)}"
+
+
+def _latest(source: str) -> str:
+    part = ", ".join(INVENTORY_KEY)
+    return (f"(SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY event_ts DESC, event_id DESC) AS _rank "
+            f"FROM {_valid(source)}) WHERE _rank = 1")
+
+
+# (name, materialisation, statement); the risk model ranks silver rows so event_id can break time ties
 MODELS: list[tuple[str, str, str]] = [
-    ("stg_orders", "view", """
-        SELECT order_id, CAST(event_ts AS TIMESTAMP) AS event_ts, CAST(event_ts AS DATE) AS order_date,
-               user_id, product_id, product_name, category, brand, store_id, channel, quantity,
-               unit_price, order_total, gross_margin, status
-        FROM orders_silver WHERE _dq_is_valid = true"""),
-    ("stg_inventory", "view", """
-        SELECT product_id, sku, store_id, CAST(event_ts AS TIMESTAMP) AS event_ts, on_hand,
-               available_to_promise, reorder_point, change_quantity, reason
-        FROM inventory_silver WHERE _dq_is_valid = true"""),
-    ("orders_gold", "table", """
-        SELECT order_id, order_date, event_ts, user_id, product_id, product_name, category, brand,
-               store_id, channel, quantity, unit_price, order_total, gross_margin, status
-        FROM stg_orders"""),
-    ("revenue_daily", "table", """
-        SELECT order_date, category, channel, count(DISTINCT order_id) AS orders,
-               sum(quantity) AS units_sold, round(sum(order_total), 2) AS revenue,
-               round(sum(gross_margin), 2) AS gross_margin
-        FROM stg_orders GROUP BY order_date, category, channel"""),
-    ("top_products", "table", """
-        SELECT product_id, product_name, category, brand, sum(quantity) AS units_sold,
-               round(sum(order_total), 2) AS revenue, count(DISTINCT order_id) AS orders
-        FROM stg_orders GROUP BY product_id, product_name, category, brand"""),
-    # ranked on the silver rows so event_id can break ties on event time
-    ("inventory_risk", "table", """
-        SELECT product_id, sku, store_id, CAST(event_ts AS TIMESTAMP) AS event_ts, on_hand,
-               available_to_promise, reorder_point,
-               CASE WHEN available_to_promise <= 0 THEN 'stockout'
-                    WHEN available_to_promise <= reorder_point THEN 'reorder'
-                    ELSE 'healthy' END AS inventory_risk_level
-        FROM (SELECT *, row_number() OVER (PARTITION BY product_id, store_id
-                                           ORDER BY event_ts DESC, event_id DESC) AS row_num
-              FROM inventory_silver WHERE _dq_is_valid = true)
-        WHERE row_num = 1"""),
+    ("stg_orders", "view",
+     f"SELECT {_project(STAGED_ORDER_COLUMNS, ('event_ts', 'order_date'))} FROM {_valid('orders_silver')}"),
+    ("stg_inventory", "view",
+     f"SELECT {_project(STAGED_INVENTORY_COLUMNS, ('event_ts',))} FROM {_valid('inventory_silver')}"),
+    ("orders_gold", "table", f"SELECT {_project(ORDER_FACT_COLUMNS)} FROM stg_orders"),
+    ("revenue_daily", "table",
+     _rollup("stg_orders", REVENUE_DAILY_KEY, ["orders", "units_sold", "revenue", "gross_margin"])),
+    ("top_products", "table", _rollup("stg_orders", LEADERBOARD_KEY, ["units_sold", "revenue", "orders"])),
+    ("inventory_risk", "table",
+     f"SELECT {_project(RISK_MODEL_COLUMNS, ('event_ts', 'inventory_risk_level'))} FROM {_latest('inventory_silver')}"),
 ]
 
 
