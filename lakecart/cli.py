@@ -42,7 +42,8 @@ def cmd_stream(args) -> int:
     src = lambda t: topic_source(spark, t, args.source, args.location,
                                  starting_offsets=args.starting_offsets,
                                  max_files_per_trigger=args.max_files_per_trigger,
-                                 max_offsets_per_trigger=args.max_offsets_per_trigger)
+                                 max_offsets_per_trigger=args.max_offsets_per_trigger,
+                                 min_partitions=args.min_partitions)
     queries = start_all(spark, topics, src, settings)
     await_queries(spark, queries, drain=args.available_now)
     return 0
@@ -118,6 +119,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--starting-offsets", default="earliest")
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--max-offsets-per-trigger", type=int, default=None, help="Kafka: cap records per micro-batch")
+    s.add_argument("--min-partitions", type=int, default=None, help="Kafka: split large bus partitions into tasks")
     s.add_argument("--shared-scan", action="store_true",
                    help="two queries per topic (bus read twice), tables partitioned by _batch_id")
     s.set_defaults(func=cmd_stream)

@@ -31,11 +31,13 @@ ENVELOPE_COLUMNS = ["kafka_key", "payload", "kafka_topic", "kafka_partition", "k
 
 def bus_stream(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest",
                fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = None,
-               options: dict[str, str] | None = None) -> DataFrame:
+               min_partitions: int | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """One subscription on a Kafka-compatible bus.  `earliest` so a drain run finds data.
 
     `max_offsets_per_trigger` bounds a micro-batch, and with it what one hot key can
-    put on one state-store task in one trigger.
+    put on one state-store task in one trigger.  `min_partitions` lets Spark split a
+    large bus partition into several read tasks, so one hot bus partition is not
+    read by one task.
     """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
@@ -44,6 +46,8 @@ def bus_stream(spark: SparkSession, servers: str, topic: str, starting_offsets:
               .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", int(min_partitions))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.load()

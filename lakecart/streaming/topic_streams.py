@@ -39,13 +39,14 @@ class StreamSettings:
 
 def topic_source(spark: SparkSession, topic: str, kind: str, location: str,
                  starting_offsets: str = "earliest", max_files_per_trigger: int | None = None,
-                 ingested_at=None, max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 ingested_at=None, max_offsets_per_trigger: int | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
     """Envelope stream for a topic.  `kind`: 'kafka' (location = bootstrap servers),
     'files' (bus records as parquet under location/topic) or 'jsonl' (lines under location/topic)."""
     contract(topic)
     if kind == "kafka":
         records = bus.bus_stream(spark, location, topic, starting_offsets=starting_offsets,
-                                 max_offsets_per_trigger=max_offsets_per_trigger)
+                                 max_offsets_per_trigger=max_offsets_per_trigger, min_partitions=min_partitions)
         return bus.envelope(records, ingested_at)
     if kind == "files":
         records = bus.file_bus_stream(spark, f"{location.rstrip('/')}/{topic}", max_files_per_trigger)
