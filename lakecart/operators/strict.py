@@ -34,18 +34,19 @@ _NOT_OBJECT = "payload:not_an_object"
 _CORRUPT = "_corrupt_payload"
 
 
-def _with_kinds(df: DataFrame, topic: str, payload: str) -> DataFrame:
+def _with_kinds(df: DataFrame, topic: str, payload: str, extra_fields: list[str] | None = None) -> DataFrame:
     """Parse the payload once; record the JSON kind of each checked field as a column.
 
     `from_json` with VARIANT-typed fields is one streaming parse per row and keeps
     each value's own JSON kind; malformed text lands in the corrupt-record field.
     """
     c = contract(topic)
-    names = list(dict.fromkeys([*c.required_names, c.event_time]))
+    names = list(dict.fromkeys([*c.required_names, c.event_time, *(extra_fields or [])]))
     schema = T.StructType([T.StructField(n, T.VariantType()) for n in names] +
                           [T.StructField(_CORRUPT, T.StringType())])
     j = F.from_json(F.col(payload), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    kinds = [F.schema_of_variant(F.col(f"_j.{n}")).alias(f"_k_{n}") for n in names]
+    checked = list(dict.fromkeys([*c.required_names, c.event_time]))
+    kinds = [F.schema_of_variant(F.col(f"_j.{n}")).alias(f"_k_{n}") for n in checked]
     is_object = F.col("_j").isNotNull() & F.col(f"_j.{_CORRUPT}").isNull()
     return (df.withColumn("_j", j)
             .select("*", is_object.alias("_obj_"), *kinds,
@@ -124,10 +125,18 @@ def late_by_payload(df: DataFrame, topic: str, now: datetime | str | Column | No
 def publish_gate(envelope_df: DataFrame, topic: str, num_partitions: int | None = None,
                  payload: str = "payload") -> DataFrame:
     """Drop events failing the strict checks; key the rest by the primary-key fingerprint and
-    re-serialise them as sorted-key JSON (D8 → K5).  Returns bus records."""
+    re-serialise them as sorted-key JSON of the topic's fields (D8 → K5).  Returns bus records.
+
+    The payload is parsed once; values keep their own JSON kinds in the published text.
+    """
     c = contract(topic)
-    checked = keep_where(check_events(envelope_df, topic, payload), "_strict_is_valid")
-    fields = (checked.select(F.from_json(F.col(payload), c.schema).alias("_e"), "kafka_timestamp")
-              .select("_e.*", "kafka_timestamp"))
-    return publish_frame(fields, topic, list(c.primary_key), c.field_names, num_partitions=num_partitions,
+    parsed = _with_kinds(envelope_df, topic, payload, c.field_names)
+    checked = parsed.withColumn("_strict_errors", _strict_errors(topic)) \
+        .withColumn("_strict_is_valid", F.size("_strict_errors") == 0)
+    valid = keep_where(checked.select("_j", "_strict_is_valid", "kafka_timestamp"), "_strict_is_valid")
+    value = F.to_json(F.struct(*[F.col(f"_j.{n}").alias(n) for n in sorted(c.field_names)]),
+                      {"ignoreNullFields": "false"})
+    keyed = valid.select(*[F.try_variant_get(F.col(f"_j.{k}"), "$", "string").alias(k) for k in c.primary_key],
+                         value.alias("_value"), "kafka_timestamp")
+    return publish_frame(keyed, topic, list(c.primary_key), value=F.col("_value"), num_partitions=num_partitions,
                          timestamp=F.col("kafka_timestamp"))

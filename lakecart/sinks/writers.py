@@ -45,10 +45,11 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: s
      .partitionBy(*partition_by).save(path))
 
 
-def publish_frame(df: DataFrame, topic: str, key_columns: list[str], value_columns: list[str],
+def publish_frame(df: DataFrame, topic: str, key_columns: list[str], value_columns: list[str] | None = None,
                   num_partitions: int | None = None, partition=None, offset=None,
-                  timestamp=None) -> DataFrame:
-    """Bus records: key = fingerprint of the key columns, value = sorted-key JSON of the event.
+                  timestamp=None, value=None) -> DataFrame:
+    """Bus records: key = fingerprint of the key columns, value = sorted-key JSON of the event (K5, X2),
+    or the given `value` column (text).
 
     Partition follows the key hash when the bus partition count is given.  `offset` is
     only for file-backed buses; a real bus assigns its own.
@@ -56,7 +57,7 @@ def publish_frame(df: DataFrame, topic: str, key_columns: list[str], value_colum
     key = fingerprint(df, key_columns)
     cols = [
         key.cast("binary").alias("key"),
-        canonical_json(value_columns).cast("binary").alias("value"),
+        (value if value is not None else canonical_json(value_columns)).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
     ]
     if partition is not None:

@@ -91,3 +91,18 @@ def test_valid_and_quarantine_partition_the_input(spark):
     valid = {r.kafka_offset for r in silver.valid_rows(sil).select("kafka_offset").collect()}
     bad = {r.kafka_offset for r in silver.quarantine_rows(sil).select("kafka_offset").collect()}
     assert valid.isdisjoint(bad) and valid | bad == set(range(len(EDGE)))
+
+
+def test_publish_gate_keeps_valid_events_with_their_json_kinds(spark):
+    import hashlib
+
+    from lakecart.operators.strict import publish_gate
+    env = envelope(spark, "orders", [_o(quantity=True, event_id="keep"), _o(quantity="7", event_id="drop"),
+                                     "not json"])
+    out = publish_gate(env, "orders").collect()
+    assert len(out) == 1
+    rec = out[0]
+    assert rec.key.decode() == hashlib.sha256(json.dumps({"event_id": "keep"}, sort_keys=True).encode()).hexdigest()
+    value = json.loads(rec.value.decode())
+    assert value["quantity"] is True and value["event_id"] == "keep"
+    assert list(value) == sorted(value) and "extra_field" not in value
