@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakecart.session import session_key
+
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
@@ -41,7 +43,7 @@ def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     files; a dimension that gains files is checked again.
     """
     try:
-        key = (id(dim.sparkSession), dim.semanticHash(), tuple(sorted(dim.inputFiles())), max_rows, max_bytes)
+        key = (session_key(dim.sparkSession), dim.semanticHash(), tuple(sorted(dim.inputFiles())), max_rows, max_bytes)
     except Exception:  # noqa: BLE001 - plans without file inputs are simply not memoised
         key = None
     if key is not None and key in _CHECKED:

@@ -49,7 +49,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_LOCAL_SHARED: dict[int, str] = {}
+_LOCAL_SHARED: dict[tuple, str] = {}
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a running session for per-session caches (object ids alone can be reused)."""
+    return (spark.conf.get("spark.app.id", ""), id(spark))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -62,7 +67,7 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if d:
         return d.rstrip("/")
-    key = id(spark.sparkContext)
+    key = session_key(spark)
     if key not in _LOCAL_SHARED:
         local = tempfile.mkdtemp(prefix="lakecart-shared-")
         spark.sparkContext.setCheckpointDir(os.path.join(local, "rdd-checkpoints"))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakecart.functions.time import iso_utc_text
+from lakecart.session import session_key
 
 CLICK_PARTITIONS = 4
 
@@ -36,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table.  The read (and its schema-inference job) happens once per session
     and path; the tables are read-only inputs."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
