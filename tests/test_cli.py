@@ -40,3 +40,25 @@ def test_end_to_end(spark, tmp_path):
     health = spark.read.json(str(tmp_path / "health"))
     assert health.filter("kind = 'table' AND layer = 'gold' AND table = 'revenue_daily'").count() == 1
     assert health.filter("layer = 'silver' AND table = 'orders' AND kind = 'table'").first().rows == 5
+
+
+def test_refresh_partitioned_by_date(spark, tmp_path):
+    from helpers import envelope
+    from lakecart.operators import gold, silver
+    from lakecart.plans.gold_refresh import refresh
+    from lakecart.sinks.layout import Layout
+    from lakecart.sources.catalog import load_catalog
+
+    cat = tmp_path / "catalog.csv"
+    cat.write_text(CATALOG_CSV)
+    payloads = sample_order_payloads()
+    payloads[1]["event_ts"] = "2026-05-03T08:00:00Z"
+    sil = silver.valid_rows(silver.silver_frame(envelope(spark, "orders", payloads), "orders"))
+    lay = Layout.under(str(tmp_path))
+    gold.enrich_orders(sil, load_catalog(spark, str(cat))).write.parquet(lay.table("silver", "orders"))
+    written = refresh(spark, lay, partition_by_date=True)
+    assert set(written) == {"orders_gold", "revenue_daily", "top_products"}      # no inventory silver: skipped
+    dates = sorted(p.name for p in (tmp_path / "lakehouse" / "gold" / "orders_gold").iterdir() if p.is_dir())
+    assert dates == ["order_date=2026-05-02", "order_date=2026-05-03"]
+    daily = spark.read.parquet(written["revenue_daily"])
+    assert daily.count() == 5 and round(sum(r.revenue for r in daily.collect()), 2) == 5255.16
