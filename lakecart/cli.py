@@ -78,7 +78,8 @@ def cmd_health(args) -> int:
 
     spark = build_session(app="lakecart-health", master=args.master)
     lay = _layout(args)
-    out = layer_health(spark, lay)
+    layers = tuple(x.strip() for x in args.layers.split(",") if x.strip()) if args.layers else None
+    out = layer_health(spark, lay, layers) if layers else layer_health(spark, lay)
     if args.contents:
         # the table list is one row per table: small and bounded
         names = [(r.layer, r.table) for r in out.filter("kind = 'table'").select("layer", "table").collect()]
@@ -138,6 +139,7 @@ def main(argv: list[str] | None = None) -> int:
     _common(h)
     h.add_argument("--output", default=None, help="write the report as JSON files here")
     h.add_argument("--contents", action="store_true", help="add rows and newest event time per table")
+    h.add_argument("--layers", default=None, help="comma-separated subset of bronze,silver,quarantine,gold")
     h.set_defaults(func=cmd_health)
 
     pb = sub.add_parser("publish", help="gate JSON-lines events and publish them")

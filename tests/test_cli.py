@@ -40,6 +40,8 @@ def test_end_to_end(spark, tmp_path):
     health = spark.read.json(str(tmp_path / "health"))
     assert health.filter("kind = 'table' AND layer = 'gold' AND table = 'revenue_daily'").count() == 1
     assert health.filter("layer = 'silver' AND table = 'orders' AND kind = 'table'").first().rows == 5
+    assert main(["health", "--layers", "gold", "--output", str(tmp_path / "health_gold"), *common]) == 0
+    assert {r.layer for r in spark.read.json(str(tmp_path / "health_gold")).collect()} == {"gold"}
 
 
 def test_refresh_partitioned_by_date(spark, tmp_path):
