@@ -8,7 +8,10 @@ topics so every operator runs on data that grows with the tables:
 * inventory / pricing events: `lineitem ⋈ part`
 * clickstream bus records: `events`, with deterministic corruption
 
-The mappings are fixture definitions, not pipeline logic.
+The mappings are fixture definitions, not pipeline logic.  Every input row is kept:
+the moduli below only decide which rows carry a deliberate fault (a message cut
+short in transit, a missing field, an unparsable time) so the quality operators
+have real failures to find; nothing is filtered, sampled or shortened to save work.
 """
 
 from __future__ import annotations
