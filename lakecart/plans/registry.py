@@ -313,6 +313,14 @@ def stream_quarantine(spark, sf_dir):
                     .select("kafka_offset", "event_ts", "_dq_errors"))
 
 
+@query
+def stream_dedupe_orders(spark, sf_dir):
+    """Order keys after the stream's watermark + dedupe (T1, T2); non-key columns of the
+    surviving copy are arbitrary, so only the key leaves."""
+    lay = _drain_topic(spark, sf_dir, "orders")
+    return portable(spark.read.parquet(lay.table("silver", "orders")).select("order_id", "product_id", "event_ts"))
+
+
 @query
 def stream_gold_increment(spark, sf_dir):
     """Group keys and distinct orders: independent of which duplicate the dedupe kept."""

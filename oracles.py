@@ -326,4 +326,6 @@ ORACLES: dict[str, str] = {
       WHERE rn = 1""",
 
     "revenue_daily_ordered": ORDERS_CTE + "," + REVENUE_DAILY + " SELECT * FROM revenue ORDER BY order_date, category, channel",
+
+    "stream_dedupe_orders": "WITH " + V_ORDERS + " SELECT DISTINCT order_id, product_id, event_ts FROM v_orders",
 }
