@@ -103,6 +103,17 @@ def segment_bounds(df: DataFrame, keys: list[str], order: list[str], segments: i
     return spark.createDataFrame(rows, schema)
 
 
+def assign_segments(df: DataFrame, keys: list[str], order: list[str], segments: int) -> DataFrame:
+    """Adds `_seg`: the number of the key's split points at or before the row, so each key's
+    rows in (order) form contiguous segments of roughly total/segments rows or fewer."""
+    bounds = segment_bounds(df, keys, order, segments)
+    point = F.struct(*[_order_value(df, o).alias(f"o{i}") for i, o in enumerate(order)])
+    seg = F.size(F.filter(F.coalesce(F.col("_bounds"), F.array().cast(bounds.schema["_bounds"].dataType)),
+                          lambda b: b <= point))
+    # at most `segments` rows of split points: a proven size bound for the broadcast
+    return df.join(F.broadcast(bounds), keys, "left").withColumn("_seg", seg).drop("_bounds")
+
+
 def _order_type(df: DataFrame, name: str) -> T.DataType:
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -138,12 +149,7 @@ def stock_ledger(df: DataFrame, delta: str = "change_quantity", initial: int | s
 
     rows = (df.withColumn("_d", F.coalesce(F.col(delta).cast("bigint"), F.lit(0)))
             .withColumn("_init", init.cast("bigint")))
-    bounds = segment_bounds(rows, keys, order, n)
-    point = F.struct(*[_order_value(rows, o).alias(f"o{i}") for i, o in enumerate(order)])
-    seg = F.size(F.filter(F.coalesce(F.col("_bounds"), F.array().cast(bounds.schema["_bounds"].dataType)),
-                          lambda b: b <= point))
-    segmented = (rows.join(F.broadcast(bounds), keys, "left")
-                 .withColumn("_seg", seg).drop("_bounds"))
+    segmented = assign_segments(rows, keys, order, n)
 
     w_local = Window.partitionBy(*keys, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = (segmented.withColumn("_ls", F.sum("_d").over(w_local))

@@ -87,4 +87,7 @@ def test_ledger_hot_key_is_split_and_exact(spark):
     bounds = inventory.segment_bounds(df, ["product_id", "store_id"], ["event_ts", "event_id"], 16)
     hot_bounds = bounds.filter(F.col("product_id") == "P0").select(F.size("_bounds")).first()[0]
     assert hot_bounds >= 8                                           # the hot key is cut into many segments
+    seg = inventory.assign_segments(df, ["product_id", "store_id"], ["event_ts", "event_id"], 16)
+    largest = seg.groupBy("product_id", "store_id", "_seg").count().agg(F.max("count")).first()[0]
+    assert largest <= 3 * df.count() / 16                            # no segment near the hot key's 3000 rows
     _check_ledger(spark, seqs, segments=16)
