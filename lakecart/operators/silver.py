@@ -78,3 +78,28 @@ def stream_dedupe(df: DataFrame, topic: str) -> DataFrame:
     so dedupe state expires with the watermark.  Rows at or behind the watermark are dropped."""
     c = contract(topic)
     return df.withWatermark(c.event_time, c.watermark_delay).dropDuplicates(list(c.dedupe_key))
+
+
+def collapse_copies(df: DataFrame, topic: str) -> DataFrame:
+    """Keep one row per dedupe key within each Arrow batch of each task (stateless).
+
+    A pre-aggregation before the dedupe shuffle: a storm of copies of one event is
+    collapsed map-side, so the state-store task for that key receives one row per
+    input batch instead of every copy.  The stateful dedupe still decides across
+    batches and triggers; which copy survives is arbitrary, as in any streaming dedupe.
+    """
+    keys = list(contract(topic).dedupe_key)
+
+    def first_per_key(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows < 2:
+                yield batch
+                continue
+            t = pa.Table.from_batches([batch])
+            t = t.append_column("_row", pa.array(range(t.num_rows), type=pa.int64()))
+            first = t.group_by(keys, use_threads=False).aggregate([("_row", "min")])["_row_min"]
+            yield from t.take(first).drop_columns(["_row"]).to_batches()
+
+    return df.mapInArrow(first_per_key, df.schema)

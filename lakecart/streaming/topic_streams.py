@@ -34,6 +34,7 @@ class StreamSettings:
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS
     with_gold: bool = True
     shared_scan: bool = False      # two queries per topic instead of one per table (see start_topic_shared)
+    collapse_copies: bool = False  # collapse repeated events map-side before the dedupe shuffle
     query_prefix: str = ""
 
 
@@ -129,7 +130,10 @@ def topic_frames(envelope_df: DataFrame, topic: str, settings: StreamSettings) -
     """The plans of one topic: bronze, silver (valid, watermarked, deduped, enriched) and quarantine."""
     frames = {"bronze": bus.bronze(envelope_df, topic)}
     parsed = silver.silver_frame(envelope_df, topic, now=settings.now)
-    valid = silver.stream_dedupe(silver.valid_rows(parsed), topic)
+    valid = silver.valid_rows(parsed)
+    if settings.collapse_copies:
+        valid = silver.collapse_copies(valid, topic)
+    valid = silver.stream_dedupe(valid, topic)
     if topic == "orders":
         if settings.catalog is None:
             raise ValueError("orders need a catalog for enrichment")

@@ -119,3 +119,27 @@ def test_shared_scan_mode_gives_the_same_tables(spark, catalog):
     assert spark.read.parquet(layout.table("bronze", "orders")).count() == len(SCHEDULE)
     inc = spark.read.parquet(layout.table("gold", "orders_gold_incremental"))
     assert sorted(r.order_id for r in inc.collect()) == ["A", "L1", "x", "y"]
+
+
+def test_collapse_copies_before_dedupe(spark, catalog):
+    from lakecart.operators import silver
+    from helpers import envelope
+
+    storm = [order(event_id=f"copy-{i}", order_id="HOT") for i in range(500)] + \
+        [order(event_id=f"o{i}", order_id=f"O{i}") for i in range(20)]
+    env = envelope(spark, "orders", storm)
+    valid = silver.valid_rows(silver.silver_frame(env, "orders"))
+    collapsed = silver.collapse_copies(valid, "orders")
+    assert collapsed.filter("order_id = 'HOT'").count() <= collapsed.rdd.getNumPartitions()
+    assert collapsed.count() - collapsed.filter("order_id = 'HOT'").count() == 20
+    assert collapsed.columns == valid.columns
+
+    base = tempfile.mkdtemp(prefix="lakecart-collapse-")
+    rows = [("HOT", "15:00")] * 50 + [("A", "15:00"), ("B", "15:01")]
+    _write_batch(f"{base}/bus/orders", 1, rows, 1_700_000_100)
+    layout = Layout.under(base)
+    settings = StreamSettings(layout=layout, available_now=True, catalog=catalog, collapse_copies=True)
+    await_queries(spark, start_topic(topic_source(spark, "orders", "files", f"{base}/bus"), "orders", settings),
+                  drain=True)
+    got = sorted(r.order_id for r in spark.read.parquet(layout.table("silver", "orders")).collect())
+    assert got == ["A", "B", "HOT"]
