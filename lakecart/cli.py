@@ -38,7 +38,8 @@ def cmd_stream(args) -> int:
     catalog = load_catalog(spark, args.catalog) if "orders" in topics else None
     settings = StreamSettings(layout=_layout(args), available_now=args.available_now,
                               processing_time=args.processing_time, catalog=catalog,
-                              shared_scan=args.shared_scan, collapse_copies=args.collapse_copies)
+                              shared_scan=args.shared_scan, collapse_copies=args.collapse_copies,
+                              join_salt_buckets=args.join_salt_buckets)
     src = lambda t: topic_source(spark, t, args.source, args.location,
                                  starting_offsets=args.starting_offsets,
                                  max_files_per_trigger=args.max_files_per_trigger,
@@ -121,6 +122,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--max-offsets-per-trigger", type=int, default=None, help="Kafka: cap records per micro-batch")
     s.add_argument("--min-partitions", type=int, default=None, help="Kafka: split large bus partitions into tasks")
+    s.add_argument("--join-salt-buckets", type=int, default=None,
+                   help="salt the catalog join when the catalog is beyond the broadcast bound")
     s.add_argument("--collapse-copies", action="store_true",
                    help="collapse repeated events in each task before the dedupe shuffle")
     s.add_argument("--shared-scan", action="store_true",

@@ -25,14 +25,15 @@ LEADERBOARD_KEY = ["product_id", "product_name", "category", "brand"]
 
 
 def enrich_orders(orders: DataFrame, catalog: DataFrame,
-                  broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                  broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+                  salt_buckets: int | None = None) -> DataFrame:
     """Left join with the typed catalog on product_id; unmatched orders keep null dimensions.
 
     `catalog` has product_id, product_name, category, brand, cost, catalog_reorder_point.
     Only those columns are taken, so the scan below is pruned to them.
     """
     dim = catalog.select("product_id", "product_name", "category", "brand", "cost", "catalog_reorder_point")
-    return (join_dimension(orders, dim, "product_id", "left", broadcast_max_rows)
+    return (join_dimension(orders, dim, "product_id", "left", broadcast_max_rows, salt_buckets=salt_buckets)
             .withColumn("gross_margin", gross_margin("unit_price", "cost", "quantity")))
 
 

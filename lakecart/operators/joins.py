@@ -58,8 +58,22 @@ def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",
                    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-                   broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
-    """`fact ⋈ dim`; `broadcast_max_rows=None` skips the check and leaves the choice to Spark."""
+                   broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                   salt_buckets: int | None = None) -> DataFrame:
+    """`fact ⋈ dim`, broadcasting `dim` only behind `fits_broadcast`.
+
+    Beyond the bound the join shuffles.  With `salt_buckets` (for streams, where AQE's
+    skew splitting does not run) each fact row gets a deterministic salt and the
+    dimension is copied once per salt value, so one hot key is spread over
+    `salt_buckets` tasks; every fact row still meets exactly one copy of its match.
+    `broadcast_max_rows=None` skips the check and leaves the choice to Spark.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
     if broadcast_max_rows is not None and fits_broadcast(dim, broadcast_max_rows, broadcast_max_bytes):
-        dim = F.broadcast(dim)
-    return fact.join(dim, on=on, how=how)
+        return fact.join(F.broadcast(dim), on=keys, how=how)
+    if not salt_buckets or salt_buckets <= 1:
+        return fact.join(dim, on=keys, how=how)
+    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]),
+                                                  F.lit(int(salt_buckets))).cast("int"))
+    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(int(salt_buckets) - 1))))
+    return salted_fact.join(salted_dim, on=[*keys, "_salt"], how=how).drop("_salt")

@@ -32,6 +32,7 @@ class StreamSettings:
     now: datetime | str | Column | None = None          # None: wall clock per micro-batch
     catalog: DataFrame | None = None                     # typed catalog for order enrichment
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS
+    join_salt_buckets: int | None = None  # salt the catalog join when the catalog is too big to broadcast
     with_gold: bool = True
     shared_scan: bool = False      # two queries per topic instead of one per table (see start_topic_shared)
     collapse_copies: bool = False  # collapse repeated events map-side before the dedupe shuffle
@@ -137,7 +138,7 @@ def topic_frames(envelope_df: DataFrame, topic: str, settings: StreamSettings) -
     if topic == "orders":
         if settings.catalog is None:
             raise ValueError("orders need a catalog for enrichment")
-        valid = gold.enrich_orders(valid, settings.catalog, settings.broadcast_max_rows)
+        valid = gold.enrich_orders(valid, settings.catalog, settings.broadcast_max_rows, settings.join_salt_buckets)
     frames["silver"] = valid
     frames["quarantine"] = silver.quarantine_rows(parsed)
     return frames

@@ -82,3 +82,11 @@ def test_ledger_rows_not_shuffled_by_key_alone(fx, spark):
     # the row-level shuffle is keyed by (product_id, store_id, _seg); only the small segment table is keyed by key
     assert any("_seg" in e for e in exchanges)
     assert "BroadcastExchange" in p                                     # split points are broadcast
+
+
+def test_salted_join_beyond_the_bound_keeps_results(fx):
+    plain = gold.enrich_orders(fx["orders"], fx["catalog"])
+    salted = gold.enrich_orders(fx["orders"], fx["catalog"], broadcast_max_rows=10, salt_buckets=4)
+    assert "_salt" in plan(salted)
+    assert salted.columns == plain.columns
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
