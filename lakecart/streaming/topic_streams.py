@@ -155,6 +155,19 @@ def _start_batch_query(df: DataFrame, writer, checkpoint: str, name: str,
     return w.start()
 
 
+def _all_or_none(starters: list) -> list[StreamingQuery]:
+    """Start each query in turn; if one cannot start, stop those already running and re-raise."""
+    started: list[StreamingQuery] = []
+    try:
+        for start in starters:
+            started.append(start())
+    except BaseException:
+        for q in started:
+            q.stop()
+        raise
+    return started
+
+
 def start_topic_shared(envelope_df: DataFrame, topic: str, settings: StreamSettings) -> list[StreamingQuery]:
     """Two queries per topic instead of three or four: the bus is read twice, not once per table,
     and order dedupe state is held once.  Tables gain a `_batch_id` partition column; each
@@ -162,12 +175,12 @@ def start_topic_shared(envelope_df: DataFrame, topic: str, settings: StreamSetti
     lay = settings.layout
     frames = topic_frames(envelope_df, topic, settings)
     name = f"{settings.query_prefix}{topic}"
-    return [
-        _start_batch_query(envelope_df, RawBatchWriter(topic, settings), lay.checkpoint("bronze", topic),
-                           f"{name}_raw", settings),
-        _start_batch_query(frames["silver"], CleanBatchWriter(topic, settings), lay.checkpoint("silver", topic),
-                           f"{name}_clean", settings),
-    ]
+    return _all_or_none([
+        lambda: _start_batch_query(envelope_df, RawBatchWriter(topic, settings), lay.checkpoint("bronze", topic),
+                                   f"{name}_raw", settings),
+        lambda: _start_batch_query(frames["silver"], CleanBatchWriter(topic, settings),
+                                   lay.checkpoint("silver", topic), f"{name}_clean", settings),
+    ])
 
 
 def start_topic(envelope_df: DataFrame, topic: str, settings: StreamSettings) -> list[StreamingQuery]:
@@ -177,37 +190,57 @@ def start_topic(envelope_df: DataFrame, topic: str, settings: StreamSettings) ->
     lay = settings.layout
     frames = topic_frames(envelope_df, topic, settings)
     name = f"{settings.query_prefix}{topic}"
-    queries = []
-    for layer in ("bronze", "silver", "quarantine"):
-        queries.append(write_stream(frames[layer], lay.table(layer, topic), lay.checkpoint(layer, topic),
+
+    def sink(layer):
+        return lambda: write_stream(frames[layer], lay.table(layer, topic), lay.checkpoint(layer, topic),
                                     available_now=settings.available_now, fmt=lay.fmt,
-                                    query_name=f"{name}_{layer}", processing_time=settings.processing_time))
+                                    query_name=f"{name}_{layer}", processing_time=settings.processing_time)
+
+    starters = [sink(layer) for layer in ("bronze", "silver", "quarantine")]
     if topic == "orders" and settings.with_gold:
-        queries.append(_start_batch_query(frames["silver"], OrderGoldBatchWriter(lay), lay.checkpoint("gold", topic),
-                                          f"{name}_gold", settings))
-    return queries
+        starters.append(lambda: _start_batch_query(frames["silver"], OrderGoldBatchWriter(lay),
+                                                   lay.checkpoint("gold", topic), f"{name}_gold", settings))
+    return _all_or_none(starters)
 
 
 def start_all(spark: SparkSession, topics: str | list[str] | None,
               source: Callable[[str], DataFrame], settings: StreamSettings) -> list[StreamingQuery]:
-    """Start every selected topic (F6); `source(topic)` returns that topic's envelope stream."""
+    """Start every selected topic (F6); `source(topic)` returns that topic's envelope stream.
+    All or none: if a topic cannot start, the queries already started are stopped."""
     names = select_topics(topics) if not isinstance(topics, list) else [contract(t).topic for t in topics]
-    queries = []
-    for t in names:
-        queries.extend(start_topic(source(t), t, settings))
+    queries: list[StreamingQuery] = []
+    try:
+        for t in names:
+            queries.extend(start_topic(source(t), t, settings))
+    except BaseException:
+        for q in queries:
+            q.stop()
+        raise
     return queries
 
 
 def await_queries(spark: SparkSession, queries: list[StreamingQuery], drain: bool) -> None:
     """Drain mode waits for every query; continuous mode returns when any query ends.
-    A failed query re-raises its error."""
-    if drain:
+
+    A failed query stops its siblings (no half-running topic fan-out is left behind)
+    and its error is raised; the checkpoints let a rerun resume where each stopped.
+    """
+    try:
+        if drain:
+            for q in queries:
+                q.awaitTermination()
+                if q.exception() is not None:
+                    raise q.exception()
+        else:
+            spark.streams.awaitAnyTermination()
+            failed = [q for q in queries if not q.isActive and q.exception() is not None]
+            if failed:
+                raise failed[0].exception()
+    except BaseException:
         for q in queries:
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise q.exception()
-    else:
-        spark.streams.awaitAnyTermination()
+            if q.isActive:
+                q.stop()
+        raise
 
 
 def watermark_drops(query: StreamingQuery) -> int:

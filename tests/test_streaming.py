@@ -143,3 +143,16 @@ def test_collapse_copies_before_dedupe(spark, catalog):
                   drain=True)
     got = sorted(r.order_id for r in spark.read.parquet(layout.table("silver", "orders")).collect())
     assert got == ["A", "B", "HOT"]
+
+
+def test_topic_start_is_all_or_none(spark, catalog, tmp_path):
+    bus_dir = tmp_path / "bus" / "orders"
+    _write_batch(str(bus_dir), 1, [("A", "15:00")], 1_700_000_200)
+    layout = Layout(root=str(tmp_path / "lake"), checkpoint_root=str(tmp_path / "ck"))
+    (tmp_path / "lake" / "silver").mkdir(parents=True)
+    (tmp_path / "lake" / "silver" / "orders").write_text("not a folder")       # the silver sink cannot start
+    settings = StreamSettings(layout=layout, processing_time="1 second", catalog=catalog)
+    before = {q.id for q in spark.streams.active}
+    with pytest.raises(Exception):
+        start_topic(topic_source(spark, "orders", "files", str(tmp_path / "bus")), "orders", settings)
+    assert {q.id for q in spark.streams.active} == before                        # bronze was stopped again
