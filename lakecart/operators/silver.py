@@ -1,7 +1,8 @@
 """Bronze → silver: parse, type, quality flags, valid/quarantine split, dedupe.
 
 P1–P3, D1–D2, T3, F1–F2, T1–T2.  Every step is a narrow projection except the
-dedupes (a shuffle on the dedupe key).
+dedupes (a shuffle on the dedupe key); `collapse_copies` optionally pre-aggregates
+repeated events inside each task before the streaming dedupe shuffle.
 """
 
 from __future__ import annotations
