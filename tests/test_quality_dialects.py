@@ -106,3 +106,25 @@ def test_publish_gate_keeps_valid_events_with_their_json_kinds(spark):
     value = json.loads(rec.value.decode())
     assert value["quantity"] is True and value["event_id"] == "keep"
     assert list(value) == sorted(value) and "extra_field" not in value
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_REQ = contract("orders").required_names
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(list(order())), st.sampled_from(["drop", "null"])), max_size=6))
+def test_missing_fields_reported_in_contract_order(spark, edits):
+    ev = order()
+    for field, how in edits:
+        if how == "drop":
+            ev.pop(field, None)
+        else:
+            ev[field] = None
+    want = [f"{n}:null" for n in _REQ if ev.get(n) is None]
+    env = envelope(spark, "orders", [json.dumps(ev)])
+    row = silver.silver_frame(env, "orders").first()
+    assert list(row._dq_errors) == want and row._dq_is_valid == (not want)
+    assert list(strict.check_events(env, "orders").first()._strict_errors) == want
