@@ -274,7 +274,7 @@ def publish_gate(spark, sf_dir):
 
 # ---- streaming: publish fixture records to a file bus, drain the topic's queries, read the sinks --------
 
-def _drain_topic(spark, sf_dir, topic: str):
+def _drain_topic(spark, sf_dir, topic: str, **options):
     from lakecart.session import run_dir
     from lakecart.sinks.layout import Layout
     from lakecart.sinks.writers import publish_to_files
@@ -286,7 +286,7 @@ def _drain_topic(spark, sf_dir, topic: str):
     publish_to_files(records, f"{base}/bus/{topic}")
     layout = Layout.under(base)
     settings = StreamSettings(layout=layout, available_now=True, now=LATE_NOW,
-                              catalog=fx["catalog"] if topic == "orders" else None)
+                              catalog=fx["catalog"] if topic == "orders" else None, **options)
     src = topic_source(spark, topic, "files", f"{base}/bus", ingested_at=LATE_NOW)
     await_queries(spark, start_topic(src, topic, settings), drain=True)
     return layout
@@ -321,6 +321,21 @@ def stream_dedupe_orders(spark, sf_dir):
     return portable(spark.read.parquet(lay.table("silver", "orders")).select("order_id", "product_id", "event_ts"))
 
 
+@query
+def stream_shared_dedupe_orders(spark, sf_dir):
+    """The same keys through the shared-scan mode (two queries per topic, foreachBatch writers)."""
+    lay = _drain_topic(spark, sf_dir, "orders", shared_scan=True)
+    return portable(spark.read.parquet(lay.table("silver", "orders")).select("order_id", "product_id", "event_ts"))
+
+
+@query
+def stream_collapsed_clickstream(spark, sf_dir):
+    """Clickstream dedupe keys with repeated events collapsed map-side before the dedupe shuffle."""
+    lay = _drain_topic(spark, sf_dir, "clickstream", collapse_copies=True)
+    return portable(spark.read.parquet(lay.table("silver", "clickstream"))
+                    .select("session_id", "event_type", "event_ts"))
+
+
 @query
 def stream_gold_increment(spark, sf_dir):
     """Group keys and distinct orders: independent of which duplicate the dedupe kept."""

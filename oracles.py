@@ -328,4 +328,9 @@ ORACLES: dict[str, str] = {
     "revenue_daily_ordered": ORDERS_CTE + "," + REVENUE_DAILY + " SELECT * FROM revenue ORDER BY order_date, category, channel",
 
     "stream_dedupe_orders": "WITH " + V_ORDERS + " SELECT DISTINCT order_id, product_id, event_ts FROM v_orders",
+
+    "stream_shared_dedupe_orders": "WITH " + V_ORDERS + " SELECT DISTINCT order_id, product_id, event_ts FROM v_orders",
+
+    "stream_collapsed_clickstream": CLICK_CTE + """
+      SELECT DISTINCT session_id, event_type, event_ts FROM checked WHERE _dq_errors = ''""",
 }
