@@ -55,10 +55,14 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    results, cold, extras = {}, {}, {}
+    results, cold, extras, errors = {}, {}, {}, {}
     for name in names + extra:
-        cold[name] = round(once(name), 3)
-        median = round(statistics.median(once(name) for _ in range(runs)), 3)
+        try:
+            cold[name] = round(once(name), 3)
+            median = round(statistics.median(once(name) for _ in range(runs)), 3)
+        except Exception as exc:  # noqa: BLE001 - report and go on: one JSON line is always printed
+            errors[name] = str(exc).splitlines()[0][:300]
+            continue
         (results if name in names else extras)[name] = median
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
@@ -71,6 +75,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "runs": runs,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
