@@ -128,3 +128,28 @@ def test_missing_fields_reported_in_contract_order(spark, edits):
     row = silver.silver_frame(env, "orders").first()
     assert list(row._dq_errors) == want and row._dq_is_valid == (not want)
     assert list(strict.check_events(env, "orders").first()._strict_errors) == want
+
+
+SAMPLE_BY_TOPIC = {
+    "orders": order(),
+    "inventory": {"event_id": "i1", "event_type": "inventory_update", "event_ts": "2026-05-02T20:24:49.876179Z",
+                  "ingestion_ts": "2026-05-02T20:24:59.876183Z", "product_id": "P1002", "sku": "BB-LAP-ULTRA",
+                  "store_id": "SEA-002", "on_hand": 28, "available_to_promise": 27, "reorder_point": 12,
+                  "change_quantity": 10, "reason": "replenishment"},
+    "pricing": {"event_id": "p1", "event_type": "price_change", "event_ts": "2026-05-02T20:24:39.876362Z",
+                "ingestion_ts": "2026-05-02T20:24:59.876365Z", "product_id": "P1002", "sku": "BB-LAP-ULTRA",
+                "old_price": 1202.7, "new_price": 1235.65, "currency": "USD", "reason": "competitor_match"},
+    "clickstream": {"event_id": "c1", "event_type": "add_to_cart", "event_ts": "2026-05-02T20:24:54.876601Z",
+                    "ingestion_ts": "2026-05-02T20:24:59.876603Z", "session_id": "S4aa9449267ca4761",
+                    "user_id": "U377932", "product_id": "P1003", "sku": "BB-HDP-NC700", "page": "checkout",
+                    "search_term": None, "device": "tablet", "referrer": "email"},
+}
+
+
+@pytest.mark.parametrize("topic", sorted(SAMPLE_BY_TOPIC))
+def test_one_valid_event_per_topic(spark, topic):
+    env = envelope(spark, topic, [json.dumps(SAMPLE_BY_TOPIC[topic])])
+    row = silver.silver_frame(env, topic).first()
+    assert row._dq_is_valid and list(row._dq_errors) == [] and row.event_ts is not None
+    assert strict.check_events(env, topic).first()._strict_is_valid
+    assert silver.valid_rows(silver.silver_frame(env, topic)).count() == 1
