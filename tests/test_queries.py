@@ -72,3 +72,19 @@ def test_layer_contents(spark, tmp_path):
     rows = {(r.layer, r.table): (r.rows, str(r.max_event_ts)) for r in
             layer_contents(spark, lay, [("silver", "orders"), ("bronze", "orders")]).collect()}
     assert rows == {("silver", "orders"): (1, "2026-05-02 10:00:00")}
+
+
+def test_health_counts_delta_log_commits(spark, tmp_path):
+    from lakecart.operators.health import layer_health
+    from lakecart.sinks.layout import Layout
+
+    lay = Layout.under(str(tmp_path))
+    spark.range(3).write.parquet(lay.table("gold", "t1"))
+    log = tmp_path / "lakehouse" / "gold" / "t1" / "_delta_log"
+    log.mkdir()
+    for i in range(4):
+        (log / f"{i:020d}.json").write_text("{}")
+    spark.range(2).write.parquet(lay.table("gold", "plain"))
+    rows = {r.table: (r.commits, r.latest_commit) for r in layer_health(spark, lay, ("gold",)).collect()}
+    assert rows["t1"] == (4, f"{3:020d}.json")
+    assert rows["plain"][0] == 1
