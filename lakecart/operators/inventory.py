@@ -136,6 +136,8 @@ def stock_ledger(df: DataFrame, delta: str = "change_quantity", initial: int | s
     per-(key, segment) summary, small and already partitioned, gives each segment
     its offset and the minimum of all earlier segments; joining it back moves only
     the summary.  `initial` is an integer or a column constant per key; null deltas count 0.
+    `order` must order each key's rows totally (as for any sequential fold: with ties
+    the running balance at the tied rows is not defined).
 
     Passes over the input: a row count and a bounded sample (split points, key and
     order columns only), the summary pass (key, order, delta only) and the row pass;
