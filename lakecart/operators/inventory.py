@@ -136,8 +136,8 @@ def stock_ledger(df: DataFrame, delta: str = "change_quantity", initial: int | s
     per-(key, segment) summary, small and already partitioned, gives each segment
     its offset and the minimum of all earlier segments; joining it back moves only
     the summary.  `initial` is an integer or a column constant per key; null deltas count 0.
-    `order` must order each key's rows totally (as for any sequential fold: with ties
-    the running balance at the tied rows is not defined).
+    Rows that tie on `order` are ordered by a hash of the whole row, so the result is
+    the same on every run (a sequential fold over tied rows has no single answer).
 
     Passes over the input: a row count and a bounded sample (split points, key and
     order columns only), the summary pass (key, order, delta only) and the row pass;
@@ -149,8 +149,12 @@ def stock_ledger(df: DataFrame, delta: str = "change_quantity", initial: int | s
     n = int(segments or spark.conf.get("spark.sql.shuffle.partitions"))
     init = F.lit(initial) if isinstance(initial, int) else F.col(initial)
 
-    rows = (df.withColumn("_d", F.coalesce(F.col(delta).cast("bigint"), F.lit(0)))
+    # a deterministic last tie-break makes the order total: rows equal in every column
+    # are interchangeable in a running sum, all others are ordered the same way every run
+    rows = (df.withColumn("_tb", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+            .withColumn("_d", F.coalesce(F.col(delta).cast("bigint"), F.lit(0)))
             .withColumn("_init", init.cast("bigint")))
+    order = [*order, "_tb"]
     segmented = assign_segments(rows, keys, order, n)
 
     w_local = Window.partitionBy(*keys, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -168,4 +172,4 @@ def stock_ledger(df: DataFrame, delta: str = "change_quantity", initial: int | s
     running_min = F.least(F.col("_init") + F.col("_off") + F.col("_lmin"), F.col("_init") + F.col("_pmin"))
     return (local.join(segs, [*keys, "_seg"], "inner")
             .withColumn(out, s - F.least(F.lit(0).cast("bigint"), running_min))
-            .drop("_d", "_init", "_seg", "_ls", "_lmin", "_off", "_pmin"))
+            .drop("_tb", "_d", "_init", "_seg", "_ls", "_lmin", "_off", "_pmin"))
