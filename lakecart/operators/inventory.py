@@ -125,7 +125,8 @@ def _order_type(df: DataFrame, name: str) -> T.DataType:
 
 def stock_ledger(df: DataFrame, delta: str = "change_quantity", initial: int | str = 0,
                  keys: list[str] | None = None, order: list[str] | None = None,
-                 segments: int | None = None, out: str = "ledger_on_hand") -> DataFrame:
+                 segments: int | None = None, out: str = "ledger_on_hand",
+                 total_order: bool = True) -> DataFrame:
     """Running stock floored at zero: on_hand_k = max(0, on_hand_{k-1} + delta_k) per key.
 
     Closed form: with S_k = initial + Σ_{i≤k} delta_i, on_hand_k = S_k − min(0, min_{j≤k} S_j).
@@ -137,11 +138,12 @@ def stock_ledger(df: DataFrame, delta: str = "change_quantity", initial: int | s
     its offset and the minimum of all earlier segments; joining it back moves only
     the summary.  `initial` is an integer or a column constant per key; null deltas count 0.
     Rows that tie on `order` are ordered by a hash of the whole row, so the result is
-    the same on every run (a sequential fold over tied rows has no single answer).
+    the same on every run (a sequential fold over tied rows has no single answer);
+    with `total_order=False` (the caller's order is already unique) that hash is
+    skipped and the summary pass reads only key, order and delta columns.
 
-    Passes over the input: a row count and a bounded sample (split points, key and
-    order columns only), the summary pass (key, order, delta only) and the row pass;
-    full rows are shuffled once.
+    Passes over the input: a row count and a bounded sample (split points), the
+    segment-summary pass and the row pass; full rows are shuffled once.
     """
     keys = keys or INVENTORY_KEY
     order = order or ["event_ts", "event_id"]
@@ -151,10 +153,11 @@ def stock_ledger(df: DataFrame, delta: str = "change_quantity", initial: int | s
 
     # a deterministic last tie-break makes the order total: rows equal in every column
     # are interchangeable in a running sum, all others are ordered the same way every run
-    rows = (df.withColumn("_tb", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    tb = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) if total_order else F.lit(0).cast("bigint")
+    rows = (df.withColumn("_tb", tb)
             .withColumn("_d", F.coalesce(F.col(delta).cast("bigint"), F.lit(0)))
             .withColumn("_init", init.cast("bigint")))
-    order = [*order, "_tb"]
+    order = [*order, "_tb"] if total_order else list(order)
     segmented = assign_segments(rows, keys, order, n)
 
     w_local = Window.partitionBy(*keys, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -61,9 +61,9 @@ def _ledger_rows(seqs):
     return rows
 
 
-def _check_ledger(spark, seqs, segments):
+def _check_ledger(spark, seqs, segments, total_order=True):
     df = spark.createDataFrame(_ledger_rows(seqs), SCHEMA)
-    led = inventory.stock_ledger(df, initial="reorder_point", segments=segments)
+    led = inventory.stock_ledger(df, initial="reorder_point", segments=segments, total_order=total_order)
     got = {}
     for r in led.orderBy("product_id", "event_ts").collect():
         got.setdefault(r.product_id, []).append(r.ledger_on_hand)
@@ -91,3 +91,14 @@ def test_ledger_hot_key_is_split_and_exact(spark):
     largest = seg.groupBy("product_id", "store_id", "_seg").count().agg(F.max("count")).first()[0]
     assert largest <= 3 * df.count() / 16                            # no segment near the hot key's 3000 rows
     _check_ledger(spark, seqs, segments=16)
+    _check_ledger(spark, seqs, segments=16, total_order=False)       # event ids are unique here
+
+
+def test_ledger_ties_are_deterministic(spark):
+    t = datetime(2026, 1, 1)
+    rows = [(f"x{i}", "P", "S", t, 0, 0, 0, d) for i, d in enumerate([5, -9, 3, 4, -2])]   # all tie on event_ts
+    rows = [(r[0] if i % 2 else "same", *r[1:]) for i, r in enumerate(rows)]            # and on event_id
+    df = spark.createDataFrame(rows, SCHEMA)
+    runs = {tuple(sorted((r.event_id, r.change_quantity, r.ledger_on_hand) for r in
+                         inventory.stock_ledger(df, segments=s).collect())) for s in (1, 2, 4)}
+    assert len(runs) == 1
