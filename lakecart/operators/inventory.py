@@ -23,12 +23,14 @@ def latest_state(df: DataFrame, keys: list[str] | None = None, time_col: str = "
                  tie_break: list[str] | None = None) -> DataFrame:
     """Latest row per key by event time descending (W1 + F4).
 
-    Ties on the time go to the largest `tie_break` (default `event_id`), so the
-    result is deterministic.  `row_number() == 1` is planned with a per-partition
+    Ties on the time go to the largest `tie_break` (default `event_id`, then bus
+    partition and offset when present), so the result is deterministic.  `row_number() == 1` is planned with a per-partition
     top-1 before the shuffle, so one hot key costs one row per map task.
     """
     keys = keys or INVENTORY_KEY
-    order = [F.col(time_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in (tie_break or ["event_id"])]
+    if tie_break is None:   # event id, then the bus position when the rows carry it (silver does)
+        tie_break = ["event_id"] + [c for c in ("kafka_partition", "kafka_offset") if c in df.columns]
+    order = [F.col(time_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in tie_break]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
