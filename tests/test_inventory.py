@@ -102,3 +102,11 @@ def test_ledger_ties_are_deterministic(spark):
     runs = {tuple(sorted((r.event_id, r.change_quantity, r.ledger_on_hand) for r in
                          inventory.stock_ledger(df, segments=s).collect())) for s in (1, 2, 4)}
     assert len(runs) == 1
+
+
+def test_latest_state_breaks_event_id_ties_by_bus_position(spark):
+    t = datetime(2026, 5, 2)
+    rows = [("same", "P", "S", t, 5, 5, 1, 0, 0, 10), ("same", "P", "S", t, 9, 9, 1, 0, 0, 11),
+            ("same", "P", "S", t, 7, 7, 1, 0, 0, 3)]
+    df = spark.createDataFrame(rows, SCHEMA + ", kafka_partition int, kafka_offset bigint")
+    assert inventory.latest_state(df).first().kafka_offset == 11
