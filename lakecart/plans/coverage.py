@@ -11,14 +11,15 @@ COVERAGE: dict[str, tuple[list[str], list[str]]] = {
     "S1": (["lakecart.sources.bus.bus_stream", "lakecart.sources.bus.file_bus_stream"], ["stream_bronze"]),
     "S2": (["lakecart.sources.bus.envelope", "lakecart.sources.bus.bronze"], ["bronze_envelope"]),
     "S3": (["lakecart.sources.catalog.read_catalog_csv", "lakecart.sources.catalog.typed_catalog"], ["catalog_scan"]),
-    "S4": (["lakecart.sources.tables.read_table_if_exists"], []),
+    "S4": (["lakecart.sources.tables.read_table_if_exists"], ["refresh_revenue_daily"]),
     "S5": (["lakecart.sources.tables.register_sources"], ["sql_revenue_daily"]),
     "S6": (["lakecart.sources.catalog.load_catalog"], []),
     "S7": (["lakecart.sources.jsonl.read_jsonl_events", "lakecart.sources.jsonl.jsonl_envelope"], []),
     # sinks
     "K1": (["lakecart.sinks.writers.write_stream"], ["stream_bronze", "stream_quarantine"]),
     "K2": (["lakecart.streaming.topic_streams.OrderGoldBatchWriter"], ["stream_gold_increment"]),
-    "K3": (["lakecart.sinks.writers.write_overwrite", "lakecart.plans.gold_refresh.refresh"], []),
+    "K3": (["lakecart.sinks.writers.write_overwrite", "lakecart.plans.gold_refresh.refresh"],
+           ["refresh_revenue_daily", "refresh_inventory_risk"]),
     "K4": (["lakecart.sinks.layout.Layout"], ["layer_health"]),
     "K5": (["lakecart.sinks.writers.publish_frame", "lakecart.sinks.writers.publish_to_bus",
             "lakecart.sinks.writers.publish_to_files"], ["publish_gate"]),

@@ -439,3 +439,29 @@ def silver_inventory(spark, sf_dir):
 def revenue_daily_ordered(spark, sf_dir):
     """The daily revenue table in its report order (O1)."""
     return gold.order_revenue_daily(gold.revenue_daily(_fact(_fx(spark, sf_dir))))
+
+
+# ---- the batch refresh job over silver tables written from the fixtures ----------------
+
+def _refreshed(spark, sf_dir):
+    from lakecart.plans.gold_refresh import refresh
+    from lakecart.session import run_dir
+    from lakecart.sinks.layout import Layout
+
+    fx = _fx(spark, sf_dir)
+    layout = Layout.under(run_dir(spark, "refresh"))
+    _enriched(fx).withColumn("_dq_is_valid", F.lit(True)).write.parquet(layout.table("silver", "orders"))
+    fx["inventory"].withColumn("_dq_is_valid", F.lit(True)).write.parquet(layout.table("silver", "inventory"))
+    return refresh(spark, layout)
+
+
+@query
+def refresh_revenue_daily(spark, sf_dir):
+    """Daily revenue as the refresh job writes it (silver → fact → written gold table, K3)."""
+    return spark.read.parquet(_refreshed(spark, sf_dir)["revenue_daily"])
+
+
+@query
+def refresh_inventory_risk(spark, sf_dir):
+    """The all-levels risk table as the refresh job writes it."""
+    return portable(spark.read.parquet(_refreshed(spark, sf_dir)["inventory_risk"]))

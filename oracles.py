@@ -333,4 +333,10 @@ ORACLES: dict[str, str] = {
 
     "stream_collapsed_clickstream": CLICK_CTE + """
       SELECT DISTINCT session_id, event_type, event_ts FROM checked WHERE _dq_errors = ''""",
+
+    "refresh_revenue_daily": ORDERS_CTE + "," + REVENUE_DAILY + " SELECT * FROM revenue",
+
+    "refresh_inventory_risk": INV_CTE + """
+      SELECT product_id, sku, store_id, event_ts, on_hand, available_to_promise, reorder_point,
+             inventory_risk_level FROM latest""",
 }
