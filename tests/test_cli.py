@@ -64,3 +64,19 @@ def test_refresh_partitioned_by_date(spark, tmp_path):
     assert dates == ["order_date=2026-05-02", "order_date=2026-05-03"]
     daily = spark.read.parquet(written["revenue_daily"])
     assert daily.count() == 5 and round(sum(r.revenue for r in daily.collect()), 2) == 5255.16
+
+
+def test_publish_assigns_partitions_by_key(spark, tmp_path):
+    inp = tmp_path / "in"
+    inp.mkdir()
+    events = [order(event_id=f"e{i}", order_id=f"O{i}") for i in range(30)]
+    (inp / "orders.jsonl").write_text("\n".join(json.dumps(e) for e in events) + "\n")
+    bus = str(tmp_path / "bus")
+    assert main(["publish", "--input", str(inp), "--topics", "orders", "--bus", "files", "--location", bus,
+                 "--partitions", "3"]) == 0
+    rows = spark.read.parquet(f"{bus}/orders").select("key", "partition").collect()
+    assert len(rows) == 30 and {r.partition for r in rows} <= {0, 1, 2} and len({r.partition for r in rows}) > 1
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(bytes(r.key), set()).add(r.partition)
+    assert all(len(p) == 1 for p in by_key.values())                 # a key always lands on one partition
