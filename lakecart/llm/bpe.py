@@ -12,8 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakecart.llm.textbatch import slices
+
 # Distinct pre-tokens remembered per task, and the longest of them; beyond that they are encoded again.
-CACHE_ENTRIES, CACHE_LENGTH = 300_000, 48
+CACHE_ENTRIES, CACHE_LENGTH = 150_000, 48
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -131,12 +133,10 @@ def _mapped(docs: DataFrame, vocabulary_path: str, pattern: str, columns: str, m
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(*shared.value)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                ids = [codec.encode(t or "") for t in part.column("text").to_pylist()]
-                back = [codec.decode(i) for i in ids]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *made(ids, back)], names=names)
+        for part in slices(batches):
+            ids = [codec.encode(t or "") for t in part.column("text").to_pylist()]
+            back = [codec.decode(i) for i in ids]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *made(ids, back)], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     src = docs.select("doc_id", F.col("text").cast("string").alias("text"))

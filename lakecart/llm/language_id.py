@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakecart.llm.textbatch import slices
+
 # Bounded sample the automata are built from: documents and normalised characters per language, the latter shared
 # among languages so that all tables together stay under TABLE_CELLS.
 TRAIN_DOCS, TRAIN_CHARS, TABLE_CELLS = 96, 32_768, 24_000_000
@@ -223,7 +225,7 @@ def predict_language(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             got = list(parser.predict(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],

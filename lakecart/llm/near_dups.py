@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lakecart.llm.components import connected_components
 from lakecart.llm.store import written
-from lakecart.llm.textbatch import mix, shingle_sets
+from lakecart.llm.textbatch import mix, shingle_sets, slices
 
 SHINGLE_WORDS = 5
 # 40 permutations give 80 values (each one's minimum and maximum): 20 bands of 4.  A pair at similarity s misses every
@@ -20,7 +20,7 @@ SHINGLE_WORDS = 5
 BANDS, PERMS_PER_BAND = 20, 2
 PERMS = BANDS * PERMS_PER_BAND
 # Members of one bucket compared in one row, and what one confirming group holds of a large candidate group.
-BUCKET_BLOCK, GROUP_DOCS, GROUP_SHINGLES = 512, 512, 500_000
+BUCKET_BLOCK, GROUP_DOCS, GROUP_SHINGLES = 512, 512, 300_000
 # Signature agreement below which two bucket members are not taken as candidates: 80 values of 8 bits put a pair at
 # similarity 0.8 about 5.6 standard deviations above it.
 AGREE = 0.55
@@ -70,7 +70,7 @@ def sketches(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, n_shingles, d1, d2, bands, sig): set size, set digest, band keys and signature per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             size, digest, bands, sig = sketch_batch(batch.column("text").to_pylist(), k)
             n = len(size)
             offsets = pa.array(np.arange(n + 1, dtype=np.int32) * BANDS)

@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecart.llm.textbatch import IS_SPACE, chunks, mix, windows, word_hashes
+from lakecart.llm.textbatch import IS_SPACE, chunks, mix, slices, windows, word_hashes
 
 # The contract's base rules.
 MIN_WORDS, MAX_REPEAT_PERCENT, SYMBOLS = 50, 50, b"#*$%&|<>"
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 _SPACES = " \t\n\x0b\x0c\r"
-CACHE_ENTRIES, CACHE_LENGTH = 250_000, 64
+CACHE_ENTRIES, CACHE_LENGTH = 150_000, 64
 
 
 @dataclass(frozen=True)
@@ -197,7 +197,7 @@ def _measurer(docs: DataFrame, vocabulary_path: str):
 
     def measured(batches, text_at):
         fertility = Fertility(model.value)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(text_at).to_pylist()
             base = base_counts(texts)
             failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > MAX_REPEAT_PERCENT * base[:, 0])

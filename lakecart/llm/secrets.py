@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecart.llm.textbatch import ASCII_LOWER
+from lakecart.llm.textbatch import ASCII_LOWER, slices
 
 # A trigram query: all clauses must hold; a clause holds if all trigrams of one of its alternatives are there.
 Query = list[list[frozenset[bytes]]]
@@ -226,7 +226,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
-        for batch in batches:
+        for batch in slices(batches):
             spans = [[{"kind": kinds[n], "start": a, "end": b} for a, n, b in found]
                      for found in scanner.scan(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, made)], names=["doc_id", "spans"])
@@ -246,7 +246,7 @@ def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(text_at).to_pylist()
             changed = {}
             for i, found in enumerate(scanner.scan(texts)):

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _rng.integers(1, 2**64 - 1, 256, dtype=np.uint64)
@@ -21,6 +22,17 @@ ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 CHUNK_BYTES = 1 << 20
 
 
+# Rows turned into Python strings at once: an Arrow batch may hold ten thousand long texts.
+SLICE_ROWS = 256
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of SLICE_ROWS rows, so a task's working memory does not follow the batch size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (SplitMix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
