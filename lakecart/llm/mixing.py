@@ -196,11 +196,12 @@ def mix(docs: DataFrame) -> DataFrame:
         "taken", F.size("shards") * F.col("size"))
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
+def mixed_documents(docs: DataFrame, placed: bool = False) -> DataFrame:
     """`docs` as the mix takes them: a document appears once per taken copy, all its columns kept.
 
-    Rows go to their shards (partitions) in local shuffle order.  A row of size 0 counts no words; it stays as often
-    as its block is taken.
+    The texts move once, to meet the narrow table of decisions (built into hash tables, so texts are not sorted).
+    placed: rows also move to their shard's partition and are shuffled there by a hash of the copy; it costs a second
+    move of the texts.  A row of size 0 counts no words; it stays as often as its block is taken.
     """
     dealt = mix(docs.select("doc_id", "text", "source")).where(F.size("shards") > 0)
     dealt = dealt.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("h").alias("_mix_to"), "shards")
@@ -209,7 +210,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn("_mix_h", _digest(F.col("source"), F.col("doc_id"), size))
     same = ((F.col("_mix_h") == F.col("_mix_to")) & F.col("doc_id").eqNullSafe(F.col("_mix_id"))
             & F.col("source").eqNullSafe(F.col("_mix_source")))
-    copies = keyed.join(dealt, same).select(*docs.columns, F.posexplode("shards").alias("_mix_copy", "_mix_shard"), "_mix_h")
-    place = _digest(F.lit("shuffle"), F.col("_mix_copy"), F.col("_mix_h"))
-    return copies.withColumn("_mix_place", place).repartition("_mix_shard").sortWithinPartitions(
-        "_mix_shard", "_mix_place").select(*docs.columns)
+    copies = keyed.join(dealt.hint("shuffle_hash"), same).select(
+        *docs.columns, F.posexplode("shards").alias("_mix_copy", "_mix_shard"), "_mix_h")
+    if placed:
+        copies = copies.withColumn("_mix_place", _digest(F.lit("shuffle"), F.col("_mix_copy"), F.col("_mix_h")))
+        copies = copies.repartition("_mix_shard").sortWithinPartitions("_mix_shard", "_mix_place")
+    return copies.select(*docs.columns)
