@@ -86,7 +86,7 @@ def tile_topk(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k:
 
 
 def _best(qid, xid, qi, xi, score, k):
-    by = np.lexsort((xid[xi], -score, qi))
+    by = np.lexsort((xid[xi], ~score, qi))  # ~: the order of -score without its overflow
     qi, xi, score = qi[by], xi[by], score[by]
     starts = np.searchsorted(qi, qi)
     keep = np.arange(len(qi)) - starts < k
