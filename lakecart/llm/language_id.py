@@ -97,7 +97,7 @@ class Model:
             out.append(np.where(t >= 0, t + first, fresh | _BREAK).ravel().astype(np.int32))
             roots.append(first)
             first += states
-        return np.concatenate(out), np.array(roots, np.int32)
+        return np.concatenate([np.zeros(0, np.int32), *out]), np.array(roots, np.int32)
 
 
 def build_model(samples: dict[str, list[str]], chars: int = TRAIN_CHARS) -> Model:
@@ -144,6 +144,8 @@ class Parser:
         counts = np.zeros((len(texts), len(self.model.langs)), np.int64)
         has = np.zeros(len(texts), bool)
         has[owner[codes != GAP]] = True
+        if not self.model.langs:
+            return counts, has
         symbols = self.symbols[codes]
         first = np.searchsorted(owner, np.arange(len(texts) + 1))
         lanes = np.concatenate([np.zeros(0, np.int64), *[np.arange(a, b, BLOCK) for a, b in zip(first[:-1], first[1:], strict=True)]])
