@@ -86,7 +86,7 @@ def cmd_health(args) -> int:
         names = [(r.layer, r.table) for r in out.filter("kind = 'table'").select("layer", "table").collect()]
         out = out.join(layer_contents(spark, lay, names), ["layer", "table"], "left")
     out = out.orderBy("kind", "layer", "table")
-    out.write.mode("overwrite").json(args.output) if args.output else out.show(1000, truncate=False)
+    out.write.mode("overwrite").json(args.output) if args.output else out.show(max(1, out.count()), truncate=False)
     return 0
 
 

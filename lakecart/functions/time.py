@@ -25,8 +25,8 @@ def parse_event_time(c: Column | str) -> Column:
 
 
 def iso_utc_text(c: Column | str) -> Column:
-    """Timestamp → 'yyyy-MM-ddTHH:mm:ss.ffffffZ' (UTC session)."""
-    return F.date_format(to_col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """Timestamp → 'yyyy-MM-ddTHH:mm:ss.ffffffZ' in UTC, whatever the session zone."""
+    return F.date_format(F.to_utc_timestamp(to_col(c), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def as_timestamp_literal(value: datetime | str | Column | None) -> Column:

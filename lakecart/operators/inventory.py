@@ -64,117 +64,74 @@ def inventory_risk_model(staged_inventory: DataFrame, tie_break: list[str] | Non
         .withColumn("inventory_risk_level", risk_level()).select(*RISK_MODEL_COLUMNS)
 
 
-def _order_value(df: DataFrame, name: str) -> Column:
-    """Order column as a comparable scalar: timestamps → micros, dates → days; nulls first."""
-    dtype = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dtype, T.TimestampType) or isinstance(dtype, T.TimestampNTZType):
-        return F.coalesce(F.unix_micros(c.cast("timestamp")), F.lit(-(2 ** 63)))
-    if isinstance(dtype, T.DateType):
-        return F.coalesce(F.unix_date(c), F.lit(-(2 ** 31)))
-    return c
-
-
-def segment_bounds(df: DataFrame, keys: list[str], order: list[str], segments: int,
-                   samples_per_segment: int = 20, seed: int = 17) -> DataFrame:
-    """Split points that cut hot keys into contiguous segments, from a bounded sample.
-
-    About `segments × samples_per_segment` rows are sampled (never more than twice
-    that reach the driver), sorted by (key, order) and every
-    `samples_per_segment`-th one becomes a split point, so a key holding a share s
-    of all rows gets about s × segments split points.  Returns at most
-    `segments` rows: the key columns and `_bounds`, the key's sorted split points.
+def time_bucket(df: DataFrame, name: str, width: int) -> Column:
+    """Number of the `width`-wide bucket of an order column (seconds for times and dates, units for numbers).
+
+    Computed from the row alone; nulls come first.
     """
-    spark = df.sparkSession
-    want = segments * samples_per_segment
-    total = df.count()
-    schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys] +
-                          [T.StructField("_bounds", T.ArrayType(T.StructType(
-                              [T.StructField(f"o{i}", _order_type(df, o)) for i, o in enumerate(order)])))])
-    if total == 0:
-        return spark.createDataFrame([], schema)
-    frac = min(1.0, want / total)
-    cols = [F.col(k) for k in keys] + [_order_value(df, o).alias(f"o{i}") for i, o in enumerate(order)]
-    sample = df.sample(fraction=frac, seed=seed).select(*cols).limit(2 * want).collect()
-    nk = len(keys)
-    sample.sort(key=lambda r: tuple((v is not None, v) for v in r))
-    per_key: dict[tuple, list] = {}
-    for r in sample[samples_per_segment::samples_per_segment]:
-        per_key.setdefault(tuple(r[:nk]), []).append(tuple(r[nk:]))
-    rows = [(*k, [tuple(b) for b in v]) for k, v in per_key.items()]
-    return spark.createDataFrame(rows, schema)
-
-
-def assign_segments(df: DataFrame, keys: list[str], order: list[str], segments: int) -> DataFrame:
-    """Adds `_seg`: the number of the key's split points at or before the row, so each key's
-    rows in (order) form contiguous segments of roughly total/segments rows or fewer."""
-    bounds = segment_bounds(df, keys, order, segments)
-    point = F.struct(*[_order_value(df, o).alias(f"o{i}") for i, o in enumerate(order)])
-    seg = F.size(F.filter(F.coalesce(F.col("_bounds"), F.array().cast(bounds.schema["_bounds"].dataType)),
-                          lambda b: b <= point))
-    # at most `segments` rows of split points: a proven size bound for the broadcast
-    return df.join(F.broadcast(bounds), keys, "left").withColumn("_seg", seg).drop("_bounds")
-
-
-def _order_type(df: DataFrame, name: str) -> T.DataType:
-    dtype = df.schema[name].dataType
+    dtype, c = df.schema[name].dataType, F.col(f"`{name}`")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return T.LongType()
-    if isinstance(dtype, T.DateType):
-        return T.IntegerType()
-    return dtype
+        value = F.unix_micros(c.cast("timestamp")) / 1_000_000
+    elif isinstance(dtype, T.DateType):
+        value = F.unix_date(c).cast("bigint") * 86_400
+    elif isinstance(dtype, T.NumericType):
+        value = c
+    else:
+        raise TypeError(f"the first order column must be a time, a date or a number, not {dtype.simpleString()}")
+    return F.coalesce(F.floor(value / width).cast("bigint"), F.lit(-(2 ** 63)))
+
+
+def _plain_key(df: DataFrame, name: str) -> list[Column]:
+    """A key as two columns without nulls, so that plain equality joins null keys too."""
+    dtype, c = df.schema[name].dataType, F.col(f"`{name}`")
+    zero = F.lit("" if isinstance(dtype, T.StringType) else "1970-01-01" if isinstance(
+        dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)) else 0).cast(dtype)
+    return [c.isNull(), F.coalesce(c, zero)]
 
 
 def stock_ledger(df: DataFrame, delta: str = "change_quantity", initial: int | str = 0,
                  keys: list[str] | None = None, order: list[str] | None = None,
-                 segments: int | None = None, out: str = "ledger_on_hand",
+                 bucket: int = 86_400, out: str = "ledger_on_hand",
                  total_order: bool = True) -> DataFrame:
     """Running stock floored at zero: on_hand_k = max(0, on_hand_{k-1} + delta_k) per key.
 
     Closed form: with S_k = initial + Σ_{i≤k} delta_i, on_hand_k = S_k − min(0, min_{j≤k} S_j).
-    A plain window per key would put a hot key's whole history in one task, so each
-    key's sequence is cut into contiguous segments at sampled split points
-    (`segment_bounds`, at most `segments` rows, broadcast).  Per segment the local
-    running sum and minimum are window results (one shuffle on key + segment); a
-    per-(key, segment) summary, small and already partitioned, gives each segment
-    its offset and the minimum of all earlier segments; joining it back moves only
-    the summary.  `initial` is an integer or a column constant per key; null deltas count 0.
+    A plain window per key would put a hot key's whole history in one task, so each key's sequence is cut into
+    buckets of its first order column (`bucket` seconds, or units of a number; a day by default; take less for
+    hotter keys).  Per bucket the local running sum and minimum are window results (the one shuffle of full rows, on
+    key + bucket); a per-(key, bucket) summary gives each bucket its offset and the minimum of all earlier ones and
+    is joined back, moving only the summary.  No sample, count or broadcast is needed.  Null keys form a key of their
+    own and keep their rows.  `initial` is an integer or a column constant per key; null deltas count 0.
     Rows that tie on `order` are ordered by a hash of the whole row, so the result is
     the same on every run (a sequential fold over tied rows has no single answer);
     with `total_order=False` (the caller's order is already unique) that hash is
     skipped and the summary pass reads only key, order and delta columns.
-
-    Passes over the input: a row count and a bounded sample (split points), the
-    segment-summary pass and the row pass; full rows are shuffled once.
     """
     keys = keys or INVENTORY_KEY
     order = order or ["event_ts", "event_id"]
-    spark = df.sparkSession
-    n = int(segments or spark.conf.get("spark.sql.shuffle.partitions"))
     init = F.lit(initial) if isinstance(initial, int) else F.col(initial)
 
     # a deterministic last tie-break makes the order total: rows equal in every column
     # are interchangeable in a running sum, all others are ordered the same way every run
     tb = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) if total_order else F.lit(0).cast("bigint")
-    rows = (df.withColumn("_tb", tb)
-            .withColumn("_d", F.coalesce(F.col(delta).cast("bigint"), F.lit(0)))
-            .withColumn("_init", init.cast("bigint")))
+    own = [f"_k{i}" for i in range(2 * len(keys))]
+    plain = dict(zip(own, [c for k in keys for c in _plain_key(df, k)], strict=True))
+    rows = df.withColumns({**plain, "_seg": time_bucket(df, order[0], bucket), "_tb": tb,
+                           "_d": F.coalesce(F.col(delta).cast("bigint"), F.lit(0)), "_init": init.cast("bigint")})
     order = [*order, "_tb"] if total_order else list(order)
-    segmented = assign_segments(rows, keys, order, n)
 
-    w_local = Window.partitionBy(*keys, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = (segmented.withColumn("_ls", F.sum("_d").over(w_local))
-             .withColumn("_lmin", F.min("_ls").over(w_local)))
+    w_local = Window.partitionBy(*own, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumn("_ls", F.sum("_d").over(w_local)).withColumn("_lmin", F.min("_ls").over(w_local))
 
-    w_prev = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    segs = (local.groupBy(*keys, "_seg").agg(F.sum("_d").alias("_tot"), F.min("_ls").alias("_smin"))
+    w_prev = Window.partitionBy(*own).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    segs = (local.groupBy(*own, "_seg").agg(F.sum("_d").alias("_tot"), F.min("_ls").alias("_smin"))
             .withColumn("_off", F.coalesce(F.sum("_tot").over(w_prev), F.lit(0)))
             .withColumn("_pmin", F.min(F.col("_off") + F.col("_smin")).over(w_prev))
-            .select(*keys, "_seg", "_off", "_pmin"))
+            .select(*own, "_seg", "_off", "_pmin"))
 
     s = F.col("_init") + F.col("_off") + F.col("_ls")
-    # least() skips nulls: the first segment has no earlier minimum
+    # least() skips nulls: the first bucket has no earlier minimum
     running_min = F.least(F.col("_init") + F.col("_off") + F.col("_lmin"), F.col("_init") + F.col("_pmin"))
-    return (local.join(segs, [*keys, "_seg"], "inner")
+    return (local.join(segs, [*own, "_seg"], "inner")
             .withColumn(out, s - F.least(F.lit(0).cast("bigint"), running_min))
-            .drop("_tb", "_d", "_init", "_seg", "_ls", "_lmin", "_off", "_pmin"))
+            .select(*[F.col(f"`{c}`") for c in df.columns if c != out], out))

@@ -11,8 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakecart.session import session_key
-
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
@@ -31,29 +29,16 @@ def _value_bytes(field: T.StructField) -> Column:
     return F.lit(_WIDTH.get(type(field.dataType), 8))
 
 
-_CHECKED: dict[tuple, bool] = {}
-
-
 def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                    max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
     """True when `dim` has at most `max_rows` rows and about `max_bytes` of values.
 
     One job over at most max_rows + 1 rows counts them and sums their value sizes.
-    The answer is remembered per session for the same plan over the same input
-    files; a dimension that gains files is checked again.
+    Nothing is remembered: a dimension rewritten in place is measured anew.
     """
-    try:
-        key = (session_key(dim.sparkSession), dim.semanticHash(), tuple(sorted(dim.inputFiles())), max_rows, max_bytes)
-    except Exception:  # noqa: BLE001 - plans without file inputs are simply not memoised
-        key = None
-    if key is not None and key in _CHECKED:
-        return _CHECKED[key]
     size = sum((_value_bytes(f) for f in dim.schema.fields), F.lit(0))
     row = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
-    ok = row.n <= max_rows and (row.b or 0) <= max_bytes
-    if key is not None:
-        _CHECKED[key] = ok
-    return ok
+    return row.n <= max_rows and (row.b or 0) <= max_bytes
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",

@@ -63,13 +63,16 @@ def quarantine_rows(df: DataFrame) -> DataFrame:
 
 
 def dedupe_events(df: DataFrame, topic: str, tie_break: list[str] | None = None) -> DataFrame:
-    """Batch dedupe on the topic key, keeping the first row by `tie_break` (default `event_id`).
+    """Batch dedupe on the topic key, keeping the first row by `tie_break` (default `event_id`,
+    then bus partition and offset when present, so redeliveries of one event leave a fixed row).
 
     `row_number() == 1` plans as a per-partition top-1 before the shuffle
     (`WindowGroupLimit`), so a hot key ships at most one row per map task.
     """
     c = contract(topic)
-    order = [F.col(x).asc_nulls_last() for x in (tie_break or ["event_id"])]
+    if tie_break is None:
+        tie_break = ["event_id"] + [x for x in ("kafka_partition", "kafka_offset") if x in df.columns]
+    order = [F.col(x).asc_nulls_last() for x in tie_break]
     w = Window.partitionBy(*c.dedupe_key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 

@@ -122,20 +122,45 @@ def late_by_payload(df: DataFrame, topic: str, now: datetime | str | Column | No
     return _drop_kinds(out)
 
 
+def _quoted(text: Column) -> Column:
+    listed = F.to_json(F.array(text))
+    return F.substr(listed, F.lit(2), F.length(listed) - 2)
+
+
+def sorted_json(payload: Column) -> Column:
+    """A JSON object's text with its keys sorted and each value as it was written (strings re-escaped).
+
+    A repeated key keeps its last value.
+    """
+    kinds = F.transform(F.map_entries(F.from_json(payload, "map<string,variant>")), lambda e: F.schema_of_variant(e["value"]))
+    both = F.arrays_zip(F.map_entries(F.from_json(payload, "map<string,string>")).alias("e"), kinds.alias("kind"))
+    members = F.array_sort(F.transform(both, lambda m, i: F.struct(
+        m["e"]["key"].alias("key"), i.alias("i"), m["e"]["value"].alias("text"), m["kind"].alias("kind"))))
+
+    # One fold over the sorted members (each parse runs once a row); `last` waits for a later value of its key.
+    def add(a, m):
+        value = F.when(m["kind"] == "STRING", _quoted(m["text"])).otherwise(F.coalesce(m["text"], F.lit("null")))
+        done = F.when(a["key"].isNull() | (a["key"] == m["key"]), a["done"]).otherwise(F.concat(a["done"], a["last"], F.lit(",")))
+        return F.struct(done.alias("done"), m["key"].alias("key"), F.concat(_quoted(m["key"]), F.lit(":"), value).alias("last"))
+
+    start = F.struct(F.lit("").alias("done"), F.lit(None).cast("string").alias("key"), F.lit("").alias("last"))
+    return F.aggregate(members, start, add, lambda a: F.concat(F.lit("{"), a["done"], a["last"], F.lit("}")))
+
+
 def publish_gate(envelope_df: DataFrame, topic: str, num_partitions: int | None = None,
                  payload: str = "payload") -> DataFrame:
     """Drop events failing the strict checks; key the rest by the primary-key fingerprint and
-    re-serialise them as sorted-key JSON of the topic's fields (D8 → K5).  Returns bus records.
+    publish them whole, as sorted-key JSON (D8 → K5).  Returns bus records.
 
-    The payload is parsed once; values keep their own JSON kinds in the published text.
+    Every field of the event is kept, the topic's or not, absent ones stay absent, and numbers stay as written.
     """
     c = contract(topic)
-    parsed = _with_kinds(envelope_df, topic, payload, c.field_names)
+    parsed = _with_kinds(envelope_df, topic, payload, list(c.primary_key))
     checked = parsed.withColumn("_strict_errors", _strict_errors(topic)) \
         .withColumn("_strict_is_valid", F.size("_strict_errors") == 0)
-    valid = keep_where(checked.select("_j", "_strict_is_valid", "kafka_timestamp"), "_strict_is_valid")
-    value = F.to_json(F.struct(*[F.col(f"_j.{n}").alias(n) for n in sorted(c.field_names)]),
-                      {"ignoreNullFields": "false"})
+    valid = keep_where(checked.select("_j", F.col(payload).alias("_text"), "_strict_is_valid", "kafka_timestamp"),
+                       "_strict_is_valid")
+    value = sorted_json(F.col("_text"))
     keyed = valid.select(*[F.try_variant_get(F.col(f"_j.{k}"), "$", "string").alias(k) for k in c.primary_key],
                          value.alias("_value"), "kafka_timestamp")
     return publish_frame(keyed, topic, list(c.primary_key), value=F.col("_value"), num_partitions=num_partitions,

@@ -191,7 +191,8 @@ def low_inventory_table(spark, sf_dir):
 @query
 def stock_ledger(spark, sf_dir):
     inv = _fx(spark, sf_dir)["inventory"]
-    led = inventory.stock_ledger(inv, delta="change_quantity", initial="reorder_point")
+    led = inventory.stock_ledger(inv, delta="change_quantity", initial="reorder_point",
+                                 bucket=30 * 86_400)
     return portable(led.select("event_id", "product_id", "store_id", "event_ts", "change_quantity",
                                "ledger_on_hand"))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -61,17 +63,21 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``) for checkpoints and work tables.
 
     On a cluster this is always taken from the session.  Only when the setting is
-    absent (local runs and tests) a private temporary folder is created once per
-    session and registered as the checkpoint directory.
+    absent, a local master gets a private temporary folder, made once per session,
+    registered as the checkpoint directory and removed when Python ends; any other
+    master raises, because executors would not see the driver's folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if d:
         return d.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     key = session_key(spark)
     if key not in _LOCAL_SHARED:
         local = tempfile.mkdtemp(prefix="lakecart-shared-")
         spark.sparkContext.setCheckpointDir(os.path.join(local, "rdd-checkpoints"))
         _LOCAL_SHARED[key] = local
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
     return _LOCAL_SHARED[key]
 
 

@@ -244,7 +244,8 @@ def await_queries(spark: SparkSession, queries: list[StreamingQuery], drain: boo
 
 
 def watermark_drops(query: StreamingQuery) -> int:
-    """Rows dropped as too late by the query's stateful operators so far (T4 metric)."""
+    """Rows dropped as too late by the query's stateful operators (T4 metric), over the progress entries that Spark
+    retains (`spark.sql.streaming.numRecentProgressUpdates`, 100 by default); older ones are no longer counted."""
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else []:

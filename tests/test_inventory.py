@@ -61,9 +61,9 @@ def _ledger_rows(seqs):
     return rows
 
 
-def _check_ledger(spark, seqs, segments, total_order=True):
+def _check_ledger(spark, seqs, minutes, total_order=True):
     df = spark.createDataFrame(_ledger_rows(seqs), SCHEMA)
-    led = inventory.stock_ledger(df, initial="reorder_point", segments=segments, total_order=total_order)
+    led = inventory.stock_ledger(df, initial="reorder_point", bucket=60 * minutes, total_order=total_order)
     got = {}
     for r in led.orderBy("product_id", "event_ts").collect():
         got.setdefault(r.product_id, []).append(r.ledger_on_hand)
@@ -75,7 +75,7 @@ def _check_ledger(spark, seqs, segments, total_order=True):
 @given(st.lists(st.tuples(st.integers(0, 30), st.lists(st.integers(-15, 12), min_size=1, max_size=40)),
                 min_size=1, max_size=5))
 def test_ledger_equals_sequential_fold(spark, seqs):
-    _check_ledger(spark, seqs, segments=3)
+    _check_ledger(spark, seqs, minutes=7)
 
 
 def test_ledger_hot_key_is_split_and_exact(spark):
@@ -84,14 +84,22 @@ def test_ledger_hot_key_is_split_and_exact(spark):
     cold = [(rnd.randint(0, 9), [rnd.randint(-5, 5) for _ in range(rnd.randint(1, 20))]) for _ in range(20)]
     seqs = [hot] + cold
     df = spark.createDataFrame(_ledger_rows(seqs), SCHEMA)
-    bounds = inventory.segment_bounds(df, ["product_id", "store_id"], ["event_ts", "event_id"], 16)
-    hot_bounds = bounds.filter(F.col("product_id") == "P0").select(F.size("_bounds")).first()[0]
-    assert hot_bounds >= 8                                           # the hot key is cut into many segments
-    seg = inventory.assign_segments(df, ["product_id", "store_id"], ["event_ts", "event_id"], 16)
+    seg = df.withColumn("_seg", inventory.time_bucket(df, "event_ts", 60 * 200))
     largest = seg.groupBy("product_id", "store_id", "_seg").count().agg(F.max("count")).first()[0]
-    assert largest <= 3 * df.count() / 16                            # no segment near the hot key's 3000 rows
-    _check_ledger(spark, seqs, segments=16)
-    _check_ledger(spark, seqs, segments=16, total_order=False)       # event ids are unique here
+    assert largest == 200                                            # the hot key's 3000 rows are 15 buckets
+    _check_ledger(spark, seqs, minutes=200)
+    _check_ledger(spark, seqs, minutes=200, total_order=False)       # event ids are unique here
+
+
+def test_ledger_keeps_null_keys_and_null_times(spark):
+    t = datetime(2026, 1, 1)
+    rows = [("a", None, "S", t, 0, 0, 0, -3), ("b", None, "S", t + timedelta(days=3), 0, 0, 0, 5),
+            ("c", None, "S", t + timedelta(days=9), 0, 0, 0, -2), ("d", "P", None, t, 0, 0, 0, 4),
+            ("e", "P", None, None, 0, 0, 0, 1), ("f", "", "S", t, 0, 0, 0, 7)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    led = inventory.stock_ledger(df)
+    assert led.columns == [*df.columns, "ledger_on_hand"]
+    assert {r.event_id: r.ledger_on_hand for r in led.collect()} == {"a": 0, "b": 5, "c": 3, "e": 1, "d": 5, "f": 7}
 
 
 def test_ledger_ties_are_deterministic(spark):
@@ -100,7 +108,7 @@ def test_ledger_ties_are_deterministic(spark):
     rows = [(r[0] if i % 2 else "same", *r[1:]) for i, r in enumerate(rows)]            # and on event_id
     df = spark.createDataFrame(rows, SCHEMA)
     runs = {tuple(sorted((r.event_id, r.change_quantity, r.ledger_on_hand) for r in
-                         inventory.stock_ledger(df, segments=s).collect())) for s in (1, 2, 4)}
+                         inventory.stock_ledger(df, bucket=s).collect())) for s in (1, 60, 86_400)}
     assert len(runs) == 1
 
 

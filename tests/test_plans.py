@@ -74,14 +74,14 @@ def test_quality_flag_not_reinlined_into_a_filter(fx):
 def test_ledger_rows_not_shuffled_by_key_alone(fx, spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        led = inventory.stock_ledger(fx["inventory"], initial="reorder_point", segments=8)
+        led = inventory.stock_ledger(fx["inventory"], initial="reorder_point")
         p = led._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     exchanges = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
-    # the row-level shuffle is keyed by (product_id, store_id, _seg); only the small segment table is keyed by key
+    # the row-level shuffle is keyed by key and bucket; only the small per-bucket table is keyed by key
     assert any("_seg" in e for e in exchanges)
-    assert "BroadcastExchange" in p                                     # split points are broadcast
+    assert "_tb" not in p.split("Exchange SinglePartition")[0] or "SinglePartition" not in p
 
 
 def test_salted_join_beyond_the_bound_keeps_results(fx):

@@ -105,7 +105,16 @@ def test_publish_gate_keeps_valid_events_with_their_json_kinds(spark):
     assert rec.key.decode() == hashlib.sha256(json.dumps({"event_id": "keep"}, sort_keys=True).encode()).hexdigest()
     value = json.loads(rec.value.decode())
     assert value["quantity"] is True and value["event_id"] == "keep"
-    assert list(value) == sorted(value) and "extra_field" not in value
+    assert list(value) == sorted(value)
+
+
+def test_published_value_is_the_whole_event(spark):
+    event = json.loads(_o(event_id="keep", coupon="first", note="X\"10\n", nested={"b": [1, {"c": None}], "a": 1.50}, none=None, unit_price=10.0))
+    event.pop("sku")
+    rec = strict.publish_gate(envelope(spark, "orders", [json.dumps(event)[:-1] + ', "coupon": "last"}']), "orders").first()
+    text = rec.value.decode()
+    assert json.loads(text) == event | {"coupon": "last"}
+    assert '"unit_price":10.0' in text and '"sku"' not in text and list(json.loads(text)) == sorted(event)
 
 
 from hypothesis import given, settings  # noqa: E402

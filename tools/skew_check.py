@@ -43,12 +43,13 @@ def main() -> None:
               .withColumn("product_id", F.when(hot, F.lit("HOT")).otherwise(F.col("product_id")))
               .withColumn("store_id", F.when(hot, F.lit("HOT")).otherwise(F.col("store_id"))))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucket = 30 * 86_400                                        # the fixture spreads few rows over seven years
     total, hot_rows = skewed.count(), skewed.filter(F.col("product_id") == "HOT").count()
-    seg = inventory.assign_segments(skewed.withColumn("_d", F.lit(0)), KEYS, ORDER, n)
+    seg = skewed.withColumn("_seg", inventory.time_bucket(skewed, ORDER[0], bucket))
     largest = seg.groupBy(*KEYS, "_seg").count().agg(F.max("count")).first()[0]
     hot_segments = seg.filter(F.col("product_id") == "HOT").select("_seg").distinct().count()
 
-    ledger = inventory.stock_ledger(skewed, initial=10)            # initial balance constant per key
+    ledger = inventory.stock_ledger(skewed, initial=10, bucket=bucket)            # initial balance constant per key
     s = F.lit(10).cast("bigint") + F.sum("change_quantity").over(
         Window.partitionBy(*KEYS).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
     plain = skewed.withColumn("_s", s).withColumn("_m", F.min("_s").over(
