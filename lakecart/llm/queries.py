@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakecart.llm import (
-    bpe, language_id, licenses, mixing, near_dups, quality, secrets, sharding, topk,
+    bpe, language_id, licenses, mixing, near_dups, quality, repeats, secrets, sharding, topk,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op1_exact_topk(spark, sf_dir):
     return topk.exact_topk(vecs.where("id % 20 = 0"), vecs, 20)
 
 
+@query
+def op2_repeats(spark, sf_dir):
+    return repeats.repeated_passages(_documents(spark, sf_dir))
+
+
 @query
 def op3_near_duplicates(spark, sf_dir):
     return near_dups.near_duplicates(_documents(spark, sf_dir), percent=85)

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakecart.llm import bpe, language_id, licenses, mixing, near_dups, quality, secrets, sharding, topk
+from lakecart.llm import bpe, language_id, licenses, mixing, near_dups, quality, repeats, secrets, sharding, topk
 from lakecart.llm.components import connected_components
 from lakecart.llm.queries import ORACLES, QUERIES
 from tests.llm import brute
@@ -113,6 +113,30 @@ def test_chain_and_large_group_stay_whole(spark, monkeypatch):
     assert sorted(r[0] for r in kept).count(100) == 1
 
 
+def test_repeated_passages_equal_a_plain_scan(docs, none):
+    rows = sorted({(r[0], r[1]) for r in ROWS if r[0] is not None and r[1]})
+    passage = "Some words of a passage that many share here. And then it goes on for quite some time, with more words. The end is near us."
+    rows += [(500, "own words come first of all. " + passage), (501, passage.upper() + "\nAnd other words follow after that."),
+             (502, "Not a repeat at all in here.")]
+    df = docs.sparkSession.createDataFrame(rows + rows[-2:], "doc_id long, text string")
+    seen, want = {}, {}
+    for d, t in rows:
+        run = []
+        for n, (a, b, w, h) in enumerate(repeats.text_units(t)):
+            if h in seen:
+                run = run if run and run[-1][0] == n - 1 else []
+                run.append((n, a, b, w))
+                want[d, run[0][1]] = (run[-1][2], sum(x[3] for x in run))
+            seen.setdefault(h, d)
+    want = {k: v for k, v in want.items() if v[1] >= repeats.PASSAGE_WORDS}
+    got = repeats.repeated_passages(df)
+    assert {(r["doc_id"], r["start"]): (r["end"], r["n_words"]) for r in got.collect()} == want
+    assert (501, 0) in want and not any(d in (500, 502) for d, _ in want)
+    cut = {r["doc_id"]: r for r in repeats.remove_passages(df, got).collect()}
+    assert cut[501]["text"] == "\nAnd other words follow after that." and cut[500]["text"] == rows[-3][1]
+    assert repeats.repeated_passages(none).count() == 0
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(200, 100), (100, 100)], "a long, b long")
     got = {r["node"]: r["component"] for r in connected_components(edges).collect()}
@@ -299,5 +323,5 @@ def test_pipeline_equals_plain_stages(spark, docs, none):
 
 
 def test_every_dealt_query_is_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {"op1", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "pipeline"}
+    assert {q.split("_")[0] for q in QUERIES} == {"op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "pipeline"}
     assert set(ORACLES) <= set(QUERIES)
