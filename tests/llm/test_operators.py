@@ -325,3 +325,17 @@ def test_pipeline_equals_plain_stages(spark, docs, none):
 def test_every_dealt_query_is_registered():
     assert {q.split("_")[0] for q in QUERIES} == {"op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "pipeline"}
     assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_its_sql(spark, name):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    got = QUERIES[name](spark, sf)
+    cols = sorted(got.columns)
+    cur = con.execute(f"SELECT {', '.join(cols)} FROM ({ORACLES[name]})")
+    assert sorted(map(tuple, got.select(*cols).collect()), key=repr) == sorted(cur.fetchall(), key=repr)
