@@ -7,10 +7,9 @@ silver; `true` for an int is valid here (a bool is an int in the publishing
 language) but null in silver.  Both dialects are kept on purpose.
 
 Kinds come from `schema_of_variant` on the parsed payload:
-string ← STRING; int ← integral, BOOLEAN, or DECIMAL(p,0) with p ≥ 19 (an
-integer literal beyond 64 bits; shorter DECIMAL(p,0) is a literal like `1.0`);
-float ← the int kinds plus any DECIMAL, DOUBLE, FLOAT.  JSON null (VOID) and an
-absent field are `field:null`.  A repeated key keeps its last value, as the
+string ← STRING; int ← integral, BOOLEAN, or a number beyond 64 bits whose text is
+all digits; float ← the int kinds plus any DECIMAL, DOUBLE, FLOAT.  JSON null (VOID)
+and an absent field are `field:null`.  A repeated key keeps its last value, as the
 publishing side's JSON decoder does.  A payload that is not one JSON object
 (malformed, truncated, an array, null) gets the single error `payload:not_an_object`.
 """
@@ -26,7 +25,7 @@ from pyspark.sql import types as T
 from lakecart.contracts import contract
 from lakecart.functions.quality import error_list, is_late_expr
 from lakecart.operators.rows import keep_where
-from lakecart.functions.time import DATE_PREFIX, parse_event_time
+from lakecart.functions.time import parse_iso_time
 from lakecart.sinks.writers import publish_frame
 
 _INTEGRAL = ["TINYINT", "SMALLINT", "INT", "BIGINT", "BOOLEAN"]
@@ -57,17 +56,20 @@ def _drop_kinds(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c in ("_j", "_t_", "_obj_") or c.startswith("_k_")])
 
 
-def _is_big_int(kind: Column) -> Column:
-    digits = F.regexp_extract(kind, r"^DECIMAL\(([0-9]+),0\)$", 1)
-    return (digits != "") & (digits.cast("int") >= 19)
+def _is_big_int(kind: Column, name: str, payload: str) -> Column:
+    """An integer literal beyond 64 bits.  Its kind alone does not tell (`12345678901234567890.0` is DECIMAL(20,0) too,
+    over 38 digits are a DOUBLE), so the number's own text is read, for these rare kinds only."""
+    wide = (kind == "DOUBLE") | kind.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$")
+    text = F.from_json(F.col(payload), T.StructType([T.StructField(name, T.StringType())]))[name]
+    return F.when(wide, text.rlike("^-?[0-9]+$")).otherwise(False)
 
 
-def _kind_ok(kind: Column, expected: str) -> Column:
-    # cheapest tests first: OR stops at the first true, so the regex runs only for rare kinds
+def _kind_ok(kind: Column, expected: str, name: str, payload: str) -> Column:
+    # cheapest tests first: OR stops at the first true, so the text is read only for rare kinds
     if expected == "string":
         return kind == "STRING"
     if expected == "int":
-        return kind.isin(_INTEGRAL) | _is_big_int(kind)
+        return kind.isin(_INTEGRAL) | _is_big_int(kind, name, payload)
     return kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL(") | kind.isin(_INTEGRAL)
 
 
@@ -81,17 +83,17 @@ def _time_text_error(topic: str) -> Column:
     """A non-empty text time that does not parse; other kinds are reported by the type check."""
     c = contract(topic)
     text = _time_text(topic)
-    bad = (text != "") & (~text.rlike(DATE_PREFIX) | parse_event_time(text).isNull())
+    bad = (text != "") & parse_iso_time(text).isNull()
     return F.when(bad, F.lit(f"{c.event_time}:invalid_timestamp"))
 
 
-def _strict_errors(topic: str) -> Column:
+def _strict_errors(topic: str, payload: str) -> Column:
     c = contract(topic)
     parts = []
     for name, expected in c.required:
         kind = F.col(f"_k_{name}")
         parts.append(F.when(kind.isNull() | (kind == "VOID"), F.lit(f"{name}:null"))
-                     .when(~_kind_ok(kind, expected), F.lit(f"{name}:expected_{expected}")))
+                     .when(~_kind_ok(kind, expected, name, payload), F.lit(f"{name}:expected_{expected}")))
     parts.append(_time_text_error(topic))
     return F.when(F.col("_obj_"), error_list(parts)).otherwise(F.array(F.lit(_NOT_OBJECT)))
 
@@ -100,7 +102,7 @@ def check_events(df: DataFrame, topic: str, payload: str = "payload") -> DataFra
     """Adds `_strict_errors` (ordered; per required field `field:null` / `field:expected_<kind>`,
     then the time check) and `_strict_is_valid` (D3 + D4)."""
     out = (_with_kinds(df, topic, payload)
-           .withColumn("_strict_errors", _strict_errors(topic))
+           .withColumn("_strict_errors", _strict_errors(topic, payload))
            .withColumn("_strict_is_valid", F.size("_strict_errors") == 0))
     return _drop_kinds(out)
 
@@ -108,7 +110,7 @@ def check_events(df: DataFrame, topic: str, payload: str = "payload") -> DataFra
 def timestamp_errors(df: DataFrame, topic: str, payload: str = "payload") -> DataFrame:
     """The event-time check alone (D4, D5): `_time_error` and the parsed UTC time `_event_time`."""
     out = (_with_kinds(df, topic, payload)
-           .withColumn("_event_time", parse_event_time(_time_text(topic)))
+           .withColumn("_event_time", parse_iso_time(_time_text(topic)))
            .withColumn("_time_error", _time_text_error(topic)))
     return _drop_kinds(out)
 
@@ -118,7 +120,7 @@ def late_by_payload(df: DataFrame, topic: str, now: datetime | str | Column | No
     """`_is_late` from the payload's own event time against `now`, strict (D6).  Unparsable → null."""
     c = contract(topic)
     out = _with_kinds(df, topic, payload).withColumn(
-        "_is_late", is_late_expr(parse_event_time(_time_text(topic)), c.lateness_minutes, now))
+        "_is_late", is_late_expr(parse_iso_time(_time_text(topic)), c.lateness_minutes, now))
     return _drop_kinds(out)
 
 
@@ -156,7 +158,7 @@ def publish_gate(envelope_df: DataFrame, topic: str, num_partitions: int | None
     """
     c = contract(topic)
     parsed = _with_kinds(envelope_df, topic, payload, list(c.primary_key))
-    checked = parsed.withColumn("_strict_errors", _strict_errors(topic)) \
+    checked = parsed.withColumn("_strict_errors", _strict_errors(topic, payload)) \
         .withColumn("_strict_is_valid", F.size("_strict_errors") == 0)
     valid = keep_where(checked.select("_j", F.col(payload).alias("_text"), "_strict_is_valid", "kafka_timestamp"),
                        "_strict_is_valid")

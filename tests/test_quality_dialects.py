@@ -35,6 +35,13 @@ EDGE = [
     ("number for text", _o(user_id=5), "", "user_id:expected_string"),
     ("object for text", _o(user_id={"k": 1}), "", "user_id:expected_string"),
     ("too large int", _o(quantity=99999999999), "quantity:null", ""),
+    ("45-digit int", _o(quantity=int("1" * 45)), "quantity:null", ""),
+    ("long whole float for int", _o().replace('"quantity": 1,', '"quantity": 12345678901234567890.0,'), "quantity:null", "quantity:expected_int"),
+    ("exponent for int", _o().replace('"quantity": 1,', '"quantity": 1e5,'), "quantity:null", "quantity:expected_int"),
+    ("basic time", _o(event_ts="20260502T120000Z"), "event_ts:null", ""),
+    ("week time", _o(event_ts="2026-W18-6"), "event_ts:null", ""),
+    ("comma fraction", _o(event_ts="2026-05-02T12:00:00,123Z"), "event_ts:null", ""),
+    ("zone name", _o(event_ts="2026-05-02 12:00:00 America/New_York"), "", "event_ts:invalid_timestamp"),
     ("int for float", _o(unit_price=10), "", ""),
     ("json null", _o(order_id=None), "order_id:null", "order_id:null"),
     ("empty time", _o(event_ts=""), "event_ts:null", ""),
