@@ -32,7 +32,8 @@ EXTRA = [
     "silver_clickstream",       # parse, quality flags, valid split
     "dedupe_orders",            # batch dedupe on the contract key
     "strict_type_errors",       # strict JSON kind checks
-    "stock_ledger",             # running floored balance, skew-safe segments
+    "publish_gate",             # strict checks, whole events as sorted-key JSON
+    "stock_ledger",             # running floored balance, skew-safe buckets
     "revenue_trend",            # dashboard rollup
 ]
 

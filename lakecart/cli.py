@@ -14,6 +14,8 @@ import json
 import sys
 
 from lakecart.contracts import select_topics
+from lakecart.operators.joins import DEFAULT_SALT_BUCKETS
+from lakecart.plans.gold_refresh import DATE_SALT_BUCKETS
 from lakecart.session import build_session
 from lakecart.sinks.layout import Layout
 
@@ -31,22 +33,29 @@ def _common(p: argparse.ArgumentParser) -> None:
 
 def cmd_stream(args) -> int:
     from lakecart.sources.catalog import load_catalog
-    from lakecart.streaming.topic_streams import StreamSettings, await_queries, start_all, topic_source
+    from lakecart.streaming.topic_streams import (DropListener, StreamSettings, await_queries, start_all,
+                                                  topic_source, watermark_drops)
 
     spark = build_session(app="lakecart-stream", master=args.master)
     topics = select_topics(args.topics)
     catalog = load_catalog(spark, args.catalog) if "orders" in topics else None
     settings = StreamSettings(layout=_layout(args), available_now=args.available_now,
                               processing_time=args.processing_time, catalog=catalog,
-                              shared_scan=args.shared_scan, collapse_copies=args.collapse_copies,
+                              shared_scan={"auto": None, "yes": True, "no": False}[args.shared_scan], collapse_copies=args.collapse_copies,
                               join_salt_buckets=args.join_salt_buckets)
     src = lambda t: topic_source(spark, t, args.source, args.location,
                                  starting_offsets=args.starting_offsets,
                                  max_files_per_trigger=args.max_files_per_trigger,
                                  max_offsets_per_trigger=args.max_offsets_per_trigger,
                                  min_partitions=args.min_partitions)
-    queries = start_all(spark, topics, src, settings)
-    await_queries(spark, queries, drain=args.available_now)
+    drops = DropListener()
+    spark.streams.addListener(drops)
+    try:
+        queries = start_all(spark, topics, src, settings)
+        await_queries(spark, queries, drain=args.available_now)
+        print(json.dumps({"rows_dropped_as_late": {q.name: watermark_drops(q, drops) for q in queries}}))
+    finally:
+        spark.streams.removeListener(drops)
     return 0
 
 
@@ -54,7 +63,7 @@ def cmd_refresh(args) -> int:
     from lakecart.plans.gold_refresh import refresh
 
     spark = build_session(app="lakecart-refresh", master=args.master)
-    print(json.dumps(refresh(spark, _layout(args), partition_by_date=args.partition_by_date), indent=2))
+    print(json.dumps(refresh(spark, _layout(args), args.partition_by_date, args.date_salt_buckets), indent=2))
     return 0
 
 
@@ -122,17 +131,19 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--max-offsets-per-trigger", type=int, default=None, help="Kafka: cap records per micro-batch")
     s.add_argument("--min-partitions", type=int, default=None, help="Kafka: split large bus partitions into tasks")
-    s.add_argument("--join-salt-buckets", type=int, default=None,
+    s.add_argument("--join-salt-buckets", type=int, default=DEFAULT_SALT_BUCKETS,
                    help="salt the catalog join when the catalog is beyond the broadcast bound")
     s.add_argument("--collapse-copies", action="store_true",
                    help="collapse repeated events in each task before the dedupe shuffle")
-    s.add_argument("--shared-scan", action="store_true",
-                   help="two queries per topic (bus read twice), tables partitioned by _batch_id")
+    s.add_argument("--shared-scan", nargs="?", const="yes", default="auto", choices=["auto", "yes", "no"],
+                   help="two queries per topic (bus read twice), tables partitioned by _batch_id; auto: for orders")
     s.set_defaults(func=cmd_stream)
 
     r = sub.add_parser("refresh", help="rebuild gold from silver")
     _common(r)
     r.add_argument("--partition-by-date", action="store_true")
+    r.add_argument("--date-salt-buckets", type=int, default=DATE_SALT_BUCKETS,
+                   help="tasks that write one order date (with --partition-by-date)")
     r.set_defaults(func=cmd_refresh)
 
     m = sub.add_parser("models", help="SQL models and their tests")

@@ -88,8 +88,3 @@ def as_timestamp_literal(value: datetime | str | Column | None) -> Column:
 
 def minutes_before(ts: Column, minutes: int) -> Column:
     return ts - F.make_interval(mins=F.lit(int(minutes)))
-
-
-def as_ntz(c: Column | str) -> Column:
-    """Zoned timestamp → TIMESTAMP_NTZ with the same wall clock in the session zone."""
-    return to_col(c).cast("timestamp_ntz")

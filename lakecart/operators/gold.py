@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakecart.functions.money import gross_margin, round_money
 from lakecart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, join_dimension
 
+# Output columns in the order that readers of the tables expect, and the grouping keys.
 ORDER_FACT_COLUMNS = ["order_id", "order_date", "event_ts", "user_id", "product_id", "product_name",
                       "category", "brand", "store_id", "channel", "quantity", "unit_price",
                       "order_total", "gross_margin", "status"]
@@ -61,15 +62,15 @@ def orders_fact(enriched_orders: DataFrame) -> DataFrame:
     return enriched_orders.withColumn("order_date", F.to_date("event_ts")).select(*ORDER_FACT_COLUMNS)
 
 
-def _sales_metrics(with_orders: bool = True, with_margin: bool = True) -> list[Column]:
-    out = []
-    if with_orders:
-        out.append(F.countDistinct("order_id").alias("orders"))
-    out.append(F.sum("quantity").alias("units_sold"))
-    out.append(round_money(F.sum("order_total")).alias("revenue"))
-    if with_margin:
-        out.append(round_money(F.sum("gross_margin")).alias("gross_margin"))
-    return out
+def _sales_metrics(*names: str) -> list[Column]:
+    """The named sales metrics, by default all."""
+    metrics = {
+        "orders": F.countDistinct("order_id"),
+        "units_sold": F.sum("quantity"),
+        "revenue": round_money(F.sum("order_total")),
+        "gross_margin": round_money(F.sum("gross_margin")),
+    }
+    return [metrics[n].alias(n) for n in names or metrics]
 
 
 def revenue_daily(fact: DataFrame) -> DataFrame:
@@ -79,11 +80,7 @@ def revenue_daily(fact: DataFrame) -> DataFrame:
 
 def top_products(fact: DataFrame) -> DataFrame:
     """Leaderboard: units, revenue, distinct orders per product (A2)."""
-    return fact.groupBy(*LEADERBOARD_KEY).agg(
-        F.sum("quantity").alias("units_sold"),
-        round_money(F.sum("order_total")).alias("revenue"),
-        F.countDistinct("order_id").alias("orders"),
-    )
+    return fact.groupBy(*LEADERBOARD_KEY).agg(*_sales_metrics("units_sold", "revenue", "orders"))
 
 
 def revenue_increment(batch: DataFrame, batch_id: int | str | Column) -> DataFrame:

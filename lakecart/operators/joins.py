@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Of stream joins beyond the bound.
+DEFAULT_SALT_BUCKETS = 16
 
 
 _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,

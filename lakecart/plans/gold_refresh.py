@@ -26,11 +26,11 @@ def _by_date(df: DataFrame, salt_buckets: int = DATE_SALT_BUCKETS) -> DataFrame:
 
 
 def rebuild_orders_gold(spark: SparkSession, silver_orders: DataFrame, layout: Layout,
-                        partition_by_date: bool = False) -> dict[str, str]:
+                        partition_by_date: bool = False, date_salt_buckets: int = DATE_SALT_BUCKETS) -> dict[str, str]:
     fact = gold.orders_fact(gold.stage_orders(silver_orders))
     path = layout.table("gold", "orders_gold")
     if partition_by_date:
-        write_overwrite(_by_date(fact), path, layout.fmt, partition_by=["order_date"])
+        write_overwrite(_by_date(fact, date_salt_buckets), path, layout.fmt, partition_by=["order_date"])
     else:
         write_overwrite(fact, path, layout.fmt)
     written = spark.read.format(layout.fmt).load(path)
@@ -55,11 +55,12 @@ def rebuild_inventory_gold(silver_inventory: DataFrame, layout: Layout) -> dict[
     return out
 
 
-def refresh(spark: SparkSession, layout: Layout, partition_by_date: bool = False) -> dict[str, str]:
+def refresh(spark: SparkSession, layout: Layout, partition_by_date: bool = False,
+            date_salt_buckets: int = DATE_SALT_BUCKETS) -> dict[str, str]:
     written: dict[str, str] = {}
     orders = read_table_if_exists(spark, layout.table("silver", "orders"), layout.fmt)
     if orders is not None:
-        written.update(rebuild_orders_gold(spark, orders, layout, partition_by_date))
+        written.update(rebuild_orders_gold(spark, orders, layout, partition_by_date, date_salt_buckets))
     inv = read_table_if_exists(spark, layout.table("silver", "inventory"), layout.fmt)
     if inv is not None:
         written.update(rebuild_inventory_gold(inv, layout))

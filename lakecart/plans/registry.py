@@ -62,6 +62,40 @@ def catalog_scan(spark, sf_dir):
     return catalog_src.typed_catalog(_fx(spark, sf_dir)["catalog_text"])
 
 
+def _catalog_csv(spark, sf_dir) -> str:
+    from lakecart.session import run_dir
+
+    path = f"{run_dir(spark, 'catalog')}/product_catalog"
+    _fx(spark, sf_dir)["catalog_text"].write.option("header", True).csv(path)
+    return path
+
+
+@query
+def catalog_csv_scan(spark, sf_dir):
+    """The catalog written as CSV with a header and read back through the CSV source (S3)."""
+    return catalog_src.load_catalog(spark, _catalog_csv(spark, sf_dir))
+
+
+@query
+def catalog_seed(spark, sf_dir):
+    """The CSV catalog as the seed view `product_catalog`, queried with SQL."""
+    catalog_src.load_catalog(spark, _catalog_csv(spark, sf_dir)).createOrReplaceTempView("product_catalog")
+    return spark.sql("SELECT category, count(*) AS products, max(cost) AS max_cost, "
+                     "sum(catalog_reorder_point) AS reorder_points FROM product_catalog GROUP BY category")
+
+
+@query
+def jsonl_orders(spark, sf_dir):
+    """Order payloads written as JSON lines and read with the declared schema."""
+    from lakecart.session import run_dir
+    from lakecart.sources.jsonl import read_jsonl_events
+
+    path = f"{run_dir(spark, 'jsonl')}/orders"
+    records = testviews.order_records(_fx(spark, sf_dir)["orders"], corrupt=False)
+    records.select(F.col("value").cast("string")).write.text(path)
+    return read_jsonl_events(spark, path, "orders")
+
+
 @query
 def bronze_envelope(spark, sf_dir):
     env = bus.envelope(_fx(spark, sf_dir)["click_records"], ingested_at=LATE_NOW)
@@ -120,7 +154,8 @@ def enrich_orders(spark, sf_dir):
 
 @query
 def stg_orders(spark, sf_dir):
-    return portable(gold.stage_orders(_enriched(_fx(spark, sf_dir))))
+    """Staged orders; rows flagged invalid stay out."""
+    return portable(gold.stage_orders(testviews.flag_invalid(_enriched(_fx(spark, sf_dir)), F.col("order_id"))))
 
 
 @query
@@ -159,11 +194,15 @@ def top_products_table(spark, sf_dir):
     return reports.top_products_table(gold.top_products(_fact(_fx(spark, sf_dir))))
 
 
+def _flagged_inventory(fx) -> DataFrame:
+    return testviews.flag_invalid(fx["inventory"], F.split("event_id", "-")[0])
+
+
 # ---- inventory -----------------------------------------------------------------
 
 @query
 def stg_inventory(spark, sf_dir):
-    return portable(gold.stage_inventory(_fx(spark, sf_dir)["inventory"]))
+    return portable(gold.stage_inventory(_flagged_inventory(_fx(spark, sf_dir))))
 
 
 @query
@@ -266,30 +305,57 @@ def event_fingerprint(spark, sf_dir):
 
 @query
 def publish_gate(spark, sf_dir):
+    """The published events whole: which fields, in which order, every value, and the total as it was written."""
+    from lakecart.contracts import contract
+
     records = strict.publish_gate(_order_envelope(spark, sf_dir), "orders")
-    value = F.from_json(F.col("value").cast("string"), "event_id string")
-    return portable(records.select(F.col("key").cast("string").alias("kafka_key"), "topic",
-                                   value["event_id"].alias("event_id"),
-                                   F.col("timestamp").alias("kafka_timestamp")))
+    schema = T.StructType([*contract("orders").schema.fields, T.StructField("coupon", T.StringType())])
+    text = F.col("value").cast("string")
+    read = records.select(F.col("key").cast("string").alias("kafka_key"), "topic",
+                          F.col("timestamp").alias("kafka_timestamp"),
+                          F.array_join(F.json_object_keys(text), ",").alias("fields"),
+                          F.get_json_object(text, "$.order_total").alias("total_text"),
+                          F.from_json(text, schema).alias("_v"))
+    return portable(read.select("*", "_v.*").drop("_v"))
 
 
 # ---- streaming: publish fixture records to a file bus, drain the topic's queries, read the sinks --------
 
-def _drain_topic(spark, sf_dir, topic: str, **options):
+def _records(spark, sf_dir, topic: str) -> DataFrame:
+    fx = _fx(spark, sf_dir)
+    if topic == "clickstream":
+        return fx["click_records"]
+    if topic == "orders":
+        return testviews.order_records(fx["orders"], corrupt=False)
+    return _published(fx[topic], topic)
+
+
+def _stream_base(spark, name: str):
     from lakecart.session import run_dir
     from lakecart.sinks.layout import Layout
+
+    base = run_dir(spark, f"stream-{name}")
+    return base, Layout.under(base)
+
+
+def _drain(spark, sf_dir, base, layout, published: dict[str, DataFrame], topics: str | None = None, **options):
+    """Publish records to the file bus under `base`, start the topics' queries, drain them; returns the queries."""
     from lakecart.sinks.writers import publish_to_files
-    from lakecart.streaming.topic_streams import StreamSettings, await_queries, start_topic, topic_source
+    from lakecart.streaming.topic_streams import StreamSettings, await_queries, start_all, topic_source
 
-    fx = _fx(spark, sf_dir)
-    base = run_dir(spark, f"stream-{topic}")
-    records = fx["click_records"] if topic == "clickstream" else testviews.order_records(fx["orders"], corrupt=False)
-    publish_to_files(records, f"{base}/bus/{topic}")
-    layout = Layout.under(base)
+    for topic, records in published.items():
+        publish_to_files(records, f"{base}/bus/{topic}")
     settings = StreamSettings(layout=layout, available_now=True, now=LATE_NOW,
-                              catalog=fx["catalog"] if topic == "orders" else None, **options)
-    src = topic_source(spark, topic, "files", f"{base}/bus", ingested_at=LATE_NOW)
-    await_queries(spark, start_topic(src, topic, settings), drain=True)
+                              catalog=_fx(spark, sf_dir)["catalog"], **options)
+    queries = start_all(spark, topics or ",".join(published),
+                        lambda t: topic_source(spark, t, "files", f"{base}/bus", ingested_at=LATE_NOW), settings)
+    await_queries(spark, queries, drain=True)
+    return queries
+
+
+def _drain_topic(spark, sf_dir, topic: str, **options):
+    base, layout = _stream_base(spark, topic)
+    _drain(spark, sf_dir, base, layout, {topic: _records(spark, sf_dir, topic)}, **options)
     return layout
 
 
@@ -317,8 +383,8 @@ def stream_quarantine(spark, sf_dir):
 @query
 def stream_dedupe_orders(spark, sf_dir):
     """Order keys after the stream's watermark + dedupe (T1, T2); non-key columns of the
-    surviving copy are arbitrary, so only the key leaves."""
-    lay = _drain_topic(spark, sf_dir, "orders")
+    surviving copy are arbitrary, so only the key leaves.  One query per table."""
+    lay = _drain_topic(spark, sf_dir, "orders", shared_scan=False)
     return portable(spark.read.parquet(lay.table("silver", "orders")).select("order_id", "product_id", "event_ts"))
 
 
@@ -337,72 +403,151 @@ def stream_collapsed_clickstream(spark, sf_dir):
                     .select("session_id", "event_type", "event_ts"))
 
 
+@query
+def stream_silver_inventory(spark, sf_dir):
+    lay = _drain_topic(spark, sf_dir, "inventory")
+    return portable(spark.read.parquet(lay.table("silver", "inventory")).select("product_id", "store_id", "event_ts"))
+
+
+@query
+def stream_silver_pricing(spark, sf_dir):
+    lay = _drain_topic(spark, sf_dir, "pricing")
+    return portable(spark.read.parquet(lay.table("silver", "pricing")).select("product_id", "event_ts"))
+
+
+@query
+def stream_topic_subset(spark, sf_dir):
+    """Two of three published topics are selected (F6): only their bronze tables come to be."""
+    from lakecart.sources.tables import read_table_if_exists
+
+    base, layout = _stream_base(spark, "subset")
+    topics = ["clickstream", "inventory", "pricing"]
+    _drain(spark, sf_dir, base, layout, {t: _records(spark, sf_dir, t) for t in topics}, topics="clickstream,pricing")
+    tables = [read_table_if_exists(spark, layout.table("bronze", t)) for t in topics]
+    counts = [t.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows")) for t in tables if t is not None]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.union(c)
+    return out
+
+
+# Fixed fixture parameter: the order date that parts the two drains of `stream_gold_increment`.
+SECOND_DRAIN_FROM = datetime(1998, 1, 1, tzinfo=UTC)
+
+
 @query
 def stream_gold_increment(spark, sf_dir):
-    """Group keys and distinct orders: independent of which duplicate the dedupe kept."""
-    lay = _drain_topic(spark, sf_dir, "orders")
+    """Gold increments of two drains of one checkpoint; repeated events are exact copies, so every column is fixed."""
+    base, lay = _stream_base(spark, "gold")
+    once = silver.dedupe_events(_fx(spark, sf_dir)["orders"], "orders")
+    events, later = testviews.redelivered(once), F.col("event_ts") >= F.lit(SECOND_DRAIN_FROM)
+    for part in (events.where(~later), events.where(later)):
+        _drain(spark, sf_dir, base, lay, {"orders": testviews.order_records(part, corrupt=False)})
     return (spark.read.parquet(lay.table("gold", "revenue_daily_incremental"))
-            .select(F.col("_batch_id").cast("bigint").alias("_batch_id"), "order_date", "product_id",
-                    "product_name", "category", "channel", "orders"))
+            .withColumn("first_drain", F.col("_batch_id") == 0).drop("_batch_id"))
+
+
+@query
+def stream_watermark_drops(spark, sf_dir):
+    """Rows dropped as too late (T4): odd event ids arrive in a second drain, behind the first one's watermark."""
+    from lakecart.streaming.topic_streams import DropListener, watermark_drops
+
+    base, lay = _stream_base(spark, "drops")
+    records, odd = _records(spark, sf_dir, "clickstream"), F.col("offset") % 2 == 1
+    drops = DropListener()
+    spark.streams.addListener(drops)
+    try:
+        for part in (records.where(~odd), records.where(odd)):
+            queries = _drain(spark, sf_dir, base, lay, {"clickstream": part})
+            dropped = max(watermark_drops(q, drops) for q in queries)
+    finally:
+        spark.streams.removeListener(drops)
+    return (spark.read.parquet(lay.table("silver", "clickstream"))
+            .agg(F.count(F.lit(1)).alias("silver_rows"), F.lit(dropped).cast("bigint").alias("rows_dropped")))
+
+
+def _four_topics(spark, sf_dir):
+    """A lakehouse drained from all four topics, order payloads with their faults."""
+    from lakecart.contracts import select_topics
+
+    base, layout = _stream_base(spark, "lake")
+    published = {t: _records(spark, sf_dir, t) for t in select_topics(None)}
+    published["orders"] = testviews.order_records(_fx(spark, sf_dir)["orders"])
+    _drain(spark, sf_dir, base, layout, published)
+    return layout
 
 
 @query
 def layer_health(spark, sf_dir):
-    """Health of a lakehouse drained from the fixture streams (rows-only check: paths and times vary)."""
+    """Commits of each table and checkpoint of a lakehouse drained from all topics (paths, sizes and times vary)."""
     from lakecart.operators.health import layer_health as health
-    from lakecart.sinks.layout import Layout
-    from lakecart.streaming.topic_streams import StreamSettings, await_queries, start_topic, topic_source
-    from lakecart.session import run_dir
-    from lakecart.sinks.writers import publish_to_files
 
-    fx = _fx(spark, sf_dir)
-    base = run_dir(spark, "health")
-    publish_to_files(fx["click_records"], f"{base}/bus/clickstream")
-    publish_to_files(testviews.order_records(fx["orders"]), f"{base}/bus/orders")
-    layout = Layout.under(base)
-    settings = StreamSettings(layout=layout, available_now=True, now=LATE_NOW, catalog=fx["catalog"])
-    queries = []
-    for topic in ("clickstream", "orders"):
-        queries += start_topic(topic_source(spark, topic, "files", f"{base}/bus", ingested_at=LATE_NOW),
-                               topic, settings)
-    await_queries(spark, queries, drain=True)
-    return health(spark, layout).drop("latest_modified")
+    out = health(spark, _four_topics(spark, sf_dir), checked_at=LATE_NOW)
+    # batch writes are known by their job ids, which differ from run to run
+    return portable(out.select("kind", "layer", "table", "commits", "checked_at",
+                               F.regexp_extract("latest_commit", "^[0-9]+$", 0).alias("latest_batch")))
+
+
+@query
+def layer_contents(spark, sf_dir):
+    """Rows and newest event time of each table of the same lakehouse."""
+    from lakecart.operators.health import layer_contents as contents
+
+    layout = _four_topics(spark, sf_dir)
+    tables = [(layer, t) for layer in ("bronze", "silver") for t in ("orders", "inventory", "pricing", "clickstream")]
+    tables += [("quarantine", "orders"), ("quarantine", "clickstream"), ("gold", "orders_gold_incremental"),
+               ("gold", "revenue_daily_incremental")]
+    return portable(contents(spark, layout, tables))
 
 
 # ---- SQL models over fixture silver views ---------------------------------------------
 
-def _register_silver_views(spark, sf_dir):
+def _silver_tables(spark, sf_dir, topics=("orders", "inventory")):
+    """Silver tables written from the fixtures, some rows flagged invalid."""
     fx = _fx(spark, sf_dir)
-    _enriched(fx).withColumn("_dq_is_valid", F.lit(True)).createOrReplaceTempView("orders_silver")
-    fx["inventory"].withColumn("_dq_is_valid", F.lit(True)).createOrReplaceTempView("inventory_silver")
+    _base, layout = _stream_base(spark, "silver")
+    if "orders" in topics:
+        flagged = testviews.flag_invalid(_enriched(fx), F.col("order_id"))
+        flagged.write.parquet(layout.table("silver", "orders"))
+    if "inventory" in topics:
+        _flagged_inventory(fx).write.parquet(layout.table("silver", "inventory"))
+    return layout
+
+
+def _register_silver_views(spark, sf_dir, topics=("orders", "inventory")):
+    from lakecart.sources.tables import register_sources
+
+    layout = _silver_tables(spark, sf_dir, topics)
+    register_sources(spark, layout)
+    return layout
 
 
 @query
 def sql_revenue_daily(spark, sf_dir):
     from lakecart.plans.sql_models import build_models
-    _register_silver_views(spark, sf_dir)
+    _register_silver_views(spark, sf_dir, ["orders"])
     return build_models(spark, only=["stg_orders", "revenue_daily"])["revenue_daily"]
 
 
 @query
 def sql_inventory_risk(spark, sf_dir):
     from lakecart.plans.sql_models import build_models
-    _register_silver_views(spark, sf_dir)
+    _register_silver_views(spark, sf_dir, ["inventory"])
     return portable(build_models(spark, only=["inventory_risk"])["inventory_risk"])
 
 
 @query
 def sql_model_tests(spark, sf_dir):
     from lakecart.plans.sql_models import build_models, test_models
-    _register_silver_views(spark, sf_dir)
-    build_models(spark)
+    layout = _register_silver_views(spark, sf_dir)
+    build_models(spark, table_path=lambda n: layout.table("gold", f"model_{n}"))
     return test_models(spark)
 
 
 # ---- the other topics through the whole payload path ----------------------------------
 
-def _published_envelope(events: DataFrame, topic: str) -> DataFrame:
-    """Typed fixture events → bus records (canonical JSON, fingerprint key) → envelope."""
+def _published(events: DataFrame, topic: str) -> DataFrame:
+    """Typed fixture events → bus records (canonical JSON, fingerprint key)."""
     from lakecart.contracts import contract
     from lakecart.functions.time import iso_utc_text
     from lakecart.sinks.writers import publish_frame
@@ -410,9 +555,12 @@ def _published_envelope(events: DataFrame, topic: str) -> DataFrame:
     c = contract(topic)
     wire = events.select(*[iso_utc_text(n).alias(n) if n in ("event_ts", "ingestion_ts") else F.col(n)
                            for n in c.field_names])
-    records = publish_frame(wire, topic, list(c.primary_key), c.field_names,
-                            partition=F.lit(0), offset=F.xxhash64("event_id"), timestamp=F.lit(LATE_NOW))
-    return bus.envelope(records, ingested_at=LATE_NOW)
+    return publish_frame(wire, topic, list(c.primary_key), c.field_names,
+                         partition=F.lit(0), offset=F.xxhash64("event_id"), timestamp=F.lit(LATE_NOW))
+
+
+def _published_envelope(events: DataFrame, topic: str) -> DataFrame:
+    return bus.envelope(_published(events, topic), ingested_at=LATE_NOW)
 
 
 _PRICING_OUT = ["event_id", "event_type", "event_ts", "product_id", "sku", "old_price", "new_price", "currency",
@@ -444,25 +592,20 @@ def revenue_daily_ordered(spark, sf_dir):
 
 # ---- the batch refresh job over silver tables written from the fixtures ----------------
 
-def _refreshed(spark, sf_dir):
+def _refreshed(spark, sf_dir, topic: str):
+    """The topic's half of the refresh; the other half has no silver table and is skipped."""
     from lakecart.plans.gold_refresh import refresh
-    from lakecart.session import run_dir
-    from lakecart.sinks.layout import Layout
 
-    fx = _fx(spark, sf_dir)
-    layout = Layout.under(run_dir(spark, "refresh"))
-    _enriched(fx).withColumn("_dq_is_valid", F.lit(True)).write.parquet(layout.table("silver", "orders"))
-    fx["inventory"].withColumn("_dq_is_valid", F.lit(True)).write.parquet(layout.table("silver", "inventory"))
-    return refresh(spark, layout)
+    return refresh(spark, _silver_tables(spark, sf_dir, [topic]))
 
 
 @query
 def refresh_revenue_daily(spark, sf_dir):
     """Daily revenue as the refresh job writes it (silver → fact → written gold table, K3)."""
-    return spark.read.parquet(_refreshed(spark, sf_dir)["revenue_daily"])
+    return spark.read.parquet(_refreshed(spark, sf_dir, "orders")["revenue_daily"])
 
 
 @query
 def refresh_inventory_risk(spark, sf_dir):
     """The all-levels risk table as the refresh job writes it."""
-    return portable(spark.read.parquet(_refreshed(spark, sf_dir)["inventory_risk"]))
+    return portable(spark.read.parquet(_refreshed(spark, sf_dir, "inventory")["inventory_risk"]))

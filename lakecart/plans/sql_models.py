@@ -1,8 +1,8 @@
 """SQL models: staged views over silver, gold tables, and their column tests.
 
-For users who keep their models as SQL.  The statements are generated from the
-same column lists and metric definitions as the DataFrame operators, so both
-paths stay one definition.  Sources are the temp views `orders_silver`,
+For users who keep their models as SQL.  The statements share the DataFrame
+operators' column lists; metrics, risk level and ranking are written here a second
+time, as SQL text, and both forms are held to the same oracle.  Sources are the temp views `orders_silver`,
 `inventory_silver` (and optionally `product_catalog`); models are created in
 dependency order.
 """

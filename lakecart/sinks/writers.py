@@ -72,8 +72,11 @@ def publish_frame(df: DataFrame, topic: str, key_columns: list[str], value_colum
 
 
 def publish_to_bus(records: DataFrame, servers: str) -> None:
-    """Send bus records to a Kafka-compatible bus (needs the connector on the classpath)."""
-    (records.select("key", "value", "topic")
+    """Send bus records to a Kafka-compatible bus (needs the connector on the classpath).
+
+    A record's own partition is used; where it is null the bus's partitioner chooses.
+    """
+    (records.select("key", "value", "topic", "partition")
      .write.format("kafka").option("kafka.bootstrap.servers", servers).save())
 
 

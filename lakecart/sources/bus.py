@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from lakecart.functions.time import as_timestamp_literal
 
+# The bus connector's record columns, and the envelope columns that silver and bronze tables carry.
 BUS_RECORD_SCHEMA = T.StructType([
     T.StructField("key", T.BinaryType()),
     T.StructField("value", T.BinaryType()),
@@ -61,10 +62,6 @@ def file_bus_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     return reader.parquet(path)
 
 
-def file_bus_read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BUS_RECORD_SCHEMA).parquet(path)
-
-
 def envelope(records: DataFrame, ingested_at: datetime | str | Column | None = None) -> DataFrame:
     """Bus records → the 7-column envelope: text key and payload, renamed metadata, arrival stamp."""
     return records.select(

@@ -4,7 +4,7 @@ The driver supplies TPC-H-like tables; these builders map them onto the four
 topics so every operator runs on data that grows with the tables:
 
 * orders events: `lineitem ⋈ orders` (one event per line item)
-* catalog: `part` where `p_size > 5`, so the left join really misses
+* catalog: every `part`; a share of the orders names an unknown product, so the left join really misses
 * inventory / pricing events: `lineitem ⋈ part`
 * clickstream bus records: `events`, with deterministic corruption
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakecart.functions.time import iso_utc_text
@@ -31,6 +31,9 @@ CLICK_PARTITIONS = 4
 TRUNCATE_MOD, NULL_USER_MOD, BAD_TIME_MOD = 19, 17, 23
 TRUNCATE_CHARS = 15
 QTY_AS_TEXT_MOD, NO_PRICE_MOD, ORDER_BAD_TIME_MOD, USER_AS_NUMBER_MOD = 29, 31, 37, 41
+# Also by l_orderkey: product unknown to the catalog; silver row flagged invalid; payload with an extra field,
+# without sku, with the total 10.0; event delivered twice.
+UNKNOWN_PRODUCT_MOD, INVALID_ROW_MOD, COUPON_MOD, NO_SKU_MOD, ROUND_TOTAL_MOD, TWICE_MOD = 43, 47, 53, 59, 61, 7
 
 
 _TABLES: dict[tuple, DataFrame] = {}
@@ -59,7 +62,8 @@ def orders_events(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         ts.alias("ingestion_ts"),
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
+        F.concat(F.when(F.col("l_orderkey") % UNKNOWN_PRODUCT_MOD == 0, F.lit("X")).otherwise(F.lit("")),
+                 F.col("l_partkey").cast("string")).alias("product_id"),
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
         F.col("l_suppkey").cast("string").alias("store_id"),
         F.col("o_orderpriority").alias("channel"),
@@ -73,8 +77,7 @@ def orders_events(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 def catalog_text(part: DataFrame) -> DataFrame:
     """Catalog rows as the CSV would give them: every column text."""
-    p = part.filter(F.col("p_size") > 5)
-    return p.select(
+    return part.select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string")).alias("sku"),
         F.col("p_name").alias("product_name"),
@@ -88,8 +91,7 @@ def catalog_text(part: DataFrame) -> DataFrame:
 
 def catalog(part: DataFrame) -> DataFrame:
     """Typed catalog: product_id, product_name, category, brand, cost, catalog_reorder_point."""
-    p = part.filter(F.col("p_size") > 5)
-    return p.select(
+    return part.select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
@@ -176,16 +178,20 @@ def order_records(orders_ev: DataFrame, corrupt: bool = True) -> DataFrame:
 
     With `corrupt`, by order key: mod 29 = 0 quantity sent as text; mod 31 = 0
     unit_price missing; mod 37 = 0 event_ts 'not-a-time'; mod 41 = 0 user_id sent
-    as a number.  Key and offset come from the line item, partition from the order.
+    as a number; mod 53 = 0 a field beyond the contract; mod 59 = 0 no sku; mod 61 = 0
+    order_total 10.0.  Key and offset come from the line item, partition from the order.
     """
     ok = F.col("order_id").cast("bigint")
     iso = iso_utc_text("event_ts")
     ev_ts = F.when(ok % ORDER_BAD_TIME_MOD == 0, F.lit("not-a-time")).otherwise(iso) if corrupt else iso
     price = F.when(ok % NO_PRICE_MOD != 0, F.col("unit_price")) if corrupt else F.col("unit_price")
+    sku = F.when(ok % NO_SKU_MOD != 0, F.col("sku")) if corrupt else F.col("sku")
+    total = F.when(ok % ROUND_TOTAL_MOD == 0, 10.0).otherwise(F.col("order_total")) if corrupt else F.col("order_total")
+    extra = [F.when(ok % COUPON_MOD == 0, F.concat(F.lit("C"), "order_id")).alias("coupon")] if corrupt else []
     fields = F.struct(
         "event_id", "event_type", ev_ts.alias("event_ts"), iso_utc_text("ingestion_ts").alias("ingestion_ts"),
-        "order_id", "user_id", "product_id", "sku", "store_id", "channel", "quantity",
-        price.alias("unit_price"), "order_total", "currency", "status",
+        "order_id", "user_id", "product_id", sku.alias("sku"), "store_id", "channel", "quantity",
+        price.alias("unit_price"), total.alias("order_total"), "currency", "status", *extra,
     )
     payload = F.to_json(fields)
     if corrupt:
@@ -203,6 +209,16 @@ def order_records(orders_ev: DataFrame, corrupt: bool = True) -> DataFrame:
     )
 
 
+def flag_invalid(silver_rows: DataFrame, order_key: Column) -> DataFrame:
+    """Silver rows with `_dq_is_valid`, false for every order key divisible by 47."""
+    return silver_rows.withColumn("_dq_is_valid", order_key.cast("bigint") % INVALID_ROW_MOD != 0)
+
+
+def redelivered(events: DataFrame) -> DataFrame:
+    """The events, those of every order key divisible by 7 delivered twice, the copy exact."""
+    return events.union(events.where(F.col("order_id").cast("bigint") % TWICE_MOD == 0))
+
+
 class Fixtures(Mapping):
     """Contract-shaped frames over one scale factor, each built on first use."""
 

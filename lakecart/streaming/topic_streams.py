@@ -14,11 +14,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lakecart.contracts import contract, select_topics
 from lakecart.operators import gold, silver
-from lakecart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
+from lakecart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_SALT_BUCKETS
 from lakecart.sinks.layout import Layout
 from lakecart.sinks.writers import replace_partitions, write_stream
 from lakecart.sources import bus, jsonl
@@ -32,9 +32,12 @@ class StreamSettings:
     now: datetime | str | Column | None = None          # None: wall clock per micro-batch
     catalog: DataFrame | None = None                     # typed catalog for order enrichment
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS
-    join_salt_buckets: int | None = None  # salt the catalog join when the catalog is too big to broadcast
+    # salt the catalog join when the catalog is too big to broadcast (skew-join splitting does not run in streams)
+    join_salt_buckets: int | None = DEFAULT_SALT_BUCKETS
     with_gold: bool = True
-    shared_scan: bool = False      # two queries per topic instead of one per table (see start_topic_shared)
+    # two queries per topic instead of one per table (see start_topic_shared); None: for orders, whose silver and
+    # gold tables then come from one dedupe and hold the same copy of a repeated event
+    shared_scan: bool | None = None
     collapse_copies: bool = False  # collapse repeated events map-side before the dedupe shuffle
     query_prefix: str = ""
 
@@ -185,7 +188,7 @@ def start_topic_shared(envelope_df: DataFrame, topic: str, settings: StreamSetti
 
 def start_topic(envelope_df: DataFrame, topic: str, settings: StreamSettings) -> list[StreamingQuery]:
     """Start the topic's queries: bronze, silver, quarantine, plus gold increments for orders."""
-    if settings.shared_scan:
+    if topic == "orders" if settings.shared_scan is None else settings.shared_scan:
         return start_topic_shared(envelope_df, topic, settings)
     lay = settings.layout
     frames = topic_frames(envelope_df, topic, settings)
@@ -243,11 +246,42 @@ def await_queries(spark: SparkSession, queries: list[StreamingQuery], drain: boo
         raise
 
 
-def watermark_drops(query: StreamingQuery) -> int:
-    """Rows dropped as too late by the query's stateful operators (T4 metric), over the progress entries that Spark
-    retains (`spark.sql.streaming.numRecentProgressUpdates`, 100 by default); older ones are no longer counted."""
-    total = 0
+class DropListener(StreamingQueryListener):
+    """Rows dropped as too late, per query and micro-batch, from every progress event since it was added with
+    `spark.streams.addListener` (T4 metric).  Only batches that dropped rows leave an entry."""
+
+    def __init__(self):
+        self._drops: dict[tuple[str, int], int] = {}
+
+    def record(self, query_id: str, batch_id: int, dropped: int) -> None:
+        if dropped:
+            key = (str(query_id), int(batch_id))
+            self._drops[key] = max(dropped, self._drops.get(key, 0))
+
+    def total(self, query_id: str) -> int:
+        return sum(n for (q, _), n in list(self._drops.items()) if q == str(query_id))
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.record(p.id, p.batchId, sum(op.numRowsDroppedByWatermark for op in p.stateOperators))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def watermark_drops(query: StreamingQuery, listener: DropListener | None = None) -> int:
+    """Rows dropped as too late by the query's stateful operators (T4).
+
+    With a listener, all it has seen since it was added plus the progress the query still holds (events arrive a
+    little late); without one, only the latter (`spark.sql.streaming.numRecentProgressUpdates`, 100 by default).
+    """
+    counts = listener or DropListener()
     for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else []:
-            total += int(op.get("numRowsDroppedByWatermark", 0))
-    return total
+        counts.record(p["id"], p["batchId"], sum(int(op["numRowsDroppedByWatermark"]) for op in p["stateOperators"]))
+    return counts.total(query.id)

@@ -16,7 +16,7 @@ v_orders AS (
          o.o_orderdate AS ingestion_ts,
          CAST(l.l_orderkey AS VARCHAR) AS order_id,
          CAST(o.o_custkey AS VARCHAR) AS user_id,
-         CAST(l.l_partkey AS VARCHAR) AS product_id,
+         CASE WHEN l.l_orderkey % 43 = 0 THEN 'X' ELSE '' END || CAST(l.l_partkey AS VARCHAR) AS product_id,
          'SKU-' || CAST(l.l_partkey AS VARCHAR) AS sku,
          CAST(l.l_suppkey AS VARCHAR) AS store_id,
          o.o_orderpriority AS channel,
@@ -32,7 +32,7 @@ V_CATALOG = """
 v_catalog AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, p_type AS category,
          p_brand AS brand, p_retailprice AS cost, p_size AS catalog_reorder_point
-  FROM part WHERE p_size > 5)"""
+  FROM part)"""
 
 ENRICHED = """
 enriched AS (
@@ -47,6 +47,8 @@ fact AS (
   FROM enriched)"""
 
 ORDERS_CTE = "WITH " + ",".join([V_ORDERS, V_CATALOG, ENRICHED, FACT])
+# silver rows with an order key divisible by 47 are flagged invalid
+VALID_ORDERS_CTE = ORDERS_CTE.replace("FROM v_orders o", "FROM (SELECT * FROM v_orders WHERE okey % 47 <> 0) o")
 
 REVENUE_DAILY = """
 revenue AS (
@@ -98,6 +100,8 @@ latest AS (
         FROM v_inventory) WHERE rn = 1)"""
 
 INV_CTE = "WITH " + ",".join([V_INVENTORY, LATEST_INV])
+VALID_INVENTORY = V_INVENTORY.replace("l.l_partkey = p.p_partkey)", "l.l_partkey = p.p_partkey WHERE l.l_orderkey % 47 <> 0)")
+VALID_INV_CTE = "WITH " + ",".join([VALID_INVENTORY, LATEST_INV])
 
 # Clickstream fixture: payload text as Spark's to_json writes it (no spaces, null fields omitted).
 CLICK = """
@@ -152,7 +156,10 @@ SILVER_COLS = ("event_id, event_type, event_ts, ingestion_ts, session_id, user_i
 # Order payload fixture corruption, by order key.
 ORDER_STRICT = """
 strict AS (
-  SELECT event_id AS kafka_key, okey, event_ts,
+  SELECT * EXCLUDE (sku, order_total), event_id AS kafka_key,
+         CASE WHEN okey % 59 <> 0 THEN sku END AS sku,
+         CASE WHEN okey % 61 = 0 THEN 10.0::DOUBLE ELSE order_total END AS order_total,
+         CASE WHEN okey % 53 = 0 THEN 'C' || order_id END AS coupon,
          concat_ws(',',
            CASE WHEN okey % 41 = 0 THEN 'user_id:expected_string' END,
            CASE WHEN okey % 29 = 0 THEN 'quantity:expected_int' END,
@@ -162,7 +169,7 @@ strict AS (
 
 STRICT_CTE = "WITH " + ",".join([V_ORDERS, ORDER_STRICT])
 
-DATA_TESTS = ORDERS_CTE + "," + REVENUE_DAILY + "," + TOP_PRODUCTS + "," + V_INVENTORY + "," + LATEST_INV + """
+DATA_TEST_ROWS = """
       SELECT 'orders_gold' AS model, 'order_id' AS column_name, 'not_null' AS test,
              count(*) FILTER (WHERE order_id IS NULL) AS failures FROM fact
       UNION ALL SELECT 'orders_gold', 'order_total', 'not_null', count(*) FILTER (WHERE order_total IS NULL) FROM fact
@@ -175,8 +182,34 @@ DATA_TESTS = ORDERS_CTE + "," + REVENUE_DAILY + "," + TOP_PRODUCTS + "," + V_INV
              count(*) FILTER (WHERE inventory_risk_level IS NULL
                               OR inventory_risk_level NOT IN ('stockout', 'reorder', 'healthy')) FROM latest"""
 
+_GOLD_ROLLUPS = "," + REVENUE_DAILY + "," + TOP_PRODUCTS + ","
+DATA_TESTS = ORDERS_CTE + _GOLD_ROLLUPS + V_INVENTORY + "," + LATEST_INV + DATA_TEST_ROWS
+VALID_DATA_TESTS = VALID_ORDERS_CTE + _GOLD_ROLLUPS + VALID_INVENTORY + "," + LATEST_INV + DATA_TEST_ROWS
+
+# The copy that a batch dedupe keeps.
+ONCE = """
+once AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id, product_id, event_ts ORDER BY event_id) AS rn FROM v_orders)
+  WHERE rn = 1)"""
+
+# Faulty order payloads as silver sees them: quantity as text, no price and a bad time are nulls.
+VALID_PAYLOADS = "okey % 29 <> 0 AND okey % 31 <> 0 AND okey % 37 <> 0"
+DRAINED = "WITH " + ",".join([V_ORDERS, V_CATALOG, ENRICHED, V_INVENTORY, V_PRICING, CLICK]) + f""",
+  good AS (SELECT * FROM v_orders WHERE {VALID_PAYLOADS}),
+  good_keys AS (SELECT DISTINCT order_id, product_id, event_ts, channel FROM good)"""
+
 ORACLES: dict[str, str] = {
     "catalog_scan": f"WITH {V_CATALOG} SELECT * FROM v_catalog",
+    "catalog_csv_scan": f"WITH {V_CATALOG} SELECT * FROM v_catalog",
+
+    "catalog_seed": f"""WITH {V_CATALOG}
+      SELECT category, count(*) AS products, max(cost) AS max_cost,
+             CAST(sum(catalog_reorder_point) AS BIGINT) AS reorder_points FROM v_catalog GROUP BY category""",
+
+    "jsonl_orders": f"""WITH {V_ORDERS}
+      SELECT * EXCLUDE (okey) REPLACE (strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_ts,
+                                       strftime(ingestion_ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ingestion_ts) FROM v_orders""",
 
     "bronze_envelope": CLICK_CTE + """
       SELECT 'S' || CAST(e.user_id AS VARCHAR) AS kafka_key, p.payload, 'clickstream' AS kafka_topic,
@@ -201,7 +234,7 @@ ORACLES: dict[str, str] = {
 
     "enrich_orders": ORDERS_CTE + " SELECT * EXCLUDE (okey) FROM enriched",
 
-    "stg_orders": ORDERS_CTE + """
+    "stg_orders": VALID_ORDERS_CTE + """
       SELECT order_id, event_ts, order_date, user_id, product_id, product_name, category, brand, store_id,
              channel, quantity, unit_price, order_total, gross_margin, status FROM fact""",
 
@@ -225,7 +258,7 @@ ORACLES: dict[str, str] = {
 
     "top_products_table": ORDERS_CTE + "," + TOP_PRODUCTS + " SELECT product_name, category, units_sold, revenue FROM top",
 
-    "stg_inventory": "WITH " + V_INVENTORY + """
+    "stg_inventory": "WITH " + VALID_INVENTORY + """
       SELECT product_id, sku, store_id, event_ts, on_hand, available_to_promise, reorder_point, change_quantity,
              reason FROM v_inventory""",
 
@@ -265,7 +298,7 @@ ORACLES: dict[str, str] = {
       WHERE status IS NULL OR status NOT IN ('F', 'O') GROUP BY status""",
 
     "data_tests": DATA_TESTS,
-    "sql_model_tests": DATA_TESTS,
+    "sql_model_tests": VALID_DATA_TESTS,
     "strict_type_errors": STRICT_CTE + """
       SELECT kafka_key, _strict_errors, _strict_errors = '' AS _strict_is_valid FROM strict""",
 
@@ -286,8 +319,14 @@ ORACLES: dict[str, str] = {
       FROM v_orders""",
 
     "publish_gate": STRICT_CTE + """
-      SELECT sha256('{"event_id": "' || kafka_key || '"}') AS kafka_key, 'orders' AS topic,
-             kafka_key AS event_id, event_ts AS kafka_timestamp
+      SELECT * EXCLUDE (okey, _strict_errors) REPLACE (
+               sha256('{"event_id": "' || kafka_key || '"}') AS kafka_key,
+               strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_ts,
+               strftime(ingestion_ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ingestion_ts),
+             'orders' AS topic, event_ts AS kafka_timestamp, CAST(order_total AS VARCHAR) AS total_text,
+             concat_ws(',', 'channel', CASE WHEN coupon IS NOT NULL THEN 'coupon' END, 'currency', 'event_id', 'event_ts',
+               'event_type', 'ingestion_ts', 'order_id', 'order_total', 'product_id', 'quantity',
+               CASE WHEN sku IS NOT NULL THEN 'sku' END, 'status', 'store_id', 'unit_price', 'user_id') AS fields
       FROM strict WHERE _strict_errors = ''""",
 
     "stream_bronze": CLICK_CTE + """
@@ -300,15 +339,62 @@ ORACLES: dict[str, str] = {
 
     "stream_quarantine": CLICK_CTE + " SELECT kafka_offset, event_ts, _dq_errors FROM checked WHERE _dq_errors <> ''",
 
-    # one micro-batch (batch 0) holds the whole drained file bus
-    "stream_gold_increment": ORDERS_CTE + """
-      SELECT CAST(0 AS BIGINT) AS _batch_id, order_date, product_id, product_name, category, channel,
-             count(DISTINCT order_id) AS orders
-      FROM fact GROUP BY ALL""",
+    "stream_silver_inventory": "WITH " + V_INVENTORY + " SELECT DISTINCT product_id, store_id, event_ts FROM v_inventory",
+    "stream_silver_pricing": "WITH " + V_PRICING + " SELECT DISTINCT product_id, event_ts FROM v_pricing",
+
+    "stream_topic_subset": """
+      SELECT 'clickstream' AS topic, count(*) AS n_rows FROM events
+      UNION ALL SELECT 'pricing', count(*) FROM lineitem JOIN part ON l_partkey = p_partkey""",
 
-    "sql_revenue_daily": ORDERS_CTE + "," + REVENUE_DAILY + " SELECT * FROM revenue",
+    "stream_gold_increment": "WITH " + ",".join([V_ORDERS, ONCE, V_CATALOG, ENRICHED.replace("v_orders o", "once o"), FACT]) + """
+      SELECT event_ts < TIMESTAMP '1998-01-01' AS first_drain, order_date, product_id, product_name, category, channel,
+             count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units_sold,
+             round(sum(order_total), 2) AS revenue, round(sum(gross_margin), 2) AS gross_margin
+      FROM fact GROUP BY ALL""",
 
-    "sql_inventory_risk": INV_CTE + """
+    "stream_watermark_drops": CLICK_CTE + """,
+      valid AS (SELECT * FROM checked WHERE _dq_errors = ''),
+      first AS (SELECT time_bucket(INTERVAL 1 MILLISECOND, max(event_ts)) - INTERVAL 60 MINUTE AS mark
+                FROM valid WHERE kafka_offset % 2 = 0),
+      judged AS (SELECT v.*, kafka_offset % 2 = 1 AND event_ts <= mark AS late FROM valid v, first)
+      SELECT count(*) FILTER (late) AS rows_dropped,
+             (SELECT count(*) FROM (SELECT DISTINCT session_id, event_type, event_ts FROM judged WHERE NOT late)) AS silver_rows
+      FROM judged""",
+
+    # one drain is batch 0; a deduping query runs a second, empty batch once its watermark has moved
+    "layer_health": """
+      WITH topics(t, shared) AS (VALUES ('orders', true), ('inventory', false), ('pricing', false), ('clickstream', false)),
+      out AS (
+        SELECT kind, layer, t AS "table", CASE WHEN layer = 'silver' THEN 2 ELSE 1 END AS commits,
+               CASE WHEN layer = 'silver' THEN '1' ELSE '0' END AS latest_batch
+        FROM topics, (VALUES ('table'), ('checkpoint')) k(kind), (VALUES ('bronze'), ('silver'), ('quarantine')) l(layer)
+        WHERE NOT (shared AND layer = 'quarantine')
+        UNION ALL SELECT 'table', 'quarantine', 'orders', 1, ''
+        UNION ALL SELECT 'table', 'gold', 'orders_gold_incremental', 1, ''
+        UNION ALL SELECT 'table', 'gold', 'revenue_daily_incremental', 1, '')
+      SELECT * REPLACE (commits::BIGINT AS commits), TIMESTAMP '2024-01-15 00:00:00' AS checked_at FROM out""",
+
+    "layer_contents": DRAINED + """
+      SELECT 'bronze' AS layer, 'orders' AS "table", count(*) AS "rows", CAST(NULL AS TIMESTAMP) AS max_event_ts FROM v_orders
+      UNION ALL SELECT 'bronze', 'inventory', count(*), NULL FROM v_inventory
+      UNION ALL SELECT 'bronze', 'pricing', count(*), NULL FROM v_pricing
+      UNION ALL SELECT 'bronze', 'clickstream', count(*), NULL FROM events
+      UNION ALL SELECT 'silver', 'orders', count(*), max(event_ts) FROM good_keys
+      UNION ALL SELECT 'silver', 'inventory', count(*), max(event_ts)
+        FROM (SELECT DISTINCT product_id, store_id, event_ts FROM v_inventory)
+      UNION ALL SELECT 'silver', 'pricing', count(*), max(event_ts) FROM (SELECT DISTINCT product_id, event_ts FROM v_pricing)
+      UNION ALL SELECT 'silver', 'clickstream', count(*), max(event_ts)
+        FROM (SELECT DISTINCT session_id, event_type, event_ts FROM checked WHERE _dq_errors = '')
+      UNION ALL SELECT 'quarantine', 'orders', count(*), max(CASE WHEN okey % 37 <> 0 THEN event_ts END)
+        FROM v_orders WHERE NOT (""" + VALID_PAYLOADS + """)
+      UNION ALL SELECT 'quarantine', 'clickstream', count(*), max(event_ts) FROM checked WHERE _dq_errors <> ''
+      UNION ALL SELECT 'gold', 'orders_gold_incremental', count(*), max(event_ts) FROM good_keys
+      UNION ALL SELECT 'gold', 'revenue_daily_incremental', count(*), NULL
+        FROM (SELECT DISTINCT CAST(event_ts AS DATE), product_id, channel FROM good_keys)""",
+
+    "sql_revenue_daily": VALID_ORDERS_CTE + "," + REVENUE_DAILY + " SELECT * FROM revenue",
+
+    "sql_inventory_risk": VALID_INV_CTE + """
       SELECT product_id, sku, store_id, event_ts, on_hand, available_to_promise, reorder_point,
              inventory_risk_level FROM latest""",
 
@@ -334,9 +420,9 @@ ORACLES: dict[str, str] = {
     "stream_collapsed_clickstream": CLICK_CTE + """
       SELECT DISTINCT session_id, event_type, event_ts FROM checked WHERE _dq_errors = ''""",
 
-    "refresh_revenue_daily": ORDERS_CTE + "," + REVENUE_DAILY + " SELECT * FROM revenue",
+    "refresh_revenue_daily": VALID_ORDERS_CTE + "," + REVENUE_DAILY + " SELECT * FROM revenue",
 
-    "refresh_inventory_risk": INV_CTE + """
+    "refresh_inventory_risk": VALID_INV_CTE + """
       SELECT product_id, sku, store_id, event_ts, on_hand, available_to_promise, reorder_point,
              inventory_risk_level FROM latest""",
 }

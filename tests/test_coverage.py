@@ -4,6 +4,7 @@ import importlib
 
 from lakecart.plans.coverage import COVERAGE
 from lakecart.plans.registry import QUERIES
+from oracles import ORACLES
 
 GROUPS = {"S": 7, "K": 6, "P": 11, "F": 6, "J": 1, "A": 5, "W": 2, "O": 2, "X": 14, "T": 9, "D": 12, "R": 4}
 
@@ -19,8 +20,9 @@ def test_callables_import_and_queries_exist():
         for path in callables:
             module, attr = path.rsplit(".", 1)
             assert callable(getattr(importlib.import_module(module), attr)), path
+        assert queries, op_id
         for q in queries:
-            assert q in QUERIES, (op_id, q)
+            assert q in QUERIES and q in ORACLES, (op_id, q)
 
 
 def test_every_registered_query_covers_some_id():

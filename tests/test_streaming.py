@@ -3,6 +3,7 @@
 import json
 import os
 import tempfile
+import time
 from datetime import datetime, timezone
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from helpers import CATALOG_CSV, order
 from lakecart.operators import gold
 from lakecart.sinks.layout import Layout
 from lakecart.sources.catalog import load_catalog
-from lakecart.streaming.topic_streams import (OrderGoldBatchWriter, StreamSettings, await_queries, start_topic,
+from lakecart.streaming.topic_streams import (DropListener, OrderGoldBatchWriter, StreamSettings, await_queries, start_topic,
                                               topic_source, watermark_drops)
 
 ARROW_BUS = pa.schema([("key", pa.binary()), ("value", pa.binary()), ("topic", pa.string()),
@@ -121,6 +122,38 @@ def test_shared_scan_mode_gives_the_same_tables(spark, catalog):
     assert sorted(r.order_id for r in inc.collect()) == ["A", "L1", "x", "y"]
 
 
+def test_drops_are_counted_beyond_the_retained_progress(spark, catalog):
+    base, t0 = tempfile.mkdtemp(prefix="lakecart-drops-"), 1_700_000_000
+    for b in range(1, 5):
+        _write_batch(f"{base}/bus/orders", b, [(o, t) for bb, o, t in SCHEDULE if bb == b], t0 + b * 10)
+    for b in range(5, 9):                          # nothing late any more: these push the drops out of the progress
+        _write_batch(f"{base}/bus/orders", b, [(f"z{b}", "15:10")], t0 + b * 10)
+    drops = DropListener()
+    spark.streams.addListener(drops)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        _layout, qs = _run(spark, base, catalog)
+        assert watermark_drops(qs[1]) == 0
+        deadline = time.time() + 30                # progress events arrive a little after the query has ended
+        while watermark_drops(qs[1], drops) < 4 and time.time() < deadline:
+            time.sleep(0.2)
+        assert watermark_drops(qs[1], drops) == 4
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(drops)
+
+
+def test_orders_share_one_dedupe_by_default(spark, catalog):
+    base = tempfile.mkdtemp(prefix="lakecart-default-")
+    _write_batch(f"{base}/bus/orders", 1, [("A", "15:00"), ("A", "15:00"), ("B", "15:01")], 1_700_000_000)
+    layout, qs = _run(spark, base, catalog, shared=None)
+    assert len(qs) == 2
+    silver = {(r.order_id, r.event_ts) for r in spark.read.parquet(layout.table("silver", "orders")).collect()}
+    fact = {(r.order_id, r.event_ts) for r in
+            spark.read.parquet(layout.table("gold", "orders_gold_incremental")).collect()}
+    assert silver == fact and len(silver) == 2
+
+
 def test_collapse_copies_before_dedupe(spark, catalog):
     from lakecart.operators import silver
     from helpers import envelope
@@ -151,7 +184,7 @@ def test_topic_start_is_all_or_none(spark, catalog, tmp_path):
     layout = Layout(root=str(tmp_path / "lake"), checkpoint_root=str(tmp_path / "ck"))
     (tmp_path / "lake" / "silver").mkdir(parents=True)
     (tmp_path / "lake" / "silver" / "orders").write_text("not a folder")       # the silver sink cannot start
-    settings = StreamSettings(layout=layout, processing_time="1 second", catalog=catalog)
+    settings = StreamSettings(layout=layout, processing_time="1 second", catalog=catalog, shared_scan=False)
     before = {q.id for q in spark.streams.active}
     with pytest.raises(Exception):
         start_topic(topic_source(spark, "orders", "files", str(tmp_path / "bus")), "orders", settings)
