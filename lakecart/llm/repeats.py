@@ -1,57 +1,97 @@
-"""Substring dedup by hashing the lines' sentences (dealt operator 2)."""
+"""Substring dedup by hashing lines and parts of lines (dealt operator 2)."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakecart.llm.store import written
-from lakecart.llm.textbatch import slices
-
-# A unit is a line, cut after sentence ends so that a passage inside a longer line is met too.
-UNIT = re.compile(r"[^\n.!?]+[.!?]*")
-# Units with fewer words are skipped; repeats in a row count as a passage from this many words on.
-UNIT_WORDS, PASSAGE_WORDS = 4, 25
-
-
-def text_units(text: str) -> Iterator[tuple[int, int, int, bytes]]:
-    """(start, end, words, digest) of each unit, in code points; case and spacing do not matter to the digest."""
-    for m in UNIT.finditer(text):
-        words = m.group().split()
-        if len(words) >= UNIT_WORDS:
-            normal = " ".join(words).lower().encode("utf-8", "surrogatepass")
-            yield m.start(), m.end(), len(words), blake2b(normal, digest_size=12).digest()
+from lakecart.llm.textbatch import IS_SPACE, chunks, mix, slices, word_hashes
+
+# A line is cut before each word whose hash is the smallest of the REACH words on both sides: cuts depend on the words
+# alone, so a passage in the middle of a line is cut alike wherever it stands.  Units are PARTS parts in a row, and
+# whole lines of LINE_WORDS words or more.
+REACH, PARTS, LINE_WORDS = 3, 3, 8
+# Repeated units that touch or overlap are one passage, from this many words on.
+PASSAGE_WORDS = 25
+
+_R = np.uint64(0xD1342543DE82EF95)
+_R_INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 2**64))
+
+
+def _run_hashes(x: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run x[first:last], from prefix sums of a polynomial modulo 2**64."""
+    powers = np.cumprod(np.full(len(x), _R, np.uint64), dtype=np.uint64)
+    back = np.cumprod(np.full(len(x), _R_INVERSE, np.uint64), dtype=np.uint64)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x * powers, dtype=np.uint64)))
+    return mix((sums[last] - sums[first]) * back[first] + (last - first).astype(np.uint64))
+
+
+def part_starts(hashes: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Whether a part starts at each word: at a line's first word, and where the hash is smallest within REACH."""
+    smallest = np.ones(len(hashes), bool)
+    for j in range(1, REACH + 1):
+        same = line[j:] == line[:-j]
+        smallest[j:] &= ~same | (hashes[j:] < hashes[:-j])
+        smallest[:-j] &= ~same | (hashes[:-j] <= hashes[j:])
+    smallest[0] = True
+    smallest[1:] |= line[1:] != line[:-1]
+    return smallest
+
+
+def text_units(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Units of the A-Z lower-cased texts, in blocks of arrays: text index, start and end in code points, first word
+    and end word in the text, and a 64-bit and a 32-bit digest of the words.  Spacing does not matter to a digest."""
+    for first_text, parts in chunks(texts, lower=True):
+        hashes, at = word_hashes(parts)
+        if not len(hashes):
+            continue
+        data = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
+        edge = np.diff(np.concatenate(([0], (~IS_SPACE[data]).view(np.int8), [0])))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+        text = np.searchsorted(at, np.arange(len(hashes)), "right") - 1
+        begin = np.cumsum([0] + [len(b) + 1 for b in parts])[text]
+        line = np.cumsum(data == 10)[starts] + text
+
+        cut = np.append(np.flatnonzero(part_starts(hashes, line)), len(hashes))
+        a, b = cut[: -PARTS], cut[PARTS:]
+        inside = text[a] == text[b - 1]
+        row = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(hashes))
+        long = np.diff(row) >= LINE_WORDS
+        a, b = np.concatenate((a[inside], row[:-1][long])), np.concatenate((b[inside], row[1:][long]))
+        yield (text[a] + first_text, points[starts[a]] - points[begin[a]], points[ends[b - 1]] - points[begin[a]],
+               a - at[text[a]], b - at[text[a]], _run_hashes(hashes, a, b),
+               _run_hashes(mix(hashes), a, b) >> np.uint64(32))
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """(doc_id, nr, start, end, words, d1, d2): every unit of every whole text, numbered within its document."""
+    """(doc_id, start, end, w0, w1, d1, d2): every unit of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = [(d, n, a, b, w, int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True))
-                    for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
-                    for n, (a, b, w, h) in enumerate(text_units(t))]
-            columns = list(zip(*rows, strict=True)) or [[]] * 7
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                             names=["doc_id", "nr", "start", "end", "words", "d1", "d2"])
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            for t, start, end, w0, w1, d1, d2 in text_units(batch.column("text").to_pylist()):
+                columns = [pa.array(ids[t]), *(pa.array(c.astype(np.int32)) for c in (start, end, w0, w1)),
+                           pa.array(d1.view(np.int64)), pa.array(d2.astype(np.uint32).view(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "end", "w0", "w1", "d1", "d2"])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return src.where("doc_id is not null and text is not null").mapInArrow(
-        run, "doc_id long, nr int, start int, end int, words int, d1 long, d2 int")
+        run, "doc_id long, start int, end int, w0 int, w1 int, d1 long, d2 int")
 
 
 def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> DataFrame:
     """(doc_id, start, end, n_words, n_units, kept_doc_id): every passage to remove, one row each.
 
     Units are grouped by digest over all documents; the occurrence of smallest (doc_id, start) stays, the others are
-    repeats.  Repeats that follow each other in a document, with `passage_words` words or more together, are one
+    repeats.  Repeats of a document that touch or overlap, with `passage_words` words or more together, are one
     passage, with its offsets in the original text; kept_doc_id is the smallest document that keeps one of its units.
+    A passage that starts or ends inside a line may lose the part at that end (7 words on average).
     Groups are counted before the shuffle, and the join back can be split by adaptive execution, so a very common
     line meets in no single task.
 
@@ -62,16 +102,22 @@ def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Da
     first = every.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "start")).alias("kept"), F.count("*").alias("n"))
     first = first.where("n > 1").select("d1", "d2", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.start").alias("kept_start"))
     again = every.join(first, ["d1", "d2"]).where("doc_id <> kept_doc or start <> kept_start").select(
-        "doc_id", "nr", "start", "end", "words", "kept_doc").distinct()
-    run = F.col("nr") - F.row_number().over(Window.partitionBy("doc_id").orderBy("nr", "start"))
-    passages = again.withColumn("run", run).groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"),
+        "doc_id", "start", "end", "w0", "w1", "kept_doc").distinct()
+    order = Window.partitionBy("doc_id").orderBy("w0", "w1", "kept_doc")
+    reached = F.max("w1").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = again.withColumn("apart", F.when(F.col("w0") <= reached, 0).otherwise(1))
+    passages = apart.withColumn("run", F.sum("apart").over(order)).groupBy("doc_id", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("w1") - F.min("w0")).alias("n_words"),
         F.count("*").alias("n_units"), F.min("kept_doc").alias("kept_doc_id"))
     return passages.where(F.col("n_words") >= passage_words).drop("run")
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """`docs` with the passages cut out, and `removed`: their (start, end) in the original text (null without any)."""
+    """`docs` with the passages cut out, and `removed`: their (start, end) in the original text (null without any).
+
+    A column of the documents named `removed` gives way to it.
+    """
+    docs = docs.drop("removed")
     spans = passages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
     joined = docs.join(spans, "doc_id", "left").select(*docs.columns, "removed")
     n = F.size("removed")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakecart.llm import bpe, language_id, licenses, mixing, near_dups, quality, repeats, secrets, sharding, topk
+from lakecart.llm import bpe, language_id, licenses, mixing, near_dups, quality, repeats, secrets, sharding, textbatch, topk
 from lakecart.llm.components import connected_components
 from lakecart.llm.queries import ORACLES, QUERIES
 from tests.llm import brute
@@ -113,27 +114,58 @@ def test_chain_and_large_group_stay_whole(spark, monkeypatch):
     assert sorted(r[0] for r in kept).count(100) == 1
 
 
+def _plain_units(text):
+    """Units of one text, word by word: (first word, end word, words), and each word's place in the text."""
+    lines, places, words, at = [], [], [], 0
+    for line in text.split("\n"):
+        found = [(m.start() + at, m.end() + at, m.group().encode("utf-8", "surrogatepass").lower())
+                 for m in re.finditer(r"[^\x20\x09-\x0d]+", line)]
+        lines.append((len(words), len(words) + len(found)))
+        places += [f[:2] for f in found]
+        words += [f[2] for f in found]
+        at += len(line) + 1
+    cuts = []
+    for a, b in lines:
+        h = [int(textbatch.word_hashes([w])[0][0]) for w in words[a:b]]
+        for i in range(b - a):
+            left, right = h[max(0, i - repeats.REACH) : i], h[i + 1 : i + 1 + repeats.REACH]
+            if i == 0 or (all(h[i] < x for x in left) and all(h[i] <= x for x in right)):
+                cuts.append(a + i)
+    cuts.append(len(words))
+    spans = list(zip(cuts, cuts[repeats.PARTS :])) + [(a, b) for a, b in lines if b - a >= repeats.LINE_WORDS]
+    return [(a, b, tuple(words[a:b])) for a, b in spans], places
+
+
 def test_repeated_passages_equal_a_plain_scan(docs, none):
     rows = sorted({(r[0], r[1]) for r in ROWS if r[0] is not None and r[1]})
     passage = "Some words of a passage that many share here. And then it goes on for quite some time, with more words. The end is near us."
-    rows += [(500, "own words come first of all. " + passage), (501, passage.upper() + "\nAnd other words follow after that."),
-             (502, "Not a repeat at all in here.")]
-    df = docs.sparkSession.createDataFrame(rows + rows[-2:], "doc_id long, text string")
-    seen, want = {}, {}
+    middle = " ".join(f"wörd{i * i % 97} tail{i}" for i in range(40))           # 80 words without any sentence end
+    rows += [(500, "own words come first of all.\n" + passage), (501, passage.upper() + "\nAnd other words follow after that."),
+             (502, "Not a repeat at all in here."), (503, f"héad of one text {middle} and its end"),
+             (504, f"another beginning, longer than that one {middle}\tquite another end"),
+             (505, " ".join(w + "!!" for w in middle.split())), (506, "x " + " ".join(w + "!!" for w in middle.split()))]
+    df = docs.sparkSession.createDataFrame(rows + rows[-2:], "doc_id long, text string").withColumn("removed", F.lit("own"))
+    kept, want = {}, {}
+    for d, t in rows:
+        spans, places = _plain_units(t)
+        for a, b, words in spans:
+            kept.setdefault(words, []).append((d, places[a][0]))
     for d, t in rows:
+        spans, places = _plain_units(t)
+        words = {k for a, b, w in spans if (d, places[a][0]) != min(kept[w]) for k in range(a, b)}
         run = []
-        for n, (a, b, w, h) in enumerate(repeats.text_units(t)):
-            if h in seen:
-                run = run if run and run[-1][0] == n - 1 else []
-                run.append((n, a, b, w))
-                want[d, run[0][1]] = (run[-1][2], sum(x[3] for x in run))
-            seen.setdefault(h, d)
-    want = {k: v for k, v in want.items() if v[1] >= repeats.PASSAGE_WORDS}
+        for k in sorted(words) + [None]:
+            if run and k != run[-1] + 1:
+                if len(run) >= repeats.PASSAGE_WORDS:
+                    want[d, places[run[0]][0]] = (places[run[-1]][1], len(run))
+                run = []
+            run.append(k)
     got = repeats.repeated_passages(df)
     assert {(r["doc_id"], r["start"]): (r["end"], r["n_words"]) for r in got.collect()} == want
-    assert (501, 0) in want and not any(d in (500, 502) for d, _ in want)
+    assert (501, 0) in want and not any(d in (500, 502, 503, 505) for d, _ in want)
+    assert all(sum(n for (d, _), (_, n) in want.items() if d == doc) >= 60 for doc in (504, 506))
     cut = {r["doc_id"]: r for r in repeats.remove_passages(df, got).collect()}
-    assert cut[501]["text"] == "\nAnd other words follow after that." and cut[500]["text"] == rows[-3][1]
+    assert cut[501]["text"] == "\nAnd other words follow after that." and cut[500]["text"] == rows[-7][1]
     assert repeats.repeated_passages(none).count() == 0
 
 
