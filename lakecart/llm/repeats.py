@@ -44,8 +44,9 @@ def part_starts(hashes: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 
 def text_units(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Units of the A-Z lower-cased texts, in blocks of arrays: text index, start and end in code points, first word
-    and end word in the text, and a 64-bit and a 32-bit digest of the words.  Spacing does not matter to a digest."""
+    """Units of the A-Z lower-cased texts, in blocks of arrays: text index, start and length in code points, first word
+    in the text and number of words, and a 64-bit and a 32-bit digest of the words.  Spacing does not matter to a
+    digest.  (Lengths, not ends: small numbers keep the shuffled rows small.)"""
     for first_text, parts in chunks(texts, lower=True):
         hashes, at = word_hashes(parts)
         if not len(hashes):
@@ -64,25 +65,25 @@ def text_units(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
         row = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(hashes))
         long = np.diff(row) >= LINE_WORDS
         a, b = np.concatenate((a[inside], row[:-1][long])), np.concatenate((b[inside], row[1:][long]))
-        yield (text[a] + first_text, points[starts[a]] - points[begin[a]], points[ends[b - 1]] - points[begin[a]],
-               a - at[text[a]], b - at[text[a]], _run_hashes(hashes, a, b),
+        yield (text[a] + first_text, points[starts[a]] - points[begin[a]], points[ends[b - 1]] - points[starts[a]],
+               a - at[text[a]], b - a, _run_hashes(hashes, a, b),
                _run_hashes(mix(hashes), a, b) >> np.uint64(32))
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, end, w0, w1, d1, d2): every unit of every whole text."""
+    """(doc_id, start, chars, w0, words, d1, d2): every unit of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for t, start, end, w0, w1, d1, d2 in text_units(batch.column("text").to_pylist()):
-                columns = [pa.array(ids[t]), *(pa.array(c.astype(np.int32)) for c in (start, end, w0, w1)),
+            for t, start, chars, w0, words, d1, d2 in text_units(batch.column("text").to_pylist()):
+                columns = [pa.array(ids[t]), *(pa.array(c.astype(np.int32)) for c in (start, chars, w0, words)),
                            pa.array(d1.view(np.int64)), pa.array(d2.astype(np.uint32).view(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "end", "w0", "w1", "d1", "d2"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "chars", "w0", "words", "d1", "d2"])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return src.where("doc_id is not null and text is not null").mapInArrow(
-        run, "doc_id long, start int, end int, w0 int, w1 int, d1 long, d2 int")
+        run, "doc_id long, start int, chars int, w0 int, words int, d1 long, d2 int")
 
 
 def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> DataFrame:
@@ -102,7 +103,8 @@ def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Da
     first = every.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "start")).alias("kept"), F.count("*").alias("n"))
     first = first.where("n > 1").select("d1", "d2", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.start").alias("kept_start"))
     again = every.join(first, ["d1", "d2"]).where("doc_id <> kept_doc or start <> kept_start").select(
-        "doc_id", "start", "end", "w0", "w1", "kept_doc").distinct()
+        "doc_id", "start", (F.col("start") + F.col("chars")).alias("end"), "w0",
+        (F.col("w0") + F.col("words")).alias("w1"), "kept_doc").distinct()
     order = Window.partitionBy("doc_id").orderBy("w0", "w1", "kept_doc")
     reached = F.max("w1").over(order.rowsBetween(Window.unboundedPreceding, -1))
     apart = again.withColumn("apart", F.when(F.col("w0") <= reached, 0).otherwise(1))
