@@ -99,7 +99,7 @@ def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Da
     Null doc_id or text, empty and short texts: no passages.  A repeated row is the same document.  An empty table
     gives no rows; other columns are not read.
     """
-    every = written(units(docs), "repeat-units")
+    every = written(units(docs), "repeat-units", "zstd")
     first = every.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "start")).alias("kept"), F.count("*").alias("n"))
     first = first.where("n > 1").select("d1", "d2", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.start").alias("kept_start"))
     again = every.join(first, ["d1", "d2"]).where("doc_id <> kept_doc or start <> kept_start").select(
