@@ -40,9 +40,16 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
+# A PEM key: on to its END line, over whatever stands between; without one, over its header fields and base64, which is
+# a run of 16 or more (its line breaks may be spaces or escapes by now) or a line of its own.
+_PEM_GAP = r"(?:\s|\\[nr])*"
+_PEM_KEY = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-(?!----)[^-]*)*-----END [A-Z ]*PRIVATE KEY-----"
+            rf"|(?:{_PEM_GAP}(?:Proc-Type|DEK-Info):[^\n\\]*)*"
+            rf"(?:{_PEM_GAP}[A-Za-z0-9+/]{{16,}}={{0,2}}(?:{_PEM_GAP}[A-Za-z0-9+/]{{1,15}}={{1,2}})?"
+            r"|[\t\x20\r]*(?:\n|\\n)\s*[A-Za-z0-9+/]+={0,2}(?=[\t\x20\r]*(?:\n|\\[nr]|[\"']|\Z)))*)")
 # Public formats of well-known credentials.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", _PEM_KEY),
     Rule("code_host", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud_api", r"AIza[A-Za-z0-9_-]{35}"),
