@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from lakecart.llm.store import written
 from lakecart.llm.textbatch import IS_SPACE, chunks, mix, slices, word_hashes
 
-# A line is cut before each word whose hash is the smallest of the REACH words on both sides: cuts depend on the words
-# alone, so a passage in the middle of a line is cut alike wherever it stands.  Units are PARTS parts in a row, and
-# whole lines of LINE_WORDS words or more.
+# A text is cut before each word whose hash is the smallest of the REACH words on both sides: cuts depend on the words
+# alone, so a passage is cut alike wherever it stands and however its lines are broken.  Units are PARTS parts in a row,
+# and whole lines of LINE_WORDS words or more.
 REACH, PARTS, LINE_WORDS = 3, 3, 8
 # Repeated units that touch or overlap are one passage, from this many words on.
 PASSAGE_WORDS = 25
@@ -31,15 +31,15 @@ def _run_hashes(x: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
     return mix((sums[last] - sums[first]) * back[first] + (last - first).astype(np.uint64))
 
 
-def part_starts(hashes: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """Whether a part starts at each word: at a line's first word, and where the hash is smallest within REACH."""
+def part_starts(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Whether a part starts at each word: at a text's first word, and where the hash is smallest within REACH."""
     smallest = np.ones(len(hashes), bool)
     for j in range(1, REACH + 1):
-        same = line[j:] == line[:-j]
+        same = text[j:] == text[:-j]
         smallest[j:] &= ~same | (hashes[j:] < hashes[:-j])
         smallest[:-j] &= ~same | (hashes[:-j] <= hashes[j:])
     smallest[0] = True
-    smallest[1:] |= line[1:] != line[:-1]
+    smallest[1:] |= text[1:] != text[:-1]
     return smallest
 
 
@@ -59,7 +59,7 @@ def text_units(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
         begin = np.cumsum([0] + [len(b) + 1 for b in parts])[text]
         line = np.cumsum(data == 10)[starts] + text
 
-        cut = np.append(np.flatnonzero(part_starts(hashes, line)), len(hashes))
+        cut = np.append(np.flatnonzero(part_starts(hashes, text)), len(hashes))
         a, b = cut[: -PARTS], cut[PARTS:]
         inside = text[a] == text[b - 1]
         row = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(hashes))
@@ -92,7 +92,7 @@ def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Da
     Units are grouped by digest over all documents; the occurrence of smallest (doc_id, start) stays, the others are
     repeats.  Repeats of a document that touch or overlap, with `passage_words` words or more together, are one
     passage, with its offsets in the original text; kept_doc_id is the smallest document that keeps one of its units.
-    A passage that starts or ends inside a line may lose the part at that end (7 words on average).
+    A passage may lose the part at an end that is no end of a text or whole line (7 words on average).
     Groups are counted before the shuffle, and the join back can be split by adaptive execution, so a very common
     line meets in no single task.
 

@@ -169,6 +169,22 @@ def test_repeated_passages_equal_a_plain_scan(docs, none):
     assert repeats.repeated_passages(none).count() == 0
 
 
+def test_a_passage_is_found_however_it_is_wrapped(spark):
+    rnd = random.Random(8)
+    say = lambda n: ["".join(rnd.choices("abcdefghij", k=7)) for _ in range(n)]
+    passage = say(100)
+    rows = []
+    for i, width in enumerate((100, 12, 10, 14, 7, 3, 1)):
+        own = say(30)
+        wrapped = "\n".join(" ".join(passage[a : a + width]) for a in range(0, 100, width))
+        rows.append((i, f"{' '.join(own[:15])} {wrapped}\t{' '.join(own[15:])}"))
+    got = repeats.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(1, 7)) and {r["kept_doc_id"] for r in got} == {0}
+    for r in got:
+        found = rows[r["doc_id"]][1][r["start"] : r["end"]].split()
+        assert len(found) == r["n_words"] >= 80 and " ".join(found) in " ".join(passage)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(200, 100), (100, 100)], "a long, b long")
     got = {r["node"]: r["component"] for r in connected_components(edges).collect()}
