@@ -16,7 +16,7 @@ from lakecart.llm.textbatch import IS_SPACE, chunks, mix, slices, word_hashes
 # alone, so a passage is cut alike wherever it stands and however its lines are broken.  Units are PARTS parts in a row,
 # and whole lines of LINE_WORDS words or more.
 REACH, PARTS, LINE_WORDS = 3, 3, 8
-# Repeated units that touch or overlap are one passage, from this many words on.
+# Repeated units that touch or overlap are one passage, from this many words on; whole lines are one at any length.
 PASSAGE_WORDS = 25
 
 _R = np.uint64(0xD1342543DE82EF95)
@@ -45,8 +45,8 @@ def part_starts(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 def text_units(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
     """Units of the A-Z lower-cased texts, in blocks of arrays: text index, start and length in code points, first word
-    in the text and number of words, and a 64-bit and a 32-bit digest of the words.  Spacing does not matter to a
-    digest.  (Lengths, not ends: small numbers keep the shuffled rows small.)"""
+    in the text and number of words (negative for a whole line or paragraph), and a 64-bit and a 32-bit digest of the
+    words.  Spacing does not matter to a digest.  (Lengths, not ends: small numbers keep the shuffled rows small.)"""
     for first_text, parts in chunks(texts, lower=True):
         hashes, at = word_hashes(parts)
         if not len(hashes):
@@ -62,16 +62,22 @@ def text_units(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
         cut = np.append(np.flatnonzero(part_starts(hashes, text)), len(hashes))
         a, b = cut[: -PARTS], cut[PARTS:]
         inside = text[a] == text[b - 1]
-        row = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(hashes))
-        long = np.diff(row) >= LINE_WORDS
-        a, b = np.concatenate((a[inside], row[:-1][long])), np.concatenate((b[inside], row[1:][long]))
+        row = np.flatnonzero(np.diff(line, prepend=-1))
+        block = row[(text[row] != text[row - 1]) | (line[row] > line[row - 1] + 1)]  # after a line without words
+        block = np.union1d(block, row[:1])
+        row, block = np.append(row, len(hashes)), np.append(block, len(hashes))
+        several = np.searchsorted(row, block[1:]) - np.searchsorted(row, block[:-1]) > 1
+        whole_a, whole_b = np.concatenate((row[:-1], block[:-1][several])), np.concatenate((row[1:], block[1:][several]))
+        long = whole_b - whole_a >= LINE_WORDS
+        sign = np.repeat([1, -1], [int(inside.sum()), int(long.sum())])
+        a, b = np.concatenate((a[inside], whole_a[long])), np.concatenate((b[inside], whole_b[long]))
         yield (text[a] + first_text, points[starts[a]] - points[begin[a]], points[ends[b - 1]] - points[starts[a]],
-               a - at[text[a]], b - a, _run_hashes(hashes, a, b),
+               a - at[text[a]], (b - a) * sign, _run_hashes(hashes, a, b),
                _run_hashes(mix(hashes), a, b) >> np.uint64(32))
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, chars, w0, words, d1, d2): every unit of every whole text."""
+    """(doc_id, start, chars, w0, words, d1, d2): every unit of every whole text, words negative for lines, paragraphs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -92,6 +98,8 @@ def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Da
     Units are grouped by digest over all documents; the occurrence of smallest (doc_id, start) stays, the others are
     repeats.  Repeats of a document that touch or overlap, with `passage_words` words or more together, are one
     passage, with its offsets in the original text; kept_doc_id is the smallest document that keeps one of its units.
+    With fewer words, a run that holds whole lines or paragraphs is a passage from the first to the end of the last of
+    them, and a run of parts alone is none.
     A passage may lose the part at an end that is no end of a text or whole line (7 words on average).
     Groups are counted before the shuffle, and the join back can be split by adaptive execution, so a very common
     line meets in no single task.
@@ -104,14 +112,21 @@ def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Da
     first = first.where("n > 1").select("d1", "d2", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.start").alias("kept_start"))
     again = every.join(first, ["d1", "d2"]).where("doc_id <> kept_doc or start <> kept_start").select(
         "doc_id", "start", (F.col("start") + F.col("chars")).alias("end"), "w0",
-        (F.col("w0") + F.col("words")).alias("w1"), "kept_doc").distinct()
+        (F.col("w0") + F.abs("words")).alias("w1"), "kept_doc", (F.col("words") < 0).alias("whole"))
+    again = again.groupBy("doc_id", "start", "end", "w0", "w1", "kept_doc").agg(F.max("whole").alias("whole"))
     order = Window.partitionBy("doc_id").orderBy("w0", "w1", "kept_doc")
     reached = F.max("w1").over(order.rowsBetween(Window.unboundedPreceding, -1))
     apart = again.withColumn("apart", F.when(F.col("w0") <= reached, 0).otherwise(1))
-    passages = apart.withColumn("run", F.sum("apart").over(order)).groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("w1") - F.min("w0")).alias("n_words"),
-        F.count("*").alias("n_units"), F.min("kept_doc").alias("kept_doc_id"))
-    return passages.where(F.col("n_words") >= passage_words).drop("run")
+    runs = apart.withColumn("run", F.sum("apart").over(order)).groupBy("doc_id", "run")
+    long = F.max("w1") - F.min("w0") >= passage_words
+    def of(fn, col):  # over the run, or over its whole lines if it is short
+        return F.when(long, fn(col)).otherwise(fn(F.when(F.col("whole"), F.col(col))))
+
+    passages = runs.agg(
+        of(F.min, "start").alias("start"), of(F.max, "end").alias("end"),
+        (of(F.max, "w1") - of(F.min, "w0")).cast("int").alias("n_words"),
+        F.when(long, F.count("*")).otherwise(F.count_if("whole")).alias("n_units"), of(F.min, "kept_doc").alias("kept_doc_id"))
+    return passages.where("n_units > 0").drop("run")
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:

@@ -185,6 +185,20 @@ def test_a_passage_is_found_however_it_is_wrapped(spark):
         assert len(found) == r["n_words"] >= 80 and " ".join(found) in " ".join(passage)
 
 
+def test_repeated_lines_and_paragraphs_go_at_any_length(spark):
+    rnd = random.Random(9)
+    say = lambda n: " ".join("".join(rnd.choices("abcdefghij", k=7)) for _ in range(n))
+    line = "Please read the terms of use before you go on."          # 10 words, no 25
+    address = "Our little shop\nThe high street\nOpen all day"       # lines of 3 words, together 9
+    inline = say(15)                                                 # 15 words shared inside longer lines: no passage
+    rows = [(i, f"{say(20)}\n{line}\n{say(20)}\n\n{address}\n\n{say(20)} {inline} {say(20)}") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = repeats.repeated_passages(df)
+    found = sorted((r["doc_id"], rows[r["doc_id"]][1][r["start"] : r["end"]], r["n_words"], r["kept_doc_id"]) for r in got.collect())
+    assert found == sorted((i, t, n, 0) for i in range(1, 9) for t, n in ((line, 10), (address, 9)))
+    assert repeats.remove_passages(df, got).where(F.col("text").contains(line) | F.col("text").contains(address)).count() == 1
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(200, 100), (100, 100)], "a long, b long")
     got = {r["node"]: r["component"] for r in connected_components(edges).collect()}
