@@ -15,9 +15,10 @@ from lakecart.llm.textbatch import slices
 # Bounded sample the automata are built from: documents and normalised characters per language, the latter shared
 # among languages so that all tables together stay under TABLE_CELLS.
 TRAIN_DOCS, TRAIN_CHARS, TABLE_CELLS = 96, 32_768, 24_000_000
-# Symbols: 0 is the gap between words, 1 any letter outside the alphabet, the rest frequent letters.
+# Symbols: 0 is the gap between words, then DIGITS hexadecimal digits, the rest frequent letters.  Every other letter is
+# spelled by the four digits of each of its UTF-16 units, so no two letters are the same.
 ALPHABET = 64
-GAP, RARE = 0, 1
+GAP, DIGITS = 0, 16
 # Long texts are parsed in blocks of this many symbols, many blocks at a time.
 BLOCK = 512
 _BREAK = np.int32(-(2**31))
@@ -80,7 +81,7 @@ class Model:
     """Suffix automata of one text per language, over a shared alphabet. Bounded by TRAIN_CHARS and TABLE_CELLS."""
 
     langs: list[str]
-    letters: list[int]  # code points of symbols 2, 3, …
+    letters: list[int]  # code points of the symbols after the digits
     sizes: list[int]  # training symbols per language
     edges: list[tuple[int, np.ndarray]]  # states, and (state, symbol, next) rows
 
@@ -111,26 +112,52 @@ def build_model(samples: dict[str, list[str]], chars: int = TRAIN_CHARS) -> Mode
             codes = normalise([t])[0][: min(room, max(1, chars // 8))]
             parts.append(codes)
             room -= len(codes)
-        texts[lang] = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-    seen, counts = np.unique(np.concatenate([np.zeros(0, np.uint32), *texts.values()]), return_counts=True)
-    by = sorted((-n, c) for c, n in zip(seen.tolist(), counts.tolist(), strict=True) if c != GAP)
-    letters = [c for _, c in by[: ALPHABET - 2]]
-    model = Model(langs, letters, [max(2, len(texts[lang])) for lang in langs], [])
+        texts[lang] = parts
+    share: dict[int, float] = {}  # of each letter in the language that has most of it
+    for parts in texts.values():
+        codes = np.concatenate([np.zeros(0, np.uint32), *parts])
+        for c, n in zip(*(x.tolist() for x in np.unique(codes, return_counts=True)), strict=True):
+            share[c] = max(share.get(c, 0.0), n / len(codes))
+    letters = [c for c in sorted(share, key=lambda c: (-share[c], c)) if c != GAP][: ALPHABET - 1 - DIGITS]
     table = symbol_table(letters)
+    spelled = {lang: np.concatenate([np.zeros(0, np.int32), *[spell(codes, table)[0][: max(1, chars // 8)] for codes in parts]])[:chars]
+               for lang, parts in texts.items()}
+    model = Model(langs, letters, [max(2, len(spelled[lang])) for lang in langs], [])
     for lang in langs:
-        following = suffix_automaton(table[texts[lang]].tolist())
+        following = suffix_automaton(spelled[lang].tolist())
         rows = np.array([(s, c, n) for s, out in enumerate(following) for c, n in out.items()], np.int32).reshape(-1, 3)
         model.edges.append((len(following), rows))
     return model
 
 
 def symbol_table(letters: list[int]) -> np.ndarray:
-    table = np.full(0x110000, RARE, np.int32)
+    """Symbol of each code point, -1 if it is spelled."""
+    table = np.full(0x110000, -1, np.int32)
     table[GAP] = GAP
-    table[np.array(letters, np.int64)] = np.arange(2, len(letters) + 2)
+    table[np.array(letters, np.int64)] = np.arange(1 + DIGITS, len(letters) + 1 + DIGITS)
     return table
 
 
+def spell(codes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of the code points, and how many each one takes."""
+    symbols = table[codes]
+    wide = np.flatnonzero(symbols < 0)
+    size = np.ones(len(codes), np.int64)
+    if not len(wide):
+        return symbols, size
+    c = codes[wide].astype(np.int64)
+    far = c >= 0x10000
+    size[wide] = np.where(far, 8, 4)
+    out = np.repeat(symbols, size)
+    at = (np.cumsum(size) - size)[wide]
+    first = np.where(far, 0xD800 + ((c - 0x10000) >> 10), c)
+    second = 0xDC00 + (c & 0x3FF)
+    for j in range(4):
+        out[at + j] = 1 + ((first >> (12 - 4 * j)) & 15)
+        out[at[far] + 4 + j] = 1 + ((second[far] >> (12 - 4 * j)) & 15)
+    return out, size
+
+
 class Parser:
     """Cross-parses texts against every automaton at once."""
 
@@ -146,7 +173,8 @@ class Parser:
         has[owner[codes != GAP]] = True
         if not self.model.langs:
             return counts, has
-        symbols = self.symbols[codes]
+        symbols, size = spell(codes, self.symbols)
+        owner = np.repeat(owner, size)
         first = np.searchsorted(owner, np.arange(len(texts) + 1))
         lanes = np.concatenate([np.zeros(0, np.int64), *[np.arange(a, b, BLOCK) for a, b in zip(first[:-1], first[1:], strict=True)]])
         if not len(lanes):

@@ -281,6 +281,23 @@ def test_language_of_odd_texts(docs, none):
     assert {r["lang_pred"] for r in language_id.predict_language(docs, nothing).collect()} == {"und"}
 
 
+def test_languages_of_one_script_stay_apart_beside_other_scripts():
+    rnd = random.Random(4)
+    areas = {"la": (0x61, 26), "cy": (0x430, 32), "gr": (0x3B1, 25), "ar": (0x627, 20), "he": (0x5D0, 27), "ka": (0x30A1, 80),
+             "ha": (0x4E00, 3000), "li": (0x1000A, 20)}
+
+    def words(area, n):  # all languages have words of 4 letters: only the letters tell them apart
+        start, count = areas[area]
+        return ["".join(chr(start + rnd.randrange(count)) for _ in range(4)) for _ in range(n)]
+
+    vocab = {a + k: words(a, 60) for a in areas for k in "12"}
+    say = lambda lang, n: " ".join(rnd.choices(vocab[lang], k=n))
+    model = language_id.build_model({lang: [say(lang, 400) for _ in range(8)] for lang in vocab})
+    texts = [(lang, say(lang, 40)) for lang in vocab for _ in range(10)]
+    got = [lang for lang, _ in language_id.Parser(model).predict([t for _, t in texts])]
+    assert [a for a, _ in texts] == got
+
+
 def test_automaton_spells_exactly_the_factors():
     text = [1, 2, 1, 1, 2, 3, 1, 2]
     following = language_id.suffix_automaton(text)
