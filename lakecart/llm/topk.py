@@ -39,6 +39,7 @@ def tile_topk(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k:
     to some depth, a seen entry counts its value, an unseen one at most the value at that depth (upper bound) and at
     least the list's last value (lower bound); nothing is looked up out of order.  Pairs whose upper bound is below
     the query's k-th best lower bound cannot qualify.  Depth grows until few pairs remain; their scores are resolved.
+    If over a quarter remain at the last of DEPTHS, the dense product of the whole tile answers.
     """
     n, d = x.shape
     bound = float(max(1, d)) * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0))
@@ -74,7 +75,7 @@ def tile_topk(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k:
         alive = (upper >= kth[:, None]) & ~own
         if alive.sum() <= max(4 * k * len(q), SURVIVORS * alive.size):
             break
-    if alive.mean() > 0.25:  # the lists were read to their ends: every score is known
+    if alive.mean() > 0.25:  # the bounds prune too little: every score by the dense product
         score = q @ x.T
         score[own] = -np.inf
         if n > k:
