@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakecart.llm import (
-    bpe, language_id, licenses, mixing, near_dups, quality, repeats, secrets, sharding, topk,
+    bpe, fill_middle, language_id, licenses, mixing, near_dups, pieces, quality, repeats, secrets, sharding, topk, whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,24 @@ def op10_quality(spark, sf_dir):
     return quality.quality(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vecs = table.where(whitening.finite_vector(F.col("embedding"))).select(
+        F.col("vec_id").alias("id"), whitening.scaled(F.col("embedding")).alias("x"))
+    return whitening.whiten(vecs, components=8).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op12_fill_middle(spark, sf_dir):
+    return fill_middle.fim_digests(_documents(spark, sf_dir), fill_middle.Rule(fim_percent=100, spm_percent=50, seed=7))
+
+
+@query
+def op13_pieces(spark, sf_dir):
+    return pieces.token_digests(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
@@ -177,4 +195,23 @@ f0 AS (SELECT *, 0 AS again FROM dealt WHERE drawn = 1){_fill_sql("f", "size", "
 SELECT doc_id, size, source_size, target, ((passes + again) * size)::BIGINT AS taken FROM (
   SELECT doc_id, size, source_size, target, passes, again FROM f{mixing.FILL_PASSES}
   UNION ALL SELECT doc_id, size, source_size, target, passes, CASE WHEN drawn = 2 THEN 1 ELSE 0 END FROM dealt WHERE drawn <> 1)""",
+    "op12_fill_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+                  regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+h AS (SELECT *, len(u)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+             ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+s AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+             array_to_string(u[b + 1:], '') AS suffix FROM f),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output FROM s),
+p AS (SELECT *, strpos(output, '<P>') AS ap, strpos(output, '<S>') AS az, strpos(output, '<M>') AS am FROM o)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars, sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN output
+                        WHEN 'psm' THEN substr(output, ap + 3, az - ap - 3) || substr(output, am + 3) || substr(output, az + 3, am - az - 3)
+                        ELSE substr(output, ap + 3, am - ap - 3) || substr(output, am + 3) || substr(output, az + 3, ap - az - 3) END) AS restored_sha256
+FROM p""",
 }
