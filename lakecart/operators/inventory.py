@@ -81,7 +81,7 @@ def time_bucket(df: DataFrame, name: str, width: int) -> Column:
     return F.coalesce(F.floor(value / width).cast("bigint"), F.lit(-(2 ** 63)))
 
 
-def _plain_key(df: DataFrame, name: str) -> list[Column]:
+def plain_key(df: DataFrame, name: str) -> list[Column]:
     """A key as two columns without nulls, so that plain equality joins null keys too."""
     dtype, c = df.schema[name].dataType, F.col(f"`{name}`")
     zero = F.lit("" if isinstance(dtype, T.StringType) else "1970-01-01" if isinstance(
@@ -115,7 +115,7 @@ def stock_ledger(df: DataFrame, delta: str = "change_quantity", initial: int | s
     # are interchangeable in a running sum, all others are ordered the same way every run
     tb = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) if total_order else F.lit(0).cast("bigint")
     own = [f"_k{i}" for i in range(2 * len(keys))]
-    plain = dict(zip(own, [c for k in keys for c in _plain_key(df, k)], strict=True))
+    plain = dict(zip(own, [c for k in keys for c in plain_key(df, k)], strict=True))
     rows = df.withColumns({**plain, "_seg": time_bucket(df, order[0], bucket), "_tb": tb,
                            "_d": F.coalesce(F.col(delta).cast("bigint"), F.lit(0)), "_init": init.cast("bigint")})
     order = [*order, "_tb"] if total_order else list(order)

@@ -50,12 +50,16 @@ COVERAGE: dict[str, tuple[list[str], list[str]]] = {
     # aggregations
     "A1": (["lakecart.operators.gold.revenue_daily"], ["revenue_daily", "sql_revenue_daily"]),
     "A2": (["lakecart.operators.gold.top_products"], ["top_products"]),
-    "A3": (["lakecart.operators.gold.revenue_increment"], ["revenue_increment", "stream_gold_increment"]),
+    "A3": (["lakecart.operators.gold.revenue_increment", "lakecart.operators.additive.AdditiveRevenueWriter",
+            "lakecart.operators.additive.additive_totals"],
+           ["revenue_increment", "stream_gold_increment", "additive_revenue_daily", "stream_additive_revenue"]),
     "A4": (["lakecart.operators.reports.orders_by_channel"], ["orders_by_channel"]),
     "A5": (["lakecart.operators.reports.revenue_trend"], ["revenue_trend"]),
     # windows
-    "W1": (["lakecart.operators.inventory.latest_state"], ["inventory_latest"]),
-    "W2": (["lakecart.operators.inventory.stock_ledger"], ["stock_ledger"]),
+    "W1": (["lakecart.operators.inventory.latest_state", "lakecart.streaming.topic_streams.latest_inventory_stream",
+            "lakecart.streaming.topic_streams.read_latest_inventory"], ["inventory_latest", "stream_inventory_latest"]),
+    "W2": (["lakecart.operators.inventory.stock_ledger", "lakecart.operators.ledger_store.LedgerStore"],
+           ["stock_ledger", "stock_ledger_continued"]),
     # sorts
     "O1": (["lakecart.operators.gold.order_revenue_daily"], ["revenue_daily_ordered"]),
     "O2": (["lakecart.operators.gold.rank_products"], ["top_products_table"]),
@@ -80,8 +84,8 @@ COVERAGE: dict[str, tuple[list[str], list[str]]] = {
             "lakecart.operators.silver.dedupe_events"],
            ["stream_dedupe_orders", "stream_collapsed_clickstream", "dedupe_orders"]),
     "T3": (["lakecart.operators.silver.add_late_flag"], ["late_flag"]),
-    "T4": (["lakecart.streaming.topic_streams.watermark_drops", "lakecart.streaming.topic_streams.DropListener"],
-           ["stream_watermark_drops"]),
+    "T4": (["lakecart.streaming.topic_streams.watermark_drops", "lakecart.streaming.topic_streams.DropListener",
+            "lakecart.streaming.topic_streams.KeepLateBatchWriter"], ["stream_watermark_drops", "stream_late_rows"]),
     "T5": (["lakecart.sinks.writers.write_stream"], ["stream_bronze"]),
     "T6": (["lakecart.streaming.topic_streams.start_topic", "lakecart.streaming.topic_streams.start_topic_shared",
             "lakecart.streaming.topic_streams.start_all"], ["stream_silver_inventory", "stream_silver_pricing", "stream_shared_dedupe_orders",

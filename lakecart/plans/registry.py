@@ -500,6 +500,92 @@ def layer_contents(spark, sf_dir):
     return portable(contents(spark, layout, tables))
 
 
+# ---- results carried over batches and runs: increments, late rows, ledger, latest state ------------------------
+
+# Fixed fixture parameters: three micro-batches by supplier, so most orders span batches; one of them is replayed.
+INCREMENT_BATCHES, REPLAYED_BATCH = 3, 1
+
+
+@query
+def additive_revenue_daily(spark, sf_dir):
+    """Day totals from the stored increments of three batches alone (A3)."""
+    from lakecart.operators.additive import AdditiveRevenueWriter
+
+    _base, layout = _stream_base(spark, "additive")
+    writer, enriched = AdditiveRevenueWriter(layout), _enriched(_fx(spark, sf_dir))
+    batch = F.col("store_id").cast("bigint") % INCREMENT_BATCHES
+    for b in [*range(INCREMENT_BATCHES), REPLAYED_BATCH]:
+        writer(enriched.where(batch == b), b)
+    return writer.totals(spark)
+
+
+@query
+def stream_additive_revenue(spark, sf_dir):
+    """Daily orders per category from the increments of two drains, bitmaps merged over channels."""
+    from lakecart.operators.additive import AdditiveRevenueWriter
+
+    base, lay = _stream_base(spark, "additive-stream")
+    once = silver.dedupe_events(_fx(spark, sf_dir)["orders"], "orders")
+    events, later = testviews.redelivered(once), F.col("event_ts") >= F.lit(SECOND_DRAIN_FROM)
+    for part in (events.where(~later), events.where(later)):
+        _drain(spark, sf_dir, base, lay, {"orders": testviews.order_records(part, corrupt=False)}, additive_revenue=True)
+    return AdditiveRevenueWriter(lay).totals(spark, ["order_date", "category"])
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Keys of silver and of the late table (T4): odd event ids arrive in a second drain, behind the first's watermark."""
+    base, lay = _stream_base(spark, "late")
+    records, odd = _records(spark, sf_dir, "clickstream"), F.col("offset") % 2 == 1
+    for part in (records.where(~odd), records.where(odd)):
+        _drain(spark, sf_dir, base, lay, {"clickstream": part}, keep_late=True)
+    keys = ["session_id", "event_type", "event_ts"]
+    parts = [spark.read.parquet(lay.table(layer, "clickstream")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+             .withColumn("layer", F.lit(layer)) for layer in ("silver", "late")]
+    return portable(parts[0].union(parts[1]))
+
+
+# Fixed fixture parameters: the ledger's second run starts here; every fifth order reaches the third run, late.
+SECOND_RUN_FROM, LATE_ORDER_MOD = datetime(1996, 7, 1, tzinfo=UTC), 5
+
+
+@query
+def stock_ledger_continued(spark, sf_dir):
+    """The stock ledger of three runs, the last with events for all earlier buckets."""
+    from lakecart.operators.ledger_store import LedgerStore
+    from lakecart.session import run_dir
+
+    events = _fx(spark, sf_dir)["inventory"]
+    store = LedgerStore(run_dir(spark, "ledger"), delta="change_quantity", initial="reorder_point", bucket=30 * 86_400)
+    late = F.split("event_id", "-")[0].cast("bigint") % LATE_ORDER_MOD == 0
+    first = F.col("event_ts") < F.lit(SECOND_RUN_FROM)
+    for run, part in enumerate((events.where(~late & first), events.where(~late & ~first), events.where(late))):
+        store.append(part, run)
+    return portable(store.ledger(spark).select("event_id", "product_id", "store_id", "event_ts", "change_quantity",
+                                               "ledger_on_hand"))
+
+
+@query
+def stream_inventory_latest(spark, sf_dir):
+    """Latest state kept by a stream over three drains, the log folded after the second."""
+    from lakecart.sinks.writers import publish_to_files
+    from lakecart.streaming.topic_streams import (
+        StreamSettings, await_queries, compact_latest_inventory, read_latest_inventory, start_latest_inventory, topic_source,
+    )
+
+    base, lay = _stream_base(spark, "latest")
+    settings, records = StreamSettings(layout=lay, available_now=True, now=LATE_NOW), _records(spark, sf_dir, "inventory")
+    for drain in range(3):
+        publish_to_files(records.where(F.pmod("offset", F.lit(3)) == drain), f"{base}/bus/inventory")
+        source = topic_source(spark, "inventory", "files", f"{base}/bus", ingested_at=LATE_NOW)
+        await_queries(spark, [start_latest_inventory(source, settings)], drain=True)
+        if drain == 1:
+            compact_latest_inventory(spark, lay)
+    return portable(read_latest_inventory(spark, lay).select(
+        "event_id", "event_type", "event_ts", "ingestion_ts", "product_id", "sku", "store_id", "on_hand",
+        "available_to_promise", "reorder_point", "change_quantity", "reason", "is_low_inventory", "inventory_risk_level"))
+
+
 # ---- SQL models over fixture silver views ---------------------------------------------
 
 def _silver_tables(spark, sf_dir, topics=("orders", "inventory")):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-LAYERS = ("bronze", "silver", "quarantine", "gold")
+LAYERS = ("bronze", "silver", "quarantine", "late", "gold")
 
 
 @dataclass(frozen=True)

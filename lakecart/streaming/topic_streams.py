@@ -12,16 +12,19 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lakecart.contracts import contract, select_topics
 from lakecart.operators import gold, silver
+from lakecart.operators.additive import AdditiveRevenueWriter
+from lakecart.operators.inventory import INVENTORY_KEY, with_risk
 from lakecart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_SALT_BUCKETS
 from lakecart.sinks.layout import Layout
 from lakecart.sinks.writers import replace_partitions, write_stream
 from lakecart.sources import bus, jsonl
+from lakecart.sources.tables import read_table_if_exists
 
 
 @dataclass
@@ -39,6 +42,9 @@ class StreamSettings:
     # gold tables then come from one dedupe and hold the same copy of a repeated event
     shared_scan: bool | None = None
     collapse_copies: bool = False  # collapse repeated events map-side before the dedupe shuffle
+    # one query per topic that writes the rows behind the watermark to a `late` table (see KeepLateBatchWriter)
+    keep_late: bool = False
+    additive_revenue: bool = False  # orders: also daily increments whose distinct order counts add up
     query_prefix: str = ""
 
 
@@ -71,14 +77,17 @@ class OrderGoldBatchWriter:
     second copy.  An empty batch writes nothing.
     """
 
-    def __init__(self, layout: Layout):
+    def __init__(self, layout: Layout, additive: bool = False):
         self.layout = layout
+        self.additive = AdditiveRevenueWriter(layout) if additive else None
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         batch = batch_df.persist()
         try:
             if batch.isEmpty():
                 return
+            if self.additive:
+                self.additive(batch, batch_id)
             fact = gold.orders_fact(batch).withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint"))
             replace_partitions(fact, self.layout.table("gold", "orders_gold_incremental"), ["_batch_id"],
                                self.layout.fmt)
@@ -125,11 +134,118 @@ class CleanBatchWriter:
             replace_partitions(batch.withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint")),
                                lay.table("silver", self.topic), ["_batch_id"], lay.fmt)
             if self.topic == "orders" and self.settings.with_gold:
-                OrderGoldBatchWriter(lay)(batch, batch_id)
+                OrderGoldBatchWriter(lay, self.settings.additive_revenue)(batch, batch_id)
         finally:
             batch.unpersist()
 
 
+class KeepLateBatchWriter:
+    """One stateless query per topic: bronze, quarantine, late and silver rows (and gold for orders) of each micro-batch.
+
+    The watermark in force in a batch is the newest valid event time of all earlier batches, carried in the small table
+    `late/<topic>_watermarks` (one row a batch), less the topic's delay.  Valid rows at or behind it go to `late/<topic>`;
+    the others are deduplicated on the contract key (a fixed copy stays) and against silver rows newer than the
+    watermark, which are all they can repeat, so every valid row is a silver row, a copy of one, or late.  A replayed batch
+    sees only earlier batches and replaces its own partitions.
+    """
+
+    def __init__(self, topic: str, settings: StreamSettings):
+        self.topic, self.settings = topic, settings
+
+    def watermark(self, spark: SparkSession, batch_id: int) -> Column:
+        """The watermark in force in a batch as a literal; null before the first valid row."""
+        marks = read_table_if_exists(spark, self.settings.layout.table("late", f"{self.topic}_watermarks"))
+        newest = None
+        if marks is not None:
+            newest = marks.where(F.col("_batch_id") < batch_id).agg(F.max(F.unix_micros("newest"))).first()[0]
+        delay = F.expr(f"INTERVAL {contract(self.topic).watermark_delay}")
+        return F.timestamp_micros(F.lit(newest).cast("bigint")) - delay
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        lay, c, spark, number = self.settings.layout, contract(self.topic), batch_df.sparkSession, int(batch_id)
+        RawBatchWriter(self.topic, self.settings)(batch_df, batch_id)
+        valid = silver.valid_rows(silver.silver_frame(batch_df, self.topic, now=self.settings.now)).persist()
+        try:
+            if valid.isEmpty():
+                return
+            tag, mark, time = F.lit(number).cast("bigint"), self.watermark(spark, number), F.col(c.event_time)
+            is_late = F.coalesce(time <= mark, F.lit(False))
+            replace_partitions(valid.where(is_late).withColumn("_batch_id", tag), lay.table("late", self.topic),
+                               ["_batch_id"], lay.fmt)
+            fresh = silver.dedupe_events(valid.where(~is_late), self.topic)
+            held = read_table_if_exists(spark, lay.table("silver", self.topic), lay.fmt)
+            if held is not None:
+                held = held.where((F.col("_batch_id") < number) & F.coalesce(time > mark, F.lit(True)))
+                held = held.select(*[F.col(k).alias(f"_held_{k}") for k in c.dedupe_key])
+                same = [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in c.dedupe_key]
+                fresh = fresh.join(held, same, "left_anti")
+            if self.topic == "orders":
+                fresh = gold.enrich_orders(fresh, self.settings.catalog, self.settings.broadcast_max_rows,
+                                           self.settings.join_salt_buckets)
+            CleanBatchWriter(self.topic, self.settings)(fresh, batch_id)
+            newest = valid.agg(F.max(c.event_time).alias("newest")).withColumn("_batch_id", tag)
+            replace_partitions(newest, lay.table("late", f"{self.topic}_watermarks"), ["_batch_id"], "parquet")
+        finally:
+            valid.unpersist()
+
+
+class LatestStateBatchWriter:
+    """Upsert log of the latest row per key: a micro-batch's changed keys are its own partition."""
+
+    def __init__(self, path: str, fmt: str = "parquet"):
+        self.path, self.fmt = path, fmt
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        rows = batch_df.withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint"))
+        replace_partitions(rows, self.path, ["_batch_id"], self.fmt)
+
+
+def latest_inventory_stream(envelope_df: DataFrame, settings: StreamSettings) -> DataFrame:
+    """Latest valid inventory row per product × store as an update-mode aggregate (W1): one state row per key, combined
+    map-side before the shuffle.  The order is `inventory.latest_state`'s, nulls last."""
+    valid = silver.valid_rows(silver.silver_frame(envelope_df, "inventory", now=settings.now))
+    order = ["event_ts", "event_id", "kafka_partition", "kafka_offset"]
+    rest = [c for c in valid.columns if c not in (*order, *INVENTORY_KEY)]
+    newest = F.max(F.struct(*order, *rest)).alias("_row")
+    return valid.groupBy(*INVENTORY_KEY).agg(newest).select(*INVENTORY_KEY, "_row.*")
+
+
+def start_latest_inventory(envelope_df: DataFrame, settings: StreamSettings) -> StreamingQuery:
+    """Keep the upsert log `gold/inventory_latest_log` up to date; read it with `read_latest_inventory`."""
+    lay = settings.layout
+    writer = LatestStateBatchWriter(lay.table("gold", "inventory_latest_log"), lay.fmt)
+    return _start_batch_query(latest_inventory_stream(envelope_df, settings), writer, lay.checkpoint("gold", "inventory_latest"),
+                              f"{settings.query_prefix}inventory_latest", settings, "update")
+
+
+def latest_upserts(log: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest batch's row of each key.  A partial top-1 runs before the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(F.desc("_batch_id"))
+    return log.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+
+
+def read_latest_inventory(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The latest state with its risk columns, as `inventory.inventory_gold` of all drained events."""
+    base, log = (read_table_if_exists(spark, layout.table("gold", n), layout.fmt)
+                 for n in ("inventory_latest_base", "inventory_latest_log"))
+    if base is not None:
+        through = base.agg(F.max("_through")).first()[0]
+        base = base.where(F.col("_through") == through).drop("_through")
+        log = base.unionByName(log.where(F.col("_batch_id") > through))
+    return with_risk(latest_upserts(log, INVENTORY_KEY).drop("_batch_id"))
+
+
+def compact_latest_inventory(spark: SparkSession, layout: Layout) -> None:
+    """Fold the log into a base table; readers then skip the folded batches.  Nothing is deleted; repeating it is safe."""
+    log = read_table_if_exists(spark, layout.table("gold", "inventory_latest_log"), layout.fmt)
+    if log is None or log.isEmpty():
+        return
+    through = log.agg(F.max("_batch_id")).first()[0]
+    state = latest_upserts(log.where(F.col("_batch_id") <= through), INVENTORY_KEY)
+    replace_partitions(state.withColumn("_through", F.lit(through)), layout.table("gold", "inventory_latest_base"),
+                       ["_through"], layout.fmt)
+
+
 def topic_frames(envelope_df: DataFrame, topic: str, settings: StreamSettings) -> dict[str, DataFrame]:
     """The plans of one topic: bronze, silver (valid, watermarked, deduped, enriched) and quarantine."""
     frames = {"bronze": bus.bronze(envelope_df, topic)}
@@ -148,8 +264,8 @@ def topic_frames(envelope_df: DataFrame, topic: str, settings: StreamSettings) -
 
 
 def _start_batch_query(df: DataFrame, writer, checkpoint: str, name: str,
-                       settings: StreamSettings) -> StreamingQuery:
-    w = df.writeStream.foreachBatch(writer).outputMode("append").option("checkpointLocation", checkpoint) \
+                       settings: StreamSettings, mode: str = "append") -> StreamingQuery:
+    w = df.writeStream.foreachBatch(writer).outputMode(mode).option("checkpointLocation", checkpoint) \
         .queryName(name)
     if settings.available_now:
         w = w.trigger(availableNow=True)
@@ -188,6 +304,11 @@ def start_topic_shared(envelope_df: DataFrame, topic: str, settings: StreamSetti
 
 def start_topic(envelope_df: DataFrame, topic: str, settings: StreamSettings) -> list[StreamingQuery]:
     """Start the topic's queries: bronze, silver, quarantine, plus gold increments for orders."""
+    if settings.keep_late:
+        if topic == "orders" and settings.catalog is None:
+            raise ValueError("orders need a catalog for enrichment")
+        return [_start_batch_query(envelope_df, KeepLateBatchWriter(topic, settings), settings.layout.checkpoint("silver", topic),
+                                   f"{settings.query_prefix}{topic}_keep_late", settings)]
     if topic == "orders" if settings.shared_scan is None else settings.shared_scan:
         return start_topic_shared(envelope_df, topic, settings)
     lay = settings.layout
@@ -201,7 +322,7 @@ def start_topic(envelope_df: DataFrame, topic: str, settings: StreamSettings) ->
 
     starters = [sink(layer) for layer in ("bronze", "silver", "quarantine")]
     if topic == "orders" and settings.with_gold:
-        starters.append(lambda: _start_batch_query(frames["silver"], OrderGoldBatchWriter(lay),
+        starters.append(lambda: _start_batch_query(frames["silver"], OrderGoldBatchWriter(lay, settings.additive_revenue),
                                                    lay.checkpoint("gold", topic), f"{name}_gold", settings))
     return _all_or_none(starters)
 

@@ -425,4 +425,23 @@ ORACLES: dict[str, str] = {
     "refresh_inventory_risk": VALID_INV_CTE + """
       SELECT product_id, sku, store_id, event_ts, on_hand, available_to_promise, reorder_point,
              inventory_risk_level FROM latest""",
+
+    "additive_revenue_daily": ORDERS_CTE + "," + REVENUE_DAILY + " SELECT * FROM revenue",
+
+    "stream_additive_revenue": "WITH " + ",".join([V_ORDERS, ONCE, V_CATALOG, ENRICHED.replace("v_orders o", "once o"), FACT]) + """
+      SELECT order_date, category, count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units_sold,
+             round(sum(order_total), 2) AS revenue, round(sum(gross_margin), 2) AS gross_margin
+      FROM fact GROUP BY order_date, category""",
+
+    "stream_late_rows": CLICK_CTE + """,
+      valid AS (SELECT * FROM checked WHERE _dq_errors = ''),
+      first AS (SELECT max(event_ts) - INTERVAL 60 MINUTE AS mark FROM valid WHERE kafka_offset % 2 = 0),
+      judged AS (SELECT v.*, kafka_offset % 2 = 1 AND event_ts <= mark AS late FROM valid v, first)
+      SELECT session_id, event_type, event_ts, 1::BIGINT AS n_rows, 'silver' AS layer
+      FROM (SELECT DISTINCT session_id, event_type, event_ts FROM judged WHERE NOT late)
+      UNION ALL
+      SELECT session_id, event_type, event_ts, count(*), 'late' FROM judged WHERE late GROUP BY ALL""",
+
+    "stream_inventory_latest": INV_CTE + " SELECT * FROM latest",
 }
+ORACLES["stock_ledger_continued"] = ORACLES["stock_ledger"]
