@@ -18,8 +18,9 @@ COVERAGE: dict[str, tuple[list[str], list[str]]] = {
     # sinks
     "K1": (["lakecart.sinks.writers.write_stream"], ["stream_bronze", "stream_quarantine"]),
     "K2": (["lakecart.streaming.topic_streams.OrderGoldBatchWriter"], ["stream_gold_increment"]),
-    "K3": (["lakecart.sinks.writers.write_overwrite", "lakecart.plans.gold_refresh.refresh"],
-           ["refresh_revenue_daily", "refresh_inventory_risk"]),
+    "K3": (["lakecart.sinks.writers.write_overwrite", "lakecart.plans.gold_refresh.refresh",
+            "lakecart.plans.gold_refresh.refresh_changed"],
+           ["refresh_revenue_daily", "refresh_inventory_risk", "refresh_changed_days"]),
     "K4": (["lakecart.sinks.layout.Layout"], ["layer_health"]),
     "K5": (["lakecart.sinks.writers.publish_frame", "lakecart.sinks.writers.publish_to_bus",
             "lakecart.sinks.writers.publish_to_files"], ["publish_gate"]),
@@ -102,7 +103,8 @@ COVERAGE: dict[str, tuple[list[str], list[str]]] = {
     "D6": (["lakecart.operators.strict.late_by_payload"], ["is_late"]),
     "D7": (["lakecart.functions.fingerprint.fingerprint"], ["event_fingerprint"]),
     "D8": (["lakecart.operators.strict.publish_gate"], ["publish_gate"]),
-    "D9": (["lakecart.operators.checks.failing_not_null"], ["check_not_null", "data_tests"]),
+    "D9": (["lakecart.operators.checks.failing_not_null", "lakecart.operators.checks.ObservedTests",
+            "lakecart.operators.checks.StreamTests"], ["check_not_null", "data_tests", "data_tests_observed"]),
     "D10": (["lakecart.operators.checks.failing_non_negative"], ["check_non_negative", "data_tests"]),
     "D11": (["lakecart.operators.checks.failing_accepted_values"], ["check_accepted_values", "data_tests"]),
     "D12": (["lakecart.operators.health.layer_health", "lakecart.operators.health.layer_contents"],

@@ -695,3 +695,30 @@ def refresh_revenue_daily(spark, sf_dir):
 def refresh_inventory_risk(spark, sf_dir):
     """The all-levels risk table as the refresh job writes it."""
     return portable(spark.read.parquet(_refreshed(spark, sf_dir, "inventory")["inventory_risk"]))
+
+
+@query
+def data_tests_observed(spark, sf_dir):
+    """The gold model tests counted while the refresh job writes the models."""
+    from lakecart.plans.gold_refresh import refresh
+
+    tests = checks.ObservedTests()
+    refresh(spark, _silver_tables(spark, sf_dir), tests=tests)
+    return tests.results(spark)
+
+
+@query
+def refresh_changed_days(spark, sf_dir):
+    """Daily revenue after a second refresh that reads only what changed: later days, and late orders of earlier ones."""
+    from lakecart.plans.gold_refresh import refresh_changed
+    from lakecart.sinks.writers import replace_partitions
+
+    _base, layout = _stream_base(spark, "changed")
+    silver_rows = testviews.flag_invalid(_enriched(_fx(spark, sf_dir)), F.col("order_id"))
+    late = F.col("order_id").cast("bigint") % LATE_ORDER_MOD == 0
+    batch = F.when(late, 2).when(F.col("event_ts") < F.lit(SECOND_DRAIN_FROM), 0).otherwise(1).cast("bigint")
+    tagged = silver_rows.withColumn("_batch_id", batch)
+    for arrived in (F.col("_batch_id") == 0, F.col("_batch_id") > 0):
+        replace_partitions(tagged.where(arrived), layout.table("silver", "orders"), ["_batch_id"])
+        tables = refresh_changed(spark, layout, period="month", date_salt_buckets=2)  # years of few orders a day
+    return spark.read.parquet(tables["revenue_daily_by_period"]).drop("order_period")

@@ -445,3 +445,5 @@ ORACLES: dict[str, str] = {
     "stream_inventory_latest": INV_CTE + " SELECT * FROM latest",
 }
 ORACLES["stock_ledger_continued"] = ORACLES["stock_ledger"]
+ORACLES["data_tests_observed"] = ORACLES["sql_model_tests"]
+ORACLES["refresh_changed_days"] = ORACLES["refresh_revenue_daily"]

@@ -117,3 +117,79 @@ def test_data_tests(fact, spark):
     assert failures[("orders_gold", "order_total", "non_negative")] == 1
     assert failures[("inventory_risk", "inventory_risk_level", "accepted_values")] == 3
     assert failures[("orders_gold", "order_id", "not_null")] == 0
+
+
+def _silver_batch(spark, layout, batch, rows):
+    from lakecart.sinks.writers import replace_partitions
+
+    schema = ("order_id string, event_ts timestamp, user_id string, product_id string, product_name string, category string, "
+              "brand string, store_id string, channel string, quantity int, unit_price double, order_total double, "
+              "gross_margin double, status string, _dq_is_valid boolean, _batch_id bigint")
+    full = [(o, ts, "u", "p", "n", "c", "b", "s", "web", 1, 2.0, 2.0, 1.0, "paid", ok, batch) for o, ts, ok in rows]
+    replace_partitions(spark.createDataFrame(full, schema), layout.table("silver", "orders"), ["_batch_id"])
+
+
+def test_refresh_reads_only_changed_days(spark, tmp_path):
+    from datetime import datetime
+
+    from lakecart.plans import gold_refresh
+    from lakecart.sinks.layout import Layout
+
+    layout = Layout.under(str(tmp_path))
+    assert gold_refresh.refresh_changed(spark, layout) == {}
+    day = lambda d: datetime(2026, 5, d, 10)
+    _silver_batch(spark, layout, 0, [("a", day(1), True), ("b", day(2), True), ("c", day(3), True), ("bad", day(3), False)])
+    tables = gold_refresh.refresh_changed(spark, layout)
+    daily = lambda: {(r.order_date.day if r.order_date else None): r.orders for r in
+                     spark.read.parquet(tables["revenue_daily_by_period"]).collect()}
+    assert daily() == {1: 1, 2: 1, 3: 1}
+    before = {f: (tmp_path / f).stat().st_mtime_ns for f in tmp_path.rglob("revenue_daily_by_period/order_period=2026-05-01/*.parquet")}
+    assert before
+    _silver_batch(spark, layout, 1, [("d", day(2), True), ("e", None, True)])
+    _silver_batch(spark, layout, 2, [("f", day(9), True)])
+    gold_refresh.refresh_changed(spark, layout)
+    assert daily() == {1: 1, 2: 2, 3: 1, 9: 1, None: 1}
+    assert {f: (tmp_path / f).stat().st_mtime_ns for f in before} == before  # untouched days are not written again
+    read = gold_refresh.facts_of_periods(spark, layout, [day(2).date(), None])
+    assert {f.split("order_period=")[1].split("/")[0] for f in read.inputFiles()} >= {"2026-05-02"}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(" in plan and "2026-05-02" in plan
+    assert gold_refresh.refreshed_through(spark, layout) == 2
+    gold_refresh.refresh_changed(spark, layout)  # nothing new
+    assert gold_refresh.refresh_changed(spark, Layout.under(str(tmp_path / "none")), "month") == {}
+    assert daily() == {1: 1, 2: 2, 3: 1, 9: 1, None: 1}
+
+
+def test_tests_are_counted_while_tables_are_written(spark, tmp_path):
+    from lakecart.operators.checks import DataTest, ObservedTests, StreamTests
+
+    tests = (DataTest("m", "x", "not_null"), DataTest("m", "x", "non_negative"), DataTest("m", "s", "accepted_values", ("a",)),
+             DataTest("other", "x", "not_null"))
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (-3, None), (-4, "a")], "x int, s string")
+    seen = ObservedTests(tests)
+    for n in range(2):
+        seen.watch("m", df).write.parquet(str(tmp_path / f"m{n}"))
+    seen.watch("untested", df).write.parquet(str(tmp_path / "u"))
+    assert [(r.test, r.failures) for r in seen.results(spark).collect()] == [
+        ("not_null", 2), ("non_negative", 4), ("accepted_values", 4)]
+    empty = ObservedTests(tests)
+    empty.watch("m", df.limit(0)).write.parquet(str(tmp_path / "e"))
+    assert set(empty.failures().values()) == {0}
+
+    listener = StreamTests(tests)
+    spark.streams.addListener(listener)
+    try:
+        source = spark.readStream.schema("x int, s string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "m*"))
+        query = (listener.watch("m", source).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
+                 .trigger(availableNow=True).start(str(tmp_path / "out")))
+        query.awaitTermination()
+        import time
+
+        files = len(list(tmp_path.glob("m*/*.parquet")))
+        for _ in range(100):
+            if len(listener._seen) >= files:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert list(listener.failures().values()) == [2, 4, 4]
