@@ -7,9 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakecart.llm.store import written
 from lakecart.llm.textbatch import IS_SPACE, chunks, mix, slices, windows, word_hashes
 
 # The contract's base rules.
@@ -27,19 +29,25 @@ class Band:
     low_chars: float  # characters per token
     high_chars: float
     max_fallback: float  # share of tokens that are single-byte fallbacks
-    min_entropy: float  # bits per token; asked only of texts with ENTROPY_WORDS words
+    min_entropy: float  # bits per token
+    max_entropy: float
 
 
-# Per script of most letters.  Wide on purpose: ordinary prose stays inside, and only text that the vocabulary shreds
-# (low characters per token, many bytes) or that says one thing over and over (low entropy) falls out.
+# Bands come from the corpus itself, per script and language (see `fitted_bands`).  These are for scripts of which it has
+# fewer than GROUP_ROWS documents: wide, and without a vote for text that the vocabulary reads as bytes or digits.
 BANDS = {
-    "latin": Band(1.25, 9.0, 0.20, 3.0),
-    "greek_cyrillic": Band(0.9, 8.0, 0.30, 3.0),
-    "cjk": Band(0.3, 4.0, 0.80, 3.0),
-    "other": Band(0.25, 8.0, 0.95, 2.5),
-    "none": Band(0.25, 20.0, 0.95, 1.0),
+    "latin": Band(1.25, 9.0, 0.20, 3.0, 20.0),
+    "greek_cyrillic": Band(0.9, 8.0, 0.30, 3.0, 20.0),
+    "cjk": Band(0.3, 4.0, 0.80, 3.0, 20.0),
+    "other": Band(0.85, 8.0, 0.50, 3.0, 20.0),
+    "none": Band(0.25, 20.0, 0.50, 4.0, 20.0),
 }
-ENTROPY_WORDS = 50
+# A band reaches from the median TAIL_REACH times as far as the quantiles TAIL and 1 - TAIL do, and at least the
+# slacks: relative for characters per token, absolute for byte share and bits.
+TAIL, TAIL_REACH, GROUP_ROWS = 0.02, 2.0, 200
+CHARS_SLACK, FALLBACK_SLACK, ENTROPY_SLACK = 0.06, 0.10, 0.6
+# Languages with bands of their own, by documents.
+LANGUAGES = 64
 # First code points of Unicode script areas, with the script each starts.
 _SCRIPT_FROM = [(0x0, "latin"), (0x370, "greek_cyrillic"), (0x530, "other"), (0x1E00, "latin"), (0x1F00, "greek_cyrillic"),
                 (0x2000, "other"), (0x2C00, "other"), (0x2E80, "cjk"), (0xA000, "other"), (0xAC00, "cjk"), (0xD7B0, "other"),
@@ -145,14 +153,63 @@ class Fertility:
 _TO_SPACE = str.maketrans(dict.fromkeys(_SPACES, " "))
 
 
-def verdict(script: str, n_words: int, chars: float, fallback: float, entropy: float) -> bool:
+def verdict(script: str, chars: float, fallback: float, entropy: float) -> bool:
+    """The band of a script of which the corpus holds too little."""
     b = BANDS[script]
-    return (b.low_chars <= chars <= b.high_chars and fallback <= b.max_fallback
-            and (n_words < ENTROPY_WORDS or entropy >= b.min_entropy))
+    return b.low_chars <= chars <= b.high_chars and fallback <= b.max_fallback and b.min_entropy <= entropy <= b.max_entropy
 
 
-_COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
-            "kept boolean, script string, chars_per_token double, byte_share double, token_entropy double")
+_MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
+             "script string, chars_per_token double, byte_share double, token_entropy double")
+
+
+def fitted_bands(measured: DataFrame) -> DataFrame:
+    """(script, lang, band): the bands of a table with script, lang and the measures, a null lang being the whole script.
+
+    Quantiles of all documents that pass the base rules, grouped by script and by script and language; groups under
+    GROUP_ROWS documents have no band.  At most LANGUAGES languages, so the result is bounded.
+    """
+    rows = measured.where(~F.col("base_failed"))
+    often = rows.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    named = [r["lang"] for r in often.collect()]
+    lang = F.when(F.col("lang").isin(named), F.col("lang")) if named else F.lit(None).cast("string")
+    cut = F.array(F.lit(TAIL), F.lit(0.5), F.lit(1 - TAIL))
+    at = {c: F.percentile_approx(c, cut, 10_000).alias(c) for c in ("chars_per_token", "byte_share", "token_entropy")}
+    group = rows.select("script", F.explode(F.array_distinct(F.array(lang, F.lit(None)))).alias("lang"), *at)
+    found = group.groupBy("script", "lang").agg(F.count(F.lit(1)).alias("rows"), *at.values()).where(F.col("rows") >= GROUP_ROWS)
+
+    def reach(name: str, side: int, slack: Column) -> Column:
+        q = F.col(name)
+        far = F.abs(q[0 if side < 0 else 2] - q[1]) * TAIL_REACH
+        return q[1] + side * F.greatest(far, slack)
+
+    chars = F.col("chars_per_token")[1] * CHARS_SLACK
+    bits = F.lit(ENTROPY_SLACK)
+    return found.select("script", "lang", F.struct(
+        reach("chars_per_token", -1, chars).alias("low_chars"), reach("chars_per_token", 1, chars).alias("high_chars"),
+        reach("byte_share", 1, F.lit(FALLBACK_SLACK)).alias("max_fallback"),
+        reach("token_entropy", -1, bits).alias("min_entropy"), reach("token_entropy", 1, bits).alias("max_entropy")).alias("band"))
+
+
+def _within_bands(script: Column, lang: Column, chars: Column, fallback: Column, entropy: Column, bands: list) -> Column:
+    """True if the measures lie in the band of script and language.
+
+    A null language may be any that has a band in this script (without one: the whole script's).  A language without a
+    band goes by the script's fixed one, since other languages say little about it.
+    """
+    fixed = {k: [tuple(getattr(b, f) for f in Band.__dataclass_fields__)] for k, b in BANDS.items()}
+    whole = {r["script"]: [tuple(r["band"])] for r in bands if r["lang"] is None}
+    own: dict[str, list] = {}
+    for r in bands:
+        if r["lang"] is not None:
+            own.setdefault(r["script"], []).append(tuple(r["band"]))
+    table = {f"{k}|": v for k, v in (fixed | whole | own).items()} | fixed
+    table |= {f"{r['script']}|={r['lang']}": [tuple(r["band"])] for r in bands if r["lang"] is not None}
+    lists = F.create_map(*[x for key, v in table.items() for x in (
+        F.lit(key), F.array(*[F.array(*[F.lit(float(n)) for n in band]) for band in v]))])
+    key = F.concat(script, F.lit("|"), F.coalesce(F.concat(F.lit("="), lang), F.lit("")))
+    mine = F.coalesce(F.try_element_at(lists, key), F.try_element_at(lists, script))
+    return F.exists(mine, lambda b: chars.between(b[0], b[1]) & (fallback <= b[2]) & entropy.between(b[3], b[4]))
 
 
 def quality(docs: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -160,35 +217,55 @@ def quality(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
     base_failed: under MIN_WORDS words, or over MAX_REPEAT_PERCENT percent of the words in 3-word windows found
     twice.  Otherwise the text is tokenised word by word with a public vocabulary and kept if characters per token,
-    byte-fallback share and token entropy lie within its script's band.  (Bands go by script, not by the `lang`
-    column, which a new corpus may lack.)  Null text: no words, so base_failed.  Repeated rows repeat; an empty table
-    gives no rows; only doc_id and text are read.  Whole texts, row by row, no shuffle.
+    byte-fallback share and token entropy lie within the band of its script and language (`lang`, where that column
+    exists), which is fitted to all documents.  Null text: no words, so base_failed.  Null lang: see `_within_bands`.
+    Repeated rows repeat; an empty table gives no rows; only doc_id, text and lang are read.  Whole texts; texts are not
+    moved; the driver holds at most 5 * (LANGUAGES + 1) bands.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    src = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    names = ["doc_id", *(c.split()[0] for c in _COLUMNS.split(", "))]
-    measured = _measurer(docs, vocabulary_path)
+    src = docs.select("doc_id", F.col("text").cast("string").alias("text"), _lang(docs))
+    names = ["doc_id", "lang", *(c.split()[0] for c in _MEASURES.split(", "))]
+    measures = _measurer(docs, vocabulary_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, base, failed, kept, extra in measured(batches, 1):
-            arrays = [pa.array(base[:, i]) for i in range(5)] + [pa.array(failed), pa.array(kept)]
-            arrays += [pa.array([e[0] for e in extra], pa.string())]
-            arrays += [pa.array([e[i] for e in extra], pa.float64()) for i in (1, 2, 3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
+        for batch, arrays in measures(batches, 1):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *arrays], names=names)
 
-    return src.mapInArrow(run, f"doc_id {kind}, {_COLUMNS}")
+    rows = written(src.mapInArrow(run, f"doc_id {kind}, lang string, {_MEASURES}"), "quality-measures")
+    kept = ~F.col("base_failed") & _within_bands(*map(F.col, ("script", "lang", "chars_per_token", "byte_share", "token_entropy")),
+                                                 fitted_bands(rows).collect())
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    return rows.select("doc_id", *base, kept.alias("kept"), "script", "chars_per_token", "byte_share", "token_entropy")
 
 
 def keep_quality(docs: DataFrame, vocabulary_path: str) -> DataFrame:
-    """`docs` without the rows that `quality` does not keep; all columns as they are, no shuffle."""
-    text_at = docs.columns.index("text")
-    measured = _measurer(docs, vocabulary_path)
+    """`docs` without the rows that `quality` does not keep, all columns as they are.
+
+    The rows are written once with their measures, so texts are tokenised once and no text moves between tasks.
+    """
+    text_at, measures = docs.columns.index("text"), _measurer(docs, vocabulary_path)
+    own = "_quality"
+    while own in docs.columns:
+        own += "_"
+    names = [c.split()[0] for c in _MEASURES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, _, kept, _ in measured(batches, text_at):
-            yield batch.filter(pa.array(kept))
+        for batch, arrays in measures(batches, text_at):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.StructArray.from_arrays(arrays, names=names)],
+                                             names=[*batch.schema.names, own])
+
+    made = ", ".join(":".join(c.split()) for c in _MEASURES.split(", "))
+    fields = T.StructType([*docs.schema.fields, T.StructField(own, T._parse_datatype_string(f"struct<{made}>"))])
+    rows = written(docs.mapInArrow(run, fields), "quality-rows")
+    flat = rows.select(_lang(docs), f"{own}.*")
+    at = lambda c: F.col(f"{own}.{c}")
+    within = _within_bands(at("script"), _lang(docs), at("chars_per_token"), at("byte_share"), at("token_entropy"),
+                           fitted_bands(flat).collect())
+    return rows.where(~at("base_failed") & within).select(*[F.col(f"`{c}`") for c in docs.columns])
+
 
-    return docs.mapInArrow(run, docs.schema)
+def _lang(docs: DataFrame) -> Column:
+    return (F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")).alias("lang")
 
 
 def _measurer(docs: DataFrame, vocabulary_path: str):
@@ -201,12 +278,10 @@ def _measurer(docs: DataFrame, vocabulary_path: str):
             texts = batch.column(text_at).to_pylist()
             base = base_counts(texts)
             failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > MAX_REPEAT_PERCENT * base[:, 0])
-            extra, kept = [], []
-            for t, counts, bad in zip(texts, base.tolist(), failed.tolist(), strict=True):
-                script = script_of(t or "")
-                got = fertility.measure(t or "", counts[1])
-                extra.append((script, *got))
-                kept.append(not bad and verdict(script, counts[0], *got))
-            yield batch, base, failed, kept, extra
+            extra = []
+            for t, counts in zip(texts, base.tolist(), strict=True):
+                extra.append((script_of(t or ""), *fertility.measure(t or "", counts[1])))
+            yield batch, [*(pa.array(base[:, i]) for i in range(5)), pa.array(failed), pa.array([e[0] for e in extra], pa.string()),
+                          *(pa.array([e[i] for e in extra], pa.float64()) for i in (1, 2, 3))]
 
     return measured

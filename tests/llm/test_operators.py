@@ -401,8 +401,8 @@ def test_quality_counts_equal_plain_counts(docs, none):
 
 
 def test_fertility_bands():
-    assert quality.verdict("latin", 200, 4.0, 0.0, 6.0) and not quality.verdict("latin", 200, 1.0, 0.0, 6.0)
-    assert not quality.verdict("latin", 200, 4.0, 0.5, 6.0) and not quality.verdict("latin", 200, 4.0, 0.0, 1.0)
+    assert quality.verdict("latin", 4.0, 0.0, 6.0) and not quality.verdict("latin", 1.0, 0.0, 6.0)
+    assert not quality.verdict("latin", 4.0, 0.5, 6.0) and not quality.verdict("latin", 4.0, 0.0, 1.0)
     assert [quality.script_of(t) for t in ("abc é", "привет", "漢字", "123", "مرحبا")] == ["latin", "greek_cyrillic", "cjk", "none", "other"]
 
 
