@@ -9,6 +9,8 @@ from lakecart.llm.store import written
 
 WEIGHTS, BUDGET, CAP = (5, 2, 1), 1.5, 2
 SHARDS = 16
+# Words of a shard that one task places.
+PART_WORDS = 20_000_000
 # Passes over a source's blocks, blocks whose documents fill what whole blocks leave, and passes over those documents.
 BLOCK_PASSES, POOL_BLOCKS, FILL_PASSES = 3, 4, 4
 SEED = "lakecart-mix"
@@ -200,19 +202,25 @@ def mixed_documents(docs: DataFrame, placed: bool = False) -> DataFrame:
     """`docs` as the mix takes them: a document appears once per taken copy, all its columns kept.
 
     The texts move once, to meet the narrow table of decisions (built into hash tables, so texts are not sorted).
-    placed: rows also move to their shard's partition and are shuffled there by a hash of the copy; it costs a second
-    move of the texts.  A row of size 0 counts no words; it stays as often as its block is taken.
+    placed: rows also move to the shard that the splitting tree drew for the copy and stand there in the order of a hash of
+    the copy, so both copies of a document part; it moves the texts a second time.  A shard of more than PART_WORDS words is
+    dealt to several tasks by that hash, each holding a run of the order.  A row of size 0 counts no words; it stays as
+    often as its block is taken.
     """
     dealt = mix(docs.select("doc_id", "text", "source")).where(F.size("shards") > 0)
-    dealt = dealt.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("h").alias("_mix_to"), "shards")
+    dealt = dealt.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("h").alias("_mix_to"), F.col("shards").alias("_mix_shards"), "taken")
+    words = dealt.agg(F.sum("taken")).first()[0] or 0 if placed else 0
+    dealt = dealt.drop("taken")
     dealt = dealt.dropDuplicates(["_mix_to", "_mix_id", "_mix_source"])
     size = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD)).cast("long")
     keyed = docs.withColumn("_mix_h", _digest(F.col("source"), F.col("doc_id"), size))
     same = ((F.col("_mix_h") == F.col("_mix_to")) & F.col("doc_id").eqNullSafe(F.col("_mix_id"))
             & F.col("source").eqNullSafe(F.col("_mix_source")))
     copies = keyed.join(dealt.hint("shuffle_hash"), same).select(
-        *docs.columns, F.posexplode("shards").alias("_mix_copy", "_mix_shard"), "_mix_h")
+        *docs.columns, F.posexplode("_mix_shards").alias("_mix_copy", "_mix_shard"), "_mix_h")
     if placed:
+        parts = words // (SHARDS * PART_WORDS) + 1
         copies = copies.withColumn("_mix_place", _digest(F.lit("shuffle"), F.col("_mix_copy"), F.col("_mix_h")))
-        copies = copies.repartition("_mix_shard").sortWithinPartitions("_mix_shard", "_mix_place")
+        copies = copies.withColumn("_mix_part", F.floor(F.col("_mix_place") / F.lit(2.0**60 / parts)))
+        copies = copies.repartition("_mix_shard", "_mix_part").sortWithinPartitions("_mix_shard", "_mix_place")
     return copies.select(*docs.columns)

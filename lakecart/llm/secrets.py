@@ -54,7 +54,8 @@ MORE_RULES = (
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud_api", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("payment", r"[rs]k_live_[A-Za-z0-9]{16,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # the first part starts where its run of letters does, or behind a percent escape, so a run is read once
+    Rule("web_token", r"(?:(?<![A-Za-z0-9_-])|(?<=%[0-9A-Fa-f][0-9A-Fa-f]))eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("url_login", r"://[A-Za-z0-9_.-]+:[^\s/@]{6,}@"),
 )
 RULES = BASE_RULES + MORE_RULES
