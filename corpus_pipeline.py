@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages over `documents`, each a dealt operator; a stage's output is the next one's input.
 
 Quality rules drop rejected documents, near-dedup keeps one document of each group, secrets are masked in place, the
-mix repeats or leaves out documents to meet the source targets, and byte-level BPE encodes what is left.
+mix repeats or leaves out documents to meet the source targets and deals the copies to shards, and byte-level BPE encodes what is left.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(docs, placed=True)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
