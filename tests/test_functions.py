@@ -48,7 +48,7 @@ def _python_fingerprint(event, keys):
 
 
 def test_fingerprint_matches_python_form(spark):
-    ev = {"order_id": "ORD-1", "product_id": "P1001", "event_ts": "2026-05-02T12:00:00Z", "ignored": "a"}
+    ev = {"order_id": "basket-9", "product_id": "K10", "event_ts": "2026-04-11T08:30:00Z", "ignored": "a"}
     df = spark.createDataFrame([ev, {**ev, "ignored": "b"}])
     keys = ["order_id", "product_id", "event_ts"]
     got = [r[0] for r in df.select(fingerprint(df, keys)).collect()]

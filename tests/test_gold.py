@@ -1,4 +1,4 @@
-"""Goldens from the sample orders and catalog (values verified by hand)."""
+"""Goldens from the invented orders and catalog (values worked out by hand)."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,24 +24,23 @@ def fact(spark, catalog):
 def test_catalog_typed_and_unique(spark, catalog, tmp_path):
     assert catalog.count() == 8
     assert catalog.columns == ["product_id", "product_name", "category", "brand", "cost", "catalog_reorder_point"]
-    row = catalog.filter("product_id = 'P1002'").first()
-    assert (row.cost, row.catalog_reorder_point) == (820.0, 12)
+    row = catalog.filter("product_id = 'K11'").first()
+    assert (row.cost, row.catalog_reorder_point) == (41.25, 12)
     dup = tmp_path / "dup.csv"
-    dup.write_text(CATALOG_CSV + "P1001,X,Dup,Cat,B,1,oops,x\n")
+    dup.write_text(CATALOG_CSV + "K10,X,Dup,Cat,B,1,oops,x\n")
     with pytest.raises(ValueError):
         load_catalog(spark, str(dup))
     raw = read_catalog_csv(spark, str(dup))
     bad = typed_catalog(raw).filter("product_name = 'Dup'").first()
     assert bad.cost is None and bad.catalog_reorder_point is None     # try_cast, never an error
-    assert [r[0] for r in duplicate_keys(typed_catalog(raw)).collect()] == ["P1001"]
+    assert [r[0] for r in duplicate_keys(typed_catalog(raw)).collect()] == ["K10"]
 
 
 def test_enriched_margins(fact):
     got = {r.order_id: (r.product_name is not None, r.gross_margin) for r in fact.collect()}
     assert got == {
-        "ORD-0FEEB7902A2A": (True, 277.06), "ORD-779C93449030": (True, 338.56),
-        "ORD-9902D45E946E": (True, 298.81), "ORD-D1E35076E47D": (True, 275.92),
-        "ORD-EC612CE6B10D": (True, 344.81),
+        "basket-101": (True, 48.25), "basket-102": (True, 10.25), "basket-103": (True, 145.7),
+        "basket-104": (True, 159.98), "basket-105": (True, 53.95),
     }
     assert fact.columns == gold.ORDER_FACT_COLUMNS
 
@@ -54,35 +53,34 @@ def test_unknown_product_keeps_order_with_null_dimensions(spark, catalog):
     r = fact.filter("product_id = 'P9999'").first()
     assert fact.count() == 5 and r.category is None and r.gross_margin is None
     daily = gold.revenue_daily(fact).filter(F.col("category").isNull()).first()
-    assert daily.revenue == 1097.06 and daily.gross_margin is None     # null group survives
+    assert daily.revenue == 89.5 and daily.gross_margin is None     # null group survives
 
 
 def test_revenue_daily(fact):
     got = {(str(r.order_date), r.category, r.channel): (r.orders, r.units_sold, r.revenue, r.gross_margin)
            for r in gold.revenue_daily(fact).collect()}
     assert got == {
-        ("2026-05-02", "Cameras", "web"): (1, 1, 918.81, 298.81),
-        ("2026-05-02", "Computers", "mobile_app"): (1, 1, 1164.81, 344.81),
-        ("2026-05-02", "Computers", "store_pickup"): (1, 1, 1097.06, 277.06),
-        ("2026-05-02", "Gaming", "store_pickup"): (1, 2, 1025.92, 275.92),
-        ("2026-05-02", "Mobile", "store_pickup"): (1, 1, 1048.56, 338.56),
+        ("2026-05-02", "Rugs", "app"): (1, 1, 345.6, 145.7),
+        ("2026-05-02", "Lamps", "phone"): (1, 1, 95.2, 53.95),
+        ("2026-05-02", "Lamps", "kiosk"): (1, 1, 89.5, 48.25),
+        ("2026-05-02", "Chairs", "kiosk"): (1, 2, 415.98, 159.98),
+        ("2026-05-02", "Kitchen", "kiosk"): (1, 1, 18.0, 10.25),
     }
 
 
 def test_top_products_and_reports(fact):
     top = gold.top_products(fact)
     got = {r.product_id: (r.units_sold, r.revenue, r.orders) for r in top.collect()}
-    assert got == {"P1002": (2, 2261.87, 2), "P1004": (1, 1048.56, 1), "P1005": (2, 1025.92, 1),
-                   "P1006": (1, 918.81, 1)}
+    assert got == {"K11": (2, 184.7, 2), "K13": (1, 18.0, 1), "K14": (2, 415.98, 1), "K15": (1, 345.6, 1)}
     ranked = [r.product_id for r in gold.rank_products(top).collect()]
-    assert ranked == ["P1002", "P1004", "P1005", "P1006"]
+    assert ranked == ["K14", "K15", "K11", "K13"]
     table = reports.top_products_table(top)
     assert table.columns == ["product_name", "category", "units_sold", "revenue"]
-    assert table.first().revenue == 2261.87
+    assert table.first().revenue == 415.98
     by_channel = {r.channel: r.orders for r in reports.orders_by_channel(fact).collect()}
-    assert by_channel == {"store_pickup": 3, "web": 1, "mobile_app": 1}
+    assert by_channel == {"kiosk": 3, "app": 1, "phone": 1}
     trend = reports.revenue_trend(gold.revenue_daily(fact))
-    assert {r.category: r.revenue for r in trend.collect()}["Computers"] == 2261.87
+    assert {r.category: r.revenue for r in trend.collect()}["Lamps"] == 184.7
 
 
 def test_increment_distinct_counts_do_not_add_up(spark):
@@ -104,7 +102,7 @@ def test_increment_distinct_counts_do_not_add_up(spark):
 
 def test_data_tests(fact, spark):
     assert checks.failing_not_null(fact, "order_id").count() == 0
-    neg = fact.withColumn("order_total", F.when(F.col("order_id") == "ORD-9902D45E946E", -1.0)
+    neg = fact.withColumn("order_total", F.when(F.col("order_id") == "basket-103", -1.0)
                           .otherwise(F.col("order_total")))
     assert checks.failing_non_negative(neg, "order_total").count() == 1
     lv = spark.createDataFrame([("stockout",), ("weird",), (None,), ("weird",)], "inventory_risk_level string")

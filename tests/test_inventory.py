@@ -14,16 +14,15 @@ SCHEMA = ("event_id string, product_id string, store_id string, event_ts timesta
 def test_latest_state_sample(spark):
     t = datetime(2026, 5, 2, 20, 24, 0)
     rows = [
-        ("a", "P1001", "SFO-001", t, 12, 12, 8, 1),
-        ("b", "P1002", "SEA-002", t, 28, 27, 12, 10),
-        ("c", "P1007", "AUS-003", t, 30, 28, 25, 2),
-        ("d", "P1007", "NYC-004", t + timedelta(seconds=52), 44, 42, 25, -4),
-        ("e", "P1007", "NYC-004", t + timedelta(seconds=10), 48, 46, 25, 3),
+        ("a", "K10", "oslo-1", t, 9, 9, 4, 1),
+        ("b", "K11", "oslo-2", t, 31, 30, 12, 10),
+        ("c", "K16", "bergen-1", t, 41, 40, 25, 2),
+        ("d", "K16", "bergen-2", t + timedelta(seconds=52), 29, 28, 25, -4),
+        ("e", "K16", "bergen-2", t + timedelta(seconds=10), 33, 32, 25, 3),
     ]
     g = inventory.inventory_gold(spark.createDataFrame(rows, SCHEMA))
     got = {(r.product_id, r.store_id): r.available_to_promise for r in g.collect()}
-    assert got == {("P1001", "SFO-001"): 12, ("P1002", "SEA-002"): 27, ("P1007", "AUS-003"): 28,
-                   ("P1007", "NYC-004"): 42}
+    assert got == {("K10", "oslo-1"): 9, ("K11", "oslo-2"): 30, ("K16", "bergen-1"): 40, ("K16", "bergen-2"): 28}
     assert inventory.inventory_alerts(g).count() == 0
 
 

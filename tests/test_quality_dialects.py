@@ -146,20 +146,20 @@ def test_missing_fields_reported_in_contract_order(spark, edits):
     assert list(strict.check_events(env, "orders").first()._strict_errors) == want
 
 
-# One event per topic of the sample corpus (orders: the helpers' own).
+# One invented event per topic (orders: the helpers' own).
 SAMPLE_BY_TOPIC = {
     "orders": order(),
-    "inventory": {"event_id": "i1", "event_type": "inventory_update", "event_ts": "2026-05-02T20:24:49.876179Z",
-                  "ingestion_ts": "2026-05-02T20:24:59.876183Z", "product_id": "P1002", "sku": "BB-LAP-ULTRA",
-                  "store_id": "SEA-002", "on_hand": 28, "available_to_promise": 27, "reorder_point": 12,
-                  "change_quantity": 10, "reason": "replenishment"},
-    "pricing": {"event_id": "p1", "event_type": "price_change", "event_ts": "2026-05-02T20:24:39.876362Z",
-                "ingestion_ts": "2026-05-02T20:24:59.876365Z", "product_id": "P1002", "sku": "BB-LAP-ULTRA",
-                "old_price": 1202.7, "new_price": 1235.65, "currency": "USD", "reason": "competitor_match"},
-    "clickstream": {"event_id": "c1", "event_type": "add_to_cart", "event_ts": "2026-05-02T20:24:54.876601Z",
-                    "ingestion_ts": "2026-05-02T20:24:59.876603Z", "session_id": "S4aa9449267ca4761",
-                    "user_id": "U377932", "product_id": "P1003", "sku": "BB-HDP-NC700", "page": "checkout",
-                    "search_term": None, "device": "tablet", "referrer": "email"},
+    "inventory": {"event_id": "i1", "event_type": "inventory_update", "event_ts": "2026-04-11T09:14:02.250000Z",
+                  "ingestion_ts": "2026-04-11T09:14:05.000001Z", "product_id": "K11", "sku": "lamp-brass",
+                  "store_id": "oslo-2", "on_hand": 31, "available_to_promise": 30, "reorder_point": 12,
+                  "change_quantity": 6, "reason": "delivery"},
+    "pricing": {"event_id": "p1", "event_type": "price_change", "event_ts": "2026-04-11T10:00:00.500000Z",
+                "ingestion_ts": "2026-04-11T10:00:01.750000Z", "product_id": "K14", "sku": "chair-ash",
+                "old_price": 205.25, "new_price": 210.0, "currency": "NOK", "reason": "season"},
+    "clickstream": {"event_id": "c1", "event_type": "search", "event_ts": "2026-04-11T11:30:12.125000Z",
+                    "ingestion_ts": "2026-04-11T11:30:13.000000Z", "session_id": "visit-77",
+                    "user_id": "shopper-4", "product_id": "K12", "sku": "tea-green", "page": "list",
+                    "search_term": None, "device": "phone", "referrer": "letter"},
 }
 
 

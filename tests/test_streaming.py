@@ -87,7 +87,7 @@ def test_late_drop_schedule_and_resume(spark, catalog):
 
 def test_gold_batch_writer_is_idempotent(spark, catalog, tmp_path):
     layout = Layout.under(str(tmp_path))
-    rows = [("O1", "P1002", "2026-05-02 10:00:00", 2, 100.0, "web"), ("O2", "P9999", "2026-05-02 11:00:00", 1, 5.0, "web")]
+    rows = [("O1", "K11", "2026-05-02 10:00:00", 2, 100.0, "web"), ("O2", "K99", "2026-05-02 11:00:00", 1, 5.0, "web")]
     orders = (spark.createDataFrame(rows, "order_id string, product_id string, event_ts string, quantity int, "
                                           "order_total double, channel string")
               .withColumn("event_ts", F.col("event_ts").cast("timestamp"))
