@@ -19,8 +19,8 @@ COVERAGE: dict[str, tuple[list[str], list[str]]] = {
     "K1": (["lakecart.sinks.writers.write_stream"], ["stream_bronze", "stream_quarantine"]),
     "K2": (["lakecart.streaming.topic_streams.OrderGoldBatchWriter"], ["stream_gold_increment"]),
     "K3": (["lakecart.sinks.writers.write_overwrite", "lakecart.plans.gold_refresh.refresh",
-            "lakecart.plans.gold_refresh.refresh_changed"],
-           ["refresh_revenue_daily", "refresh_inventory_risk", "refresh_changed_days"]),
+            "lakecart.plans.gold_refresh.refresh_changed", "lakecart.sinks.evolving.append_evolving"],
+           ["refresh_revenue_daily", "refresh_inventory_risk", "refresh_changed_days", "evolving_orders"]),
     "K4": (["lakecart.sinks.layout.Layout"], ["layer_health"]),
     "K5": (["lakecart.sinks.writers.publish_frame", "lakecart.sinks.writers.publish_to_bus",
             "lakecart.sinks.writers.publish_to_files"], ["publish_gate"]),
@@ -92,7 +92,7 @@ COVERAGE: dict[str, tuple[list[str], list[str]]] = {
             "lakecart.streaming.topic_streams.start_all"], ["stream_silver_inventory", "stream_silver_pricing", "stream_shared_dedupe_orders",
             "layer_contents"]),
     "T7": (["lakecart.streaming.topic_streams.await_queries"], ["stream_bronze"]),
-    "T8": (["lakecart.sinks.layout.Layout"], ["layer_health"]),
+    "T8": (["lakecart.sinks.layout.Layout", "lakecart.operators.health.state_contents"], ["layer_health", "stream_state_rows"]),
     "T9": (["lakecart.streaming.topic_streams.OrderGoldBatchWriter"], ["stream_gold_increment"]),
     # data quality
     "D1": (["lakecart.operators.silver.add_quality"], ["dq_errors"]),

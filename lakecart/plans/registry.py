@@ -722,3 +722,29 @@ def refresh_changed_days(spark, sf_dir):
         replace_partitions(tagged.where(arrived), layout.table("silver", "orders"), ["_batch_id"])
         tables = refresh_changed(spark, layout, period="month", date_salt_buckets=2)  # years of few orders a day
     return spark.read.parquet(tables["revenue_daily_by_period"]).drop("order_period")
+
+
+@query
+def stream_state_rows(spark, sf_dir):
+    """Rows of dedupe state behind two drained topics (T8, D12): keys newer than the watermark are still held."""
+    from lakecart.operators.health import state_contents
+
+    base, layout = _stream_base(spark, "state")
+    _drain(spark, sf_dir, base, layout, {t: _records(spark, sf_dir, t) for t in ("clickstream", "pricing")})
+    found = state_contents(spark, layout, [("silver", "clickstream"), ("silver", "pricing"), ("bronze", "pricing"), ("silver", "none")])
+    return found.select("layer", "table", "operator", "state_rows")
+
+
+@query
+def evolving_orders(spark, sf_dir):
+    """The order fact appended in three commits whose schema grows: fewer and narrower columns first (K3, §1.3)."""
+    from lakecart.session import run_dir
+    from lakecart.sinks.evolving import append_evolving, read_evolving
+
+    path, fact = run_dir(spark, "evolving"), _fact(_fx(spark, sf_dir))
+    part = F.col("store_id").cast("bigint") % 3
+    narrow = fact.withColumn("quantity", F.col("quantity").cast("smallint")).drop("gross_margin", "brand")
+    append_evolving(narrow.where(part == 0), path, 0)
+    append_evolving(fact.drop("gross_margin").where(part == 1), path, 1)
+    append_evolving(fact.withColumn("quantity", F.col("quantity").cast("bigint")).where(part == 2), path, 2)
+    return portable(read_evolving(spark, path))

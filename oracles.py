@@ -447,3 +447,15 @@ ORACLES: dict[str, str] = {
 ORACLES["stock_ledger_continued"] = ORACLES["stock_ledger"]
 ORACLES["data_tests_observed"] = ORACLES["sql_model_tests"]
 ORACLES["refresh_changed_days"] = ORACLES["refresh_revenue_daily"]
+# an order of the first commit has no brand, of the first two no margin
+ORACLES["evolving_orders"] = ORDERS_CTE + """
+  SELECT * REPLACE (CASE WHEN CAST(store_id AS BIGINT) % 3 > 0 THEN brand END AS brand, CAST(quantity AS BIGINT) AS quantity,
+                    CASE WHEN CAST(store_id AS BIGINT) % 3 = 2 THEN gross_margin END AS gross_margin) FROM fact"""
+ORACLES["stream_state_rows"] = "WITH " + CLICK + "," + V_PRICING + """,
+  keys AS (
+    SELECT DISTINCT 'clickstream' AS t, event_ts, session_id AS a, event_type AS b, INTERVAL 60 MINUTE AS delay
+    FROM checked WHERE _dq_errors = ''
+    UNION ALL SELECT DISTINCT 'pricing', event_ts, product_id, '', INTERVAL 240 MINUTE FROM v_pricing),
+  marks AS (SELECT t, time_bucket(INTERVAL 1 MILLISECOND, max(event_ts)) - any_value(delay) AS mark FROM keys GROUP BY t)
+  SELECT 'silver' AS layer, t AS "table", 'dedupe' AS operator, count(*) FILTER (event_ts > mark) AS state_rows
+  FROM keys JOIN marks USING (t) GROUP BY t"""
