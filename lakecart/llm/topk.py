@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from lakecart.llm.store import written
 
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 8192
-# Depths (share of each list) after which the bounds are compared.
-DEPTHS = (1 / 8, 1 / 4, 1 / 2)
+# Depths (share of each list) after which the bounds are compared; at the end of the lists both bounds are the score.
+DEPTHS = (1 / 8, 1 / 4, 1 / 2, 3 / 4, 1)
 # Reading stops once at most this share of a tile's pairs can still qualify; those scores are resolved exactly.
 SURVIVORS = 0.04
 _LONG = 2**63 - 1
@@ -32,14 +32,16 @@ def _resolve(q: np.ndarray, x: np.ndarray, qi: np.ndarray, xi: np.ndarray) -> np
     return out
 
 
-def tile_topk(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k: int):
+def tile_topk(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k: int,
+              progress: list[tuple[int, int]] | None = None):
     """(query ids, candidate ids, scores): at least each query's k best of one block of candidates, ties included.
 
     One sorted list per component, read from its best end for the sign of the query's weight.  Having read a list
     to some depth, a seen entry counts its value, an unseen one at most the value at that depth (upper bound) and at
     least the list's last value (lower bound); nothing is looked up out of order.  Pairs whose upper bound is below
-    the query's k-th best lower bound cannot qualify.  Depth grows until few pairs remain; their scores are resolved.
-    If over a quarter remain at the last of DEPTHS, the dense product of the whole tile answers.
+    the query's k-th best lower bound cannot qualify.  Reading goes on until few pairs remain, whose scores are resolved,
+    or to the ends of the lists, where the lower bounds are the scores.  `progress` gets (entries read of each list, pairs
+    that can still qualify) after each comparison.
     """
     n, d = x.shape
     bound = float(max(1, d)) * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0))
@@ -60,8 +62,8 @@ def tile_topk(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k:
     read, alive = 0, ~own
     for share in DEPTHS:
         depth = int(np.ceil(n * share))
-        if depth >= n or n - own.sum(axis=1).max() <= k:
-            break
+        if depth == read:
+            continue
         top, bottom = order[n - depth : n - read], order[read:depth]
         seen_up[top, cols], known_up[top, cols] = True, lists[n - depth : n - read]
         seen_down[bottom, cols], known_down[bottom, cols] = True, lists[read:depth]
@@ -71,17 +73,16 @@ def tile_topk(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k:
         lower = up_q @ np.where(seen_up, known_up, first).T
         lower += down_q @ np.where(seen_down, known_down, last).T
         lower[own] = -np.inf
-        kth = np.partition(lower, n - k, axis=1)[:, n - k]
-        alive = (upper >= kth[:, None]) & ~own
+        if n > k:  # otherwise every pair qualifies
+            kth = np.partition(lower, n - k, axis=1)[:, n - k]
+            alive = (upper >= kth[:, None]) & ~own
+        if progress is not None:
+            progress.append((read, int(alive.sum())))
+        if read == n:
+            qi, xi = np.nonzero(alive)
+            return _best(qid, xid, qi, xi, lower[qi, xi].astype(np.int64), k)
         if alive.sum() <= max(4 * k * len(q), SURVIVORS * alive.size):
             break
-    if alive.mean() > 0.25:  # the bounds prune too little: every score by the dense product
-        score = q @ x.T
-        score[own] = -np.inf
-        if n > k:
-            alive &= score >= np.partition(score, n - k, axis=1)[:, n - k][:, None]
-        qi, xi = np.nonzero(alive)
-        return _best(qid, xid, qi, xi, score[qi, xi].astype(np.int64), k)
     qi, xi = np.nonzero(alive)
     return _best(qid, xid, qi, xi, _resolve(q, x, qi, xi).astype(np.int64), k)
 
