@@ -422,7 +422,7 @@ def test_pipeline_equals_plain_stages(spark, docs, none):
 
 
 def test_every_dealt_query_is_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {"op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "pipeline"}
+    assert {q.split("_")[0] for q in QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
     assert set(ORACLES) <= set(QUERIES)
 
 
