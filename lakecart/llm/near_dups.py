@@ -28,11 +28,6 @@ _A = np.random.Generator(np.random.PCG64(31)).integers(1, 2**63, PERMS, dtype=np
 _SIG_BYTES = 2 * PERMS
 
 
-def _set_terms(shingles: np.ndarray) -> np.ndarray:
-    """What each shingle adds to the first half of its set's digest."""
-    return mix(shingles + np.uint64(1))
-
-
 def sketch_batch(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per text: set size, 128-bit set digest (two int64), band keys, and 8-bit min and max values."""
     n = len(texts)
@@ -46,7 +41,7 @@ def sketch_batch(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarra
         flat = np.concatenate([sets[i] for i in filled])
         at = np.cumsum([0] + [len(sets[i]) for i in filled])[:-1]
         rows = first + np.array(filled)
-        digest[rows, 0] = np.add.reduceat(_set_terms(flat), at)
+        digest[rows, 0] = np.add.reduceat(mix(flat + np.uint64(1)), at)
         digest[rows, 1] = np.add.reduceat(mix(flat ^ np.uint64(0xD6E8FEB86659FD93)), at)
         for p in range(PERMS):
             v = flat * _A[p]
@@ -171,13 +166,9 @@ def _confirm_group(k: int, percent: int) -> Callable[[pd.DataFrame], pd.DataFram
         pdf = pdf.sort_values(["comp", "rep"], kind="stable")
         for _, rows in pdf.groupby("comp", sort=False):
             if len(rows) > 1:
-                # two texts may share an id: only the one that the member stands for has its set digest
-                sets = list(shingle_sets(rows["text"].tolist(), k))
-                own = [int(_set_terms(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-                held = [i for i, (d, want) in enumerate(zip(own, rows["d1"].tolist(), strict=True)) if d == want]
-                ids = rows["rep"].to_numpy()[held].tolist()
-                if len(held) > 1:
-                    out += [(ids[i], ids[j]) for i, j in confirmed_links([sets[i] for i in held], percent)]
+                # an id with two texts is there with both: a link of either counts for it, one between them is none
+                ids = rows["rep"].tolist()
+                out += [(ids[i], ids[j]) for i, j in confirmed_links(list(shingle_sets(rows["text"].tolist(), k)), percent)]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return run
@@ -190,16 +181,16 @@ def exact_links(docs: DataFrame, candidates: DataFrame, reps: DataFrame, k: int,
     pair of blocks is confirmed in a group of its own, each giving only its spanning links.
     """
     comps = connected_components(candidates).withColumnRenamed("node", "rep").withColumnRenamed("component", "comp")
-    sized = comps.join(reps.select("rep", "d1", "n_shingles"), "rep")
+    sized = comps.join(reps.select("rep", "n_shingles"), "rep")
     totals = sized.groupBy("comp").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("shingles"))
     totals = totals.select("comp", "shingles", F.greatest(
         F.ceil(F.col("docs") / GROUP_DOCS), F.ceil(F.col("shingles") / GROUP_SHINGLES)).cast("int").alias("nb"))
-    members = written(sized.join(totals, "comp").select("rep", "d1", "comp", "nb", "n_shingles"), "near-members")
+    members = written(sized.join(totals, "comp").select("rep", "comp", "nb", "n_shingles"), "near-members")
     small = members.where("nb = 1").agg(F.sum("n_shingles")).first()[0] or 0
     bins = int(small // GROUP_SHINGLES) + 1
     mine = F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int")
     members = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    members = members.select("rep", "d1", "comp", F.when(F.col("nb") == 1, F.pmod(F.xxhash64("comp"), F.lit(bins))).otherwise(
+    members = members.select("rep", "comp", F.when(F.col("nb") == 1, F.pmod(F.xxhash64("comp"), F.lit(bins))).otherwise(
         F.xxhash64("comp", F.least("mine", "other"), F.greatest("mine", "other"))).alias("grp"),
         F.when(F.col("nb") == 1, 0).otherwise(1).alias("kind"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
@@ -226,7 +217,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = SHINGLE_WORDS)
     classes = written(classes, "near-classes")
     own = keyed.select("d1", "d2", F.col("doc_id").alias("rep"), "n_shingles", "bands", "sig")
     reps = classes.join(own, ["d1", "d2", "rep"]).dropDuplicates(["d1", "d2", "rep"])
-    reps = written(reps.select("rep", "d1", "n_shingles", "bands", "sig"), "near-reps")
+    reps = written(reps.select("rep", "n_shingles", "bands", "sig"), "near-reps")
     links = written(exact_links(docs, written(candidate_links(reps), "near-candidates"), reps, k, percent), "near-links")
     comps = connected_components(links)
     joined = classes.join(comps, classes.rep == comps.node, "left")
