@@ -64,7 +64,9 @@ def op6_language(spark, sf_dir):
 
 @query
 def op7_mix(spark, sf_dir):
-    return mixing.mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(_documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", "taken", F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards"),
+        F.array_join(F.col("places").cast("array<string>"), ",").alias("places"))
 
 
 @query
@@ -148,6 +150,37 @@ def _fill_sql(name: str, unit: str, order: str, passes: int) -> str:
                    for j in range(1, passes + 1))
 
 
+def _tree_sql() -> str:
+    """CTEs of `mixing.split_quotas` over q1 (node, source, lo, n), for up to GROUP_SOURCES sources; the last is runs.
+
+    A draw's distribution comes from log-gamma weights here, not from ratios of neighbours.
+    """
+    def weight(x: str) -> str:
+        return f"-(lgamma({x} + 1) + lgamma(n - {x} + 1) + lgamma(todo - {x} + 1) + lgamma(total - n - todo + {x} + 1))"
+
+    ctes, width = "", 1
+    while width < mixing.SHARDS:
+        ctes += f""",
+o{width} AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY source NULLS FIRST) AS i, sum(n) OVER (PARTITION BY node)::BIGINT AS total,
+        {_digest(str(width), "node", "source")} / 1152921504606846976::DOUBLE AS u FROM q{width}),
+r{width}(node, i, source, lo, n, got, total, todo) AS (
+  SELECT DISTINCT node, 0::BIGINT, NULL::VARCHAR, 0::BIGINT, 0::BIGINT, 0::BIGINT, total, (total + 1) // 2 FROM o{width}
+  UNION ALL
+  SELECT node, i, source, lo, n, got, total - n, todo - got FROM (
+    SELECT *, low + len([k FOR k IN range(1, high - low + 1) IF list_sum(w[1:k]) < u * list_sum(w)])::BIGINT AS got FROM (
+      SELECT *, [exp(l - list_max(ls)) FOR l IN ls] AS w FROM (
+        SELECT *, [{weight("x")} FOR x IN range(low, high + 1)] AS ls FROM (
+          SELECT *, greatest(0, todo - (total - n), floor(mean)::BIGINT - spread) AS low, least(n, todo, ceil(mean)::BIGINT + spread) AS high FROM (
+            SELECT *, ceil(sqrt(mean * (1 - n / greatest(total, 1))) * 12 + 12)::BIGINT AS spread FROM (
+              SELECT o.node, o.i, o.source, o.lo, o.n, o.u, r.total, r.todo, r.todo * o.n / greatest(r.total, 1) AS mean
+              FROM r{width} r JOIN o{width} o ON o.node = r.node AND o.i = r.i + 1))))))),
+q{2 * width} AS (SELECT node * 2 AS node, source, lo, got AS n FROM r{width} WHERE i > 0
+        UNION ALL SELECT node * 2 + 1, source, lo + got, n - got FROM r{width} WHERE i > 0)"""
+        width *= 2
+    return ctes + f""",
+runs AS (SELECT source, node AS shard, lo, lo + n AS hi FROM q{width} WHERE n > 0)"""
+
+
 ORACLES: dict[str, str] = {
     "op1_exact_topk": """
 WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE)::DOUBLE FOR x IN embedding] AS vec FROM embeddings
@@ -171,7 +204,7 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, l.component_id, s.doc_id = l.co
 FROM sets s JOIN least l ON s.doc_id = l.a""",
     "op5_licenses": _license_sql(),
     "op7_mix": f"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
 h AS (SELECT *, {_digest("source", "doc_id", "size")} AS h FROM d),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS rows FROM h GROUP BY source),
 s1 AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s0),
@@ -189,12 +222,26 @@ b0 AS (SELECT h.*, s6.source_size, s6.target, s6.passes, s6.part, h.h % s6.nb AS
 p0 AS (SELECT source, block, sum(size)::BIGINT AS words, first(part) AS room, 0 AS again,
          {_digest("'permuted'", "source", "block")} AS turn FROM b0 GROUP BY source, block){_fill_sql("p", "words", "turn, block", mixing.BLOCK_PASSES)},
 pool AS (SELECT *, row_number() OVER (PARTITION BY source, again ORDER BY turn, block) AS spare FROM p{mixing.BLOCK_PASSES}),
-dealt AS (SELECT b0.*, r.room, CASE WHEN r.again = 1 THEN 2 WHEN r.room > 0 AND r.spare <= {mixing.POOL_BLOCKS} THEN 1 ELSE 0 END AS drawn
-          FROM b0 JOIN pool r ON b0.source IS NOT DISTINCT FROM r.source AND b0.block = r.block),
-f0 AS (SELECT *, 0 AS again FROM dealt WHERE drawn = 1){_fill_sql("f", "size", "size DESC, h, doc_id", mixing.FILL_PASSES)}
-SELECT doc_id, size, source_size, target, ((passes + again) * size)::BIGINT AS taken FROM (
-  SELECT doc_id, size, source_size, target, passes, again FROM f{mixing.FILL_PASSES}
-  UNION ALL SELECT doc_id, size, source_size, target, passes, CASE WHEN drawn = 2 THEN 1 ELSE 0 END FROM dealt WHERE drawn <> 1)""",
+ranked AS (SELECT source, block, room, again, CASE WHEN again = 1 THEN 2 WHEN room > 0 AND spare <= {mixing.POOL_BLOCKS} THEN 1 ELSE 0 END AS drawn,
+             turn FROM pool),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY drawn = 0, turn, block) - 1 AS number,
+             count(*) OVER (PARTITION BY source) AS n FROM ranked),
+dealt AS (SELECT b0.*, r.room, r.drawn, r.number, r.n
+          FROM b0 JOIN numbered r ON b0.source IS NOT DISTINCT FROM r.source AND b0.block = r.block),
+q1 AS (SELECT 0::BIGINT AS node, r.source, 0::BIGINT AS lo, (first(s6.passes) * count(*) + count(*) FILTER (drawn > 0))::BIGINT AS n
+       FROM ranked r JOIN s6 ON r.source IS NOT DISTINCT FROM s6.source GROUP BY r.source){_tree_sql()},
+f0 AS (SELECT doc_id, source, h, sum(size)::BIGINT AS words, first(room) AS room, 0 AS again FROM dealt WHERE drawn = 1
+       GROUP BY doc_id, source, h){_fill_sql("f", "words", "words DESC, h, doc_id", mixing.FILL_PASSES)},
+decided AS (
+  SELECT d.doc_id, d.source, d.h, size, source_size, target, number, n, least(2, passes + f.again) AS copies
+  FROM dealt d JOIN f{mixing.FILL_PASSES} f ON d.h = f.h AND d.doc_id IS NOT DISTINCT FROM f.doc_id AND d.source IS NOT DISTINCT FROM f.source
+  UNION ALL SELECT doc_id, source, h, size, source_size, target, number, n, least(2, passes + CASE WHEN drawn = 2 THEN 1 ELSE 0 END)
+  FROM dealt WHERE drawn <> 1)
+SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, concat_ws(',', a.shard, b.shard) AS shards,
+       concat_ws(',', CASE WHEN copies > 0 THEN {_digest("'shuffle'", "1", "h")} END, CASE WHEN copies > 1 THEN {_digest("'shuffle'", "2", "h")} END) AS places
+FROM decided d
+LEFT JOIN runs a ON d.source IS NOT DISTINCT FROM a.source AND copies > 0 AND a.lo <= number AND number < a.hi
+LEFT JOIN runs b ON d.source IS NOT DISTINCT FROM b.source AND copies > 1 AND b.lo <= n + number AND n + number < b.hi""",
     "op12_fill_middle": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
                   regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),

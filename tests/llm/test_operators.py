@@ -332,6 +332,47 @@ def test_mix_meets_targets_and_reruns_agree(docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixed_rows_stand_where_the_tree_put_them(docs, none, monkeypatch):
+    at = docs.withColumn("shards", F.lit("own")).withColumn("block", F.lit(1)).withColumn("places", F.lit(None).cast("int"))
+    decided = {(r["doc_id"], r["source"], r["size"]): r for r in mixing.mix(docs).collect()}
+    want = {}
+    for r in decided.values():
+        repeats = sum((x[0], x[3], len(brute.WORD.findall(x[1] or ""))) == (r["doc_id"], r["source"], r["size"]) for x in ROWS)
+        for shard, place in zip(r["shards"], r["places"], strict=True):
+            want.setdefault(shard, []).extend([(place, r["doc_id"])] * repeats)
+    want = {k: [d for _, d in sorted(v)] for k, v in want.items()}
+    assert len(want) > 8
+
+    def runs():  # rows of every task in their order
+        got = mixing.mixed_documents(at)
+        assert got.columns == at.columns and {tuple(r) for r in got.select("shards", "block", "places").collect()} == {("own", 1, None)}
+        tasks = got.select("doc_id", F.spark_partition_id().alias("task")).collect()
+        return [[r["doc_id"] for r in tasks if r["task"] == t] for t in sorted({r["task"] for r in tasks})]
+
+    for bound in (mixing.PLAN_ROWS, 0):  # by broadcast, and beyond the bound
+        monkeypatch.setattr(mixing, "PLAN_ROWS", bound)
+        left = dict(want)
+        for run in runs():
+            while run:  # a task holds whole shards, one after another
+                shard = next(k for k, v in left.items() if run[: len(v)] == v)
+                run = run[len(left.pop(shard)):]
+        assert not left
+    assert mixing.mixed_documents(none).count() == 0
+
+
+def test_tree_of_many_sources_draws_by_groups(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP_SOURCES", 10)
+    quotas = {f"s{i}": 1 + i * i % 50 for i in range(95)} | {None: 400}
+    runs = mixing.split_quotas(spark.createDataFrame(list(quotas.items()), "source string, blocks long"), 4).collect()
+    for s, n in quotas.items():
+        got = sorted((r["lo"], r["hi"]) for r in runs if r["source"] == s and r["lo"] < r["hi"])
+        assert got[0][0] == 0 and got[-1][1] == n and all(a[1] == b[0] for a, b in zip(got, got[1:], strict=False))
+    sizes = [sum(r["hi"] - r["lo"] for r in runs if r["shard"] == k) for k in range(4)]
+    assert max(sizes) - min(sizes) <= 1
+    big = [r["hi"] - r["lo"] for r in runs if r["source"] is None]
+    assert all(60 <= n <= 140 for n in big)  # 100 each, standard deviation 7.7
+
+
 def test_splitting_tree_keeps_quotas_and_capacities(spark):
     quotas = {"a": 70, "b": 7, None: 31}
     runs = mixing.split_quotas(spark.createDataFrame(list(quotas.items()), "source string, blocks long"), 8).collect()
