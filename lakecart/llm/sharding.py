@@ -11,7 +11,8 @@ SHARDS = 40
 OVERHEAD_BYTES = 16
 # Ranges per shard and samples per range; a range over OVERFULL times the mean is subdivided.
 RANGES_PER_SHARD, SAMPLES_PER_RANGE, OVERFULL = 8, 24, 2
-RANGE_ROWS = 50_000
+# Keys of a part of a range that one task sorts.
+PART_KEYS = 50_000
 # A group of equal texts stays whole up to this share of a shard's bytes and this many rows.
 GROUP_SHARE, GROUP_ROWS = 0.02, 512
 
@@ -40,7 +41,7 @@ def splitters(keys: DataFrame, ranges: int, total: int) -> list[int]:
     times = F.floor(F.col("bytes") / unit + F.pmod(F.xxhash64(F.col("key"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30))
     drawn = keys.select("key", times.alias("times")).where("times > 0")
     order = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    # One task over the sample, which is bounded by ranges * SAMPLES_PER_RANGE on average.
+    # One task over the sample: `ranges` * SAMPLES_PER_RANGE keys on average, whatever the number of rows.
     ranked = drawn.withColumn("upto", F.sum("times").over(order)).withColumn(
         "all", F.sum("times").over(Window.partitionBy()))
     cut = F.floor(F.col("upto") * F.lit(ranges) / F.col("all"))
@@ -49,15 +50,32 @@ def splitters(keys: DataFrame, ranges: int, total: int) -> list[int]:
     return sorted(r["key"] for r in cuts.collect())
 
 
+def subdivided(ranged: DataFrame, limit: int) -> DataFrame:
+    """`ranged` (range, part, key, …), distinct keys in parts of at most `limit` keys; parts are in key order.
+
+    A part over the limit is cut evenly between its first and last key, again and again while one is left: where keys
+    lie close together, each round looks at a smaller stretch.  A part is named by the key where it begins.
+    """
+    while True:
+        full = ranged.groupBy("range", "part").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.max("key").alias("last"))
+        full = written(full.where(F.col("n") > limit).select(
+            "range", "part", "first", F.expr(f"(last - first) div ceil(n / {limit}) + 1").alias("width")), "shard-overfull")
+        if full.isEmpty():
+            return ranged
+        begin = F.expr("first + (key - first) div width * width")
+        ranged = written(ranged.join(full, ["range", "part"], "left").withColumn(
+            "part", F.when(F.col("first").isNull(), F.col("part")).otherwise(begin)).drop("first", "width"), "shard-subranges")
+
+
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot: near equal bytes in each shard.
 
     Records are ordered by a key, the text's CRC-32 above a hash of the doc_id, so equal texts are neighbours; a
     group of equal CRC that is small (GROUP_SHARE, GROUP_ROWS) shares one key and is never split, a larger one is
     spread over its records.  Size-weighted samples of the keys give quantile boundaries that cut the key space into
-    ranges; ranges that turn out overfull are subdivided evenly by key.  Running sums over ranges, then within each
-    range, place every key at its exact byte offset: its middle decides the shard, so shards differ from the even
-    share by at most about one key's bytes.  slot: gapless from 0 within a shard, in key order.
+    a fixed number of ranges; ranges that turn out overfull are subdivided by key.  Running sums over ranges, over a
+    range's parts and within each part place every key at its exact byte offset: its middle decides the shard, so
+    shards differ from the even share by at most about one key's bytes.  slot: gapless from 0 within a shard, in key order.
 
     Only narrow rows move; texts do not.  Null text: no bytes, CRC 0.  Repeated rows share a key and count each; they
     are counted before the windows and spread by arithmetic, so a key of any number of rows is safe.  An empty table
@@ -68,8 +86,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
                        F.crc32(text).alias("text_crc32"))
     # Repeated rows become one row with their number.
     rows = written(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("times")), "shard-rows")
-    whole = rows.agg(F.sum(F.col("size") * F.col("times")).alias("b"), F.sum("times").alias("n")).first()
-    total, count = whole["b"] or 0, whole["n"] or 0
+    total = rows.agg(F.sum(F.col("size") * F.col("times"))).first()[0] or 0
 
     groups = rows.groupBy("text_crc32").agg(F.sum(F.col("size") * F.col("times")).alias("b"), F.sum("times").alias("n"))
     large = groups.where((F.col("b") > GROUP_SHARE * total / shards) | (F.col("n") > GROUP_ROWS))
@@ -80,27 +97,30 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     keyed = written(keyed, "shard-keys")
 
     keys = keyed.groupBy("key").agg(F.sum(F.col("size") * F.col("times")).alias("bytes"), F.sum("times").alias("rows"))
-    ranges = max(shards * RANGES_PER_SHARD, -(-count // RANGE_ROWS))
+    ranges = shards * RANGES_PER_SHARD
     cuts = splitters(keys, ranges, total)
-    ranged = written(keys.withColumn("range", _range_of(F.col("key"), cuts)), "shard-ranges")
-    full = ranged.groupBy("range").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.max("key").alias("last"))
+    ranged = written(keys.withColumn("range", _range_of(F.col("key"), cuts)).withColumn("part", F.lit(0).cast("long")), "shard-ranges")
     mean = ranged.count() / max(1, len(cuts) + 1)
-    parts = F.ceil(F.col("n") / F.lit(max(1.0, OVERFULL * mean))).cast("int")
-    full = full.where(parts > 1).select("range", parts.alias("parts"), "first", "last")
-    inside = F.floor((F.col("key") - F.col("first")) / (F.col("last") - F.col("first") + 1) * F.col("parts")).cast("int")
-    ranged = ranged.join(full, "range", "left").select(
-        "key", "bytes", "rows", F.struct("range", F.coalesce(inside, F.lit(0)).alias("sub")).alias("range"))
-    ranged = written(ranged, "shard-subranges")
-
-    sums = ranged.groupBy("range").agg(F.sum("bytes").alias("b"), F.sum("rows").alias("n"))
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    offsets = sums.select("range", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("b0"),
-                          F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"))
-    within = Window.partitionBy("range").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.select("*", F.coalesce(F.sum("bytes").over(within), F.lit(0)).alias("b1"),
-                           F.coalesce(F.sum("rows").over(within), F.lit(0)).alias("n1")).join(offsets, "range")
-    placed = placed.select("key", (F.col("b0") + F.col("b1")).alias("at_byte"), (F.col("n0") + F.col("n1")).alias("at_row"),
-                           "bytes", "rows")
+    ranged = subdivided(ranged, max(1, min(PART_KEYS, int(OVERFULL * mean))))
+
+    sums = ranged.groupBy("range", "part").agg(F.sum("bytes").alias("b"), F.sum("rows").alias("n"))
+    sums = written(sums, "shard-sums")
+
+    def offsets(table: DataFrame, order: Window, bytes_: str, rows_: str) -> DataFrame:
+        return table.withColumn(bytes_, F.coalesce(F.sum("b").over(order), F.lit(0))).withColumn(
+            rows_, F.coalesce(F.sum("n").over(order), F.lit(0))).drop("b", "n")
+
+    earlier = Window.unboundedPreceding, -1
+    # One row per range, a fixed number; then one row per part within each range.
+    of_range = offsets(sums.groupBy("range").agg(F.sum("b").alias("b"), F.sum("n").alias("n")),
+                       Window.orderBy("range").rowsBetween(*earlier), "b0", "n0")
+    of_part = offsets(sums, Window.partitionBy("range").orderBy("part").rowsBetween(*earlier), "b1", "n1")
+    within = Window.partitionBy("range", "part").orderBy("key").rowsBetween(*earlier)
+    placed = ranged.select("*", F.coalesce(F.sum("bytes").over(within), F.lit(0)).alias("b2"),
+                           F.coalesce(F.sum("rows").over(within), F.lit(0)).alias("n2"))
+    placed = placed.join(of_part, ["range", "part"]).join(F.broadcast(of_range), "range").select(
+        "key", (F.col("b0") + F.col("b1") + F.col("b2")).alias("at_byte"), (F.col("n0") + F.col("n1") + F.col("n2")).alias("at_row"),
+        "bytes", "rows")
     # Rows of one key: doc_id order; a small group's key goes whole, any other key holds repeats of one document.
     placed = written(placed, "shard-places")
     order = Window.partitionBy("key").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)

@@ -4,12 +4,14 @@ against the plain versions in `brute`."""
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -400,6 +402,50 @@ def test_shards_are_even_and_slots_gapless(docs, none, spark):
     assert sharding.shard(one).select("shard").distinct().count() == 40
 
 
+def _plain_shards(rows, shards):
+    """(doc_id, size, crc, shard, slot) of (doc_id, text) rows, placed one after another in key order."""
+    sized = [(d, len((t or "").encode()) + 16, brute.crc(t)) for d, t in rows]
+    total = sum(n for _, n, _ in sized)
+    groups = {}
+    for d, n, c in sized:
+        groups.setdefault(c, []).append(n)
+    large = {c for c, g in groups.items() if sum(g) > sharding.GROUP_SHARE * total / shards or len(g) > sharding.GROUP_ROWS}
+    null = 42  # a null leaves the hash at its seed
+    mark = lambda d: null if d is None else xxhash.xxh64_intdigest(d.to_bytes(8, "little", signed=True), seed=42)
+    keyed = {}
+    for d, n, c in sized:
+        keyed.setdefault((c << 31) + (mark(d) % 2**31 if c in large else 0), []).append((d is not None, d or 0, n, c))
+    out, at = [], 0
+    for _, own in sorted(keyed.items()):
+        whole = sum(n for _, _, n, _ in own)
+        for known, d, n, c in sorted(own):
+            out.append((d if known else None, n, c, min(shards - 1, int((at + whole / 2) * shards / total))))
+        at += whole
+    slots = {}
+    return [(*r, slots.setdefault(r[3], itertools.count()).__next__()) for r in out]
+
+
+@pytest.mark.parametrize("part", [1, 7, 50_000])
+def test_shards_equal_plain_placement(docs, monkeypatch, part):
+    monkeypatch.setattr(sharding, "PART_KEYS", part)
+    got = sorted(map(repr, (tuple(r) for r in sharding.shard(docs, shards=4).collect())))
+    assert got == sorted(map(repr, _plain_shards([(r[0], r[1]) for r in ROWS], 4)))
+
+
+def test_parts_stay_small_where_keys_lie_close(spark):
+    keys = spark.range(400).selectExpr("if(id < 300, id, id << 50) as key", "cast(id % 2 as int) as range", "0L as part")
+    got = sharding.subdivided(keys, 10).collect()
+    assert sorted((r["key"], r["range"]) for r in got) == sorted((r["key"], r["range"]) for r in keys.collect())
+    parts = {}
+    for r in got:
+        parts.setdefault((r["range"], r["part"]), []).append(r["key"])
+    assert max(map(len, parts.values())) <= 10
+    assert all(p <= min(k) for (_, p), k in parts.items())
+    for n in (0, 1):
+        own = [k for (r, _), ks in sorted(parts.items()) if r == n for k in sorted(ks)]
+        assert own == sorted(own)
+
+
 def _tiktoken():
     import base64
 
