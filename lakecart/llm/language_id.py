@@ -32,7 +32,8 @@ def normalise(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in lowered])[: len(flat)]
     flat = np.where(_letters(flat), flat, np.uint32(GAP))
     keep = np.ones(len(flat), bool)
-    keep[1:] = (flat[1:] != GAP) | (flat[:-1] != GAP)
+    keep[1:] = (flat[1:] != GAP) | (flat[:-1] != GAP) | (owner[1:] != owner[:-1])
+    keep[np.cumsum([len(t) + 1 for t in lowered], dtype=np.int64)[:-1] - 1] = False  # the marks between texts
     return flat[keep], owner[keep]
 
 

@@ -283,6 +283,55 @@ def test_language_of_odd_texts(docs, none):
     assert {r["lang_pred"] for r in language_id.predict_language(docs, nothing).collect()} == {"und"}
 
 
+def _plain_phrases(text, model, training):
+    """Phrases of the greedy parse in blocks, by substring search in the training symbols."""
+    letters = {c: chr(0xE000 + i) for i, c in enumerate(model.letters)}  # one private character a symbol
+    out, gap = [], False
+    for c in (text or "").lower():
+        if not c.isalpha():
+            out += [] if gap else [" "]
+        else:
+            two = c.encode("utf-16-be", "surrogatepass").hex()
+            out += [letters[ord(c)]] if ord(c) in letters else list(two)
+        gap = not c.isalpha()
+    n = 0
+    for at in range(0, len(out), language_id.BLOCK):
+        n, known = n + 1, ""
+        for c in out[at : at + language_id.BLOCK]:
+            if known + c in training:
+                known += c
+            else:
+                n, known = n + 1, c if c in training else ""
+    return n
+
+
+def test_phrases_and_verdicts_equal_a_plain_parse():
+    rnd = random.Random(12)
+    say = lambda a, n: " ".join("".join(rnd.choices(a, k=rnd.randint(1, 4))) for _ in range(n))
+    samples = {"a": [say("abcdeé", 60), "𐐀𐐁 " * 3], "b": [say("abcxyzλ", 70)], "c": [say("漢字仮名語文" + "абв", 50)]}
+    model = language_id.build_model(samples)
+    # The training symbols of one language, in one text here: samples are joined without a gap, none is cut.
+    table = {c: chr(0xE000 + i) for i, c in enumerate(model.letters)}
+
+    def symbols(t):
+        t = re.sub(r"[\W\d_]+", " ", t.lower())
+        return "".join(" " if c == " " else table.get(ord(c)) or c.encode("utf-16-be").hex() for c in t)
+
+    training = {lang: "".join(map(symbols, ts)) for lang, ts in samples.items()}
+    assert model.sizes == [len(training[lang]) for lang in model.langs]
+    texts = [None, "", "12 34", "b", "ǆ", *[r[1] for r in ROWS[8:21]], *[say("abcdeéxyzλ𐐀字", n) for n in (3, 40, 700)]]
+    counts, _ = language_id.Parser(model).phrases(texts)
+    for t, got in zip(texts, counts.tolist(), strict=True):
+        assert got == [_plain_phrases(t, model, training[lang]) for lang in model.langs]
+    bits = np.log2(model.sizes)
+    for t, got, (lang, score) in zip(texts, counts.tolist(), language_id.Parser(model).predict(texts), strict=True):
+        if not any(c.isalpha() for c in t or ""):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        cost = sorted(zip((n * b for n, b in zip(got, bits, strict=True)), model.langs, strict=True))
+        assert lang == cost[0][1] and score == pytest.approx(1 - cost[0][0] / cost[1][0])
+
+
 def test_languages_of_one_script_stay_apart_beside_other_scripts():
     rnd = random.Random(4)
     areas = {"la": (0x61, 26), "cy": (0x430, 32), "gr": (0x3B1, 25), "ar": (0x627, 20), "he": (0x5D0, 27), "ka": (0x30A1, 80),
