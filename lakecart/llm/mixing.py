@@ -274,7 +274,7 @@ def mixed_documents(docs: DataFrame, placed: bool = True) -> DataFrame:
     of a document part.  The plan's tables (sources, about sqrt(rows) blocks of each, the documents of a few blocks) meet
     the texts by broadcast behind a check of their size, so texts move once, straight to their shards; beyond PLAN_ROWS
     or PLAN_BYTES they are decided for the narrow sizes and the texts meet that table in a shuffle first.  A shard of more
-    than PART_WORDS words is dealt to several tasks by the hash, each holding a run of the order.  A row of size 0 counts
+    than PART_WORDS words is dealt to several tasks by the hash, each holding a run of the order; tasks follow the shards.  A row of size 0 counts
     no words; it stays as often as its block is taken.  placed: False leaves copies where their documents were read.
     Nulls, repeats and empty tables as in `mix`; columns may have any names but those that start with `_mix_`.
     """
@@ -297,5 +297,6 @@ def mixed_documents(docs: DataFrame, placed: bool = True) -> DataFrame:
         return copies.select(*names)
     words = sources.agg(F.sum("target")).first()[0] or 0
     parts = int(words // (SHARDS * PART_WORDS)) + 1
-    part = F.floor(F.col("_mix_place") / F.lit(2.0**60 / parts))
-    return copies.repartition("_mix_shard", part).sortWithinPartitions("_mix_shard", "_mix_place").select(*names)
+    part = F.least(F.lit(parts - 1), F.floor(F.col("_mix_place") / F.lit(2.0**60 / parts)))
+    task = (F.col("_mix_shard") * parts + part).cast("int")
+    return copies.repartitionById(SHARDS * parts, task).sortWithinPartitions("_mix_place").select(*names)
