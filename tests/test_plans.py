@@ -91,3 +91,11 @@ def test_salted_join_beyond_the_bound_keeps_results(fx):
     assert "_salt" in plan(salted)
     assert salted.columns == plain.columns
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_salted_copies_are_not_broadcast(fx):
+    salted = gold.enrich_orders(fx["orders"], fx["catalog"], broadcast_max_rows=10, salt_buckets=4)
+    p = salted._jdf.queryExecution().sparkPlan().toString()
+    # the catalog's files are far below Spark's own bound for broadcasts, its copies need not be
+    assert any("SortMergeJoin" in line and "_salt" in line for line in p.splitlines())
+    assert not any("BroadcastHashJoin" in line and "_salt" in line for line in p.splitlines())
