@@ -190,3 +190,27 @@ def test_latest_state_over_drains(spark):
     state = {r.product_id: (r.available_to_promise, r.event_id, r.inventory_risk_level) for r in
              read_latest_inventory(spark, layout).collect()}
     assert state == {"A": (9, "i0", "healthy"), "B": (7, "i4", "healthy"), "C": (3, "i7", "reorder"), "D": (6, "i7", "healthy")}
+
+
+def test_latest_state_keeps_no_streaming_state(spark):
+    from lakecart.streaming.topic_streams import latest_inventory_stream
+
+    base = tempfile.mkdtemp(prefix="lakecart-latest-")
+    publish_to_files(records(spark, "inventory", [_stock(0, "A", 5, 9)]), f"{base}/bus/inventory")
+    source = topic_source(spark, "inventory", "files", f"{base}/bus", ingested_at=NOW)
+    plan = latest_inventory_stream(source, StreamSettings(layout=Layout.under(base), now=NOW))._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" not in plan
+
+
+def test_latest_state_folded_twice(spark):
+    layout = Layout.under(tempfile.mkdtemp(prefix="lakecart-latest-"))
+    base = layout.root
+    for i, (minute, available) in enumerate([(5, 9), (1, 2), (3, 4), (7, 1)]):
+        publish_to_files(records(spark, "inventory", [_stock(i, "A", minute, available), _stock(10 + i, f"N{i}", 0, i)]),
+                         f"{base}/bus/inventory")
+        source = topic_source(spark, "inventory", "files", f"{base}/bus", ingested_at=NOW)
+        await_queries(spark, [start_latest_inventory(source, StreamSettings(layout=layout, available_now=True, now=NOW))], drain=True)
+        if i < 3:
+            compact_latest_inventory(spark, layout)
+    state = {r.product_id: (r.event_id, r.available_to_promise) for r in read_latest_inventory(spark, layout).collect()}
+    assert state == {"A": ("i3", 1), "N0": ("i10", 0), "N1": ("i11", 1), "N2": ("i12", 2), "N3": ("i13", 3)}

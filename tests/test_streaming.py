@@ -189,3 +189,46 @@ def test_topic_start_is_all_or_none(spark, catalog, tmp_path):
     with pytest.raises(Exception):
         start_topic(topic_source(spark, "orders", "files", str(tmp_path / "bus")), "orders", settings)
     assert {q.id for q in spark.streams.active} == before                        # bronze was stopped again
+
+
+def test_tables_are_written_with_zstd(spark, tmp_path):
+    from lakecart.sinks.writers import publish_to_files, replace_partitions, write_overwrite, write_stream
+
+    df = spark.range(100).selectExpr("id", "repeat('{\"a\":1}', 9) AS value", "id % 2 AS part")
+    publish_to_files(df, f"{tmp_path}/bus")
+    write_overwrite(df, f"{tmp_path}/whole")
+    replace_partitions(df, f"{tmp_path}/parts", ["part"])
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/bus")
+    write_stream(stream, f"{tmp_path}/stream", f"{tmp_path}/ck", available_now=True).awaitTermination()
+    files = [f for n in ("bus", "whole", "parts", "stream") for f in (tmp_path / n).rglob("*.parquet")]
+    assert len(files) >= 4
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_dedupe_moves_payloads_without_their_fields(spark, catalog, tmp_path):
+    from lakecart.streaming.topic_streams import topic_frames
+
+    _write_batch(f"{tmp_path}/bus/orders", 1, [("A", "15:00")], time.time())
+    src = topic_source(spark, "orders", "files", f"{tmp_path}/bus")
+    plan = topic_frames(src, "orders", StreamSettings(layout=Layout.under(str(tmp_path)), catalog=catalog))["silver"] \
+        ._jdf.queryExecution().analyzed().toString()
+    below = plan[plan.index("Deduplicate"):].splitlines()[1]      # its input, topmost projection or watermark
+    carried = plan[plan.index("Deduplicate"):].split("Project")[1].splitlines()[0]
+    assert "payload" in carried and "unit_price" not in carried, (below, carried)
+
+
+def test_raw_batches_are_not_held(spark, tmp_path):
+    from helpers import records
+    from lakecart.sources import bus
+    from lakecart.streaming.topic_streams import RawBatchWriter
+
+    layout = Layout.under(str(tmp_path))
+    batch = bus.envelope(records(spark, "orders", [order(), "{cut", order(order_id=None)]), ingested_at="2026-05-02 21:00:00")
+    held = []
+    batch.persist = lambda *a: held.append(a) or batch
+    for _ in range(2):                                              # a replay replaces both partitions
+        RawBatchWriter("orders", StreamSettings(layout=layout, now=datetime(2026, 5, 2, 21, 0, tzinfo=timezone.utc)))(batch, 3)
+    assert not held
+    assert spark.read.parquet(layout.table("bronze", "orders")).count() == 3
+    bad = spark.read.parquet(layout.table("quarantine", "orders"))
+    assert sorted(r.payload[:4] for r in bad.collect()) == ['{"ev', "{cut"]
