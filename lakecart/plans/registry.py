@@ -84,6 +84,10 @@ def catalog_seed(spark, sf_dir):
                      "sum(catalog_reorder_point) AS reorder_points FROM product_catalog GROUP BY category")
 
 
+# Lines of one JSON-lines file, about 30 MB compressed.
+JSONL_FILE_ROWS = 500_000
+
+
 @query
 def jsonl_orders(spark, sf_dir):
     """Order payloads written as JSON lines and read with the declared schema."""
@@ -92,7 +96,9 @@ def jsonl_orders(spark, sf_dir):
 
     path = f"{run_dir(spark, 'jsonl')}/orders"
     records = testviews.order_records(_fx(spark, sf_dir)["orders"], corrupt=False)
-    records.select(F.col("value").cast("string")).write.text(path)
+    # a compressed file is read by one task, so none may grow with the table
+    records.select(F.col("value").cast("string")).write.option("compression", "gzip") \
+        .option("maxRecordsPerFile", JSONL_FILE_ROWS).text(path)
     return read_jsonl_events(spark, path, "orders")
 
 

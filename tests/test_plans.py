@@ -99,3 +99,19 @@ def test_salted_copies_are_not_broadcast(fx):
     # the catalog's files are far below Spark's own bound for broadcasts, its copies need not be
     assert any("SortMergeJoin" in line and "_salt" in line for line in p.splitlines())
     assert not any("BroadcastHashJoin" in line and "_salt" in line for line in p.splitlines())
+
+
+def test_json_lines_are_written_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    from lakecart import session
+    from lakecart.plans import registry
+
+    spark.range(50).selectExpr("id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "timestamp'1997-02-03' AS o_orderdate",
+                               "'1-URGENT' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(200).selectExpr("id % 50 AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "cast(id AS int) AS l_linenumber",
+                                "2.0d AS l_quantity", "9.0d AS l_extendedprice").write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(registry, "JSONL_FILE_ROWS", 40)
+    monkeypatch.setattr(session, "run_dir", lambda _spark, name: str(tmp_path / name))
+    out = registry.jsonl_orders(spark, str(tmp_path))
+    files = list((tmp_path / "jsonl" / "orders").glob("part-*"))
+    assert {f.suffix for f in files} == {".gz"} and len(files) >= 5
+    assert out.count() == 200 and out.where("order_total = 9.0 AND order_id IS NOT NULL").count() == 200
