@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakecart.operators.inventory import INVENTORY_KEY, plain_key, time_bucket
-from lakecart.sinks.writers import replace_partitions
+from lakecart.sinks.writers import replace_partitions, write_overwrite
 from lakecart.sources.tables import read_table_if_exists
 
 _STATE = ["_seg", "_tb", "_d", "_init", "_ls", "_lmin"]
@@ -31,6 +31,7 @@ class LedgerStore:
                  order: list[str] | None = None, bucket: int = 86_400, out: str = "ledger_on_hand",
                  bucket_tasks: int = 4):
         self.rows_path, self.segs_path = f"{path.rstrip('/')}/rows", f"{path.rstrip('/')}/segments"
+        self.touched_path = f"{path.rstrip('/')}/touched"
         self.delta, self.initial, self.bucket, self.out = delta, initial, bucket, out
         self.keys, self.order = keys or INVENTORY_KEY, order or ["event_ts", "event_id"]
         self.own, self.bucket_tasks = [f"_k{i}" for i in range(2 * len(self.keys))], bucket_tasks
@@ -73,6 +74,10 @@ class LedgerStore:
             first = new.groupBy(*by).agg(F.min(self._last()).alias("_first"))
             touched = first.join(stored, by, "left").select(
                 *by, F.coalesce(F.col("_first") <= F.col("last"), F.lit(False)).alias("_again"), "tot", "low", "from_run")
+            # written once: three jobs read it, and each would shuffle all events again for it
+            written = f"{self.touched_path}/run={int(run)}"
+            write_overwrite(touched, written)
+            touched = spark.read.schema(touched.schema).parquet(written)
             # summaries that go on are taken over; the others start anew from their own rows
             grows = ~F.col("_again") & F.col("from_run").isNotNull()
             state = touched.select(*by, "_again", F.when(grows, F.col("tot")).otherwise(0).alias("_base"),

@@ -596,13 +596,15 @@ def stream_inventory_latest(spark, sf_dir):
 
 def _silver_tables(spark, sf_dir, topics=("orders", "inventory")):
     """Silver tables written from the fixtures, some rows flagged invalid."""
+    from lakecart.sinks.writers import write_overwrite
+
     fx = _fx(spark, sf_dir)
     _base, layout = _stream_base(spark, "silver")
     if "orders" in topics:
         flagged = testviews.flag_invalid(_enriched(fx), F.col("order_id"))
-        flagged.write.parquet(layout.table("silver", "orders"))
+        write_overwrite(flagged, layout.table("silver", "orders"))
     if "inventory" in topics:
-        _flagged_inventory(fx).write.parquet(layout.table("silver", "inventory"))
+        write_overwrite(_flagged_inventory(fx), layout.table("silver", "inventory"))
     return layout
 
 

@@ -214,3 +214,13 @@ def test_latest_state_folded_twice(spark):
             compact_latest_inventory(spark, layout)
     state = {r.product_id: (r.event_id, r.available_to_promise) for r in read_latest_inventory(spark, layout).collect()}
     assert state == {"A": ("i3", 1), "N0": ("i10", 0), "N1": ("i11", 1), "N2": ("i12", 2), "N3": ("i13", 3)}
+
+
+def test_ledger_finds_touched_buckets_once_a_run(spark, tmp_path):
+    schema = "event_id string, product_id string, store_id string, event_ts timestamp, change_quantity int"
+    day = lambda i, d: (f"e{i}", "A", "s", datetime(2026, 5, d), 1)
+    store = LedgerStore(str(tmp_path))
+    for run, rows in enumerate([[day(0, 1), day(1, 2)], [day(2, 2), day(3, 3)], [day(4, 1)]]):
+        store.append(spark.createDataFrame(rows, schema), run)
+    assert [r.ledger_on_hand for r in store.ledger(spark).orderBy("event_ts", "event_id").collect()] == [1, 2, 3, 4, 5]
+    assert [spark.read.parquet(f"{tmp_path}/touched/run={r}").count() for r in (1, 2)] == [2, 1]

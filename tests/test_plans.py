@@ -115,3 +115,20 @@ def test_json_lines_are_written_compressed_and_bounded(spark, tmp_path, monkeypa
     files = list((tmp_path / "jsonl" / "orders").glob("part-*"))
     assert {f.suffix for f in files} == {".gz"} and len(files) >= 5
     assert out.count() == 200 and out.where("order_total = 9.0 AND order_id IS NOT NULL").count() == 200
+
+
+def test_silver_tables_of_the_models_are_written_compressed(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from lakecart import session
+    from lakecart.plans import registry
+
+    rows = "id AS l_orderkey, id AS l_partkey, id AS l_suppkey, 1 AS l_linenumber, 2.0d AS l_quantity, timestamp'1997-02-03' AS l_shipdate"
+    spark.range(50).selectExpr(*rows.split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(50).selectExpr("id AS p_partkey", "3 AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(session, "run_dir", lambda _spark, name: str(tmp_path / name))
+    layout = registry._silver_tables(spark, str(tmp_path), ["inventory"])
+    files = list((tmp_path / "stream-silver").rglob("*.parquet"))
+    files = [f for f in files if f.is_file()]
+    assert spark.read.parquet(layout.table("silver", "inventory")).count() == 50
+    assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
