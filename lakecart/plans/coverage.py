@@ -50,7 +50,7 @@ COVERAGE: dict[str, tuple[list[str], list[str]]] = {
     "J1": (["lakecart.operators.gold.enrich_orders", "lakecart.operators.joins.join_dimension"], ["enrich_orders"]),
     # aggregations
     "A1": (["lakecart.operators.gold.revenue_daily"], ["revenue_daily", "sql_revenue_daily"]),
-    "A2": (["lakecart.operators.gold.top_products"], ["top_products"]),
+    "A2": (["lakecart.operators.gold.top_products", "lakecart.operators.gold.top_products_of"], ["top_products"]),
     "A3": (["lakecart.operators.gold.revenue_increment", "lakecart.operators.additive.AdditiveRevenueWriter",
             "lakecart.operators.additive.additive_totals"],
            ["revenue_increment", "stream_gold_increment", "additive_revenue_daily", "stream_additive_revenue"]),

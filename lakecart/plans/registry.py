@@ -55,6 +55,10 @@ def _fact(fx) -> DataFrame:
     return gold.orders_fact(_enriched(fx))
 
 
+def _top_products(fx) -> DataFrame:
+    return gold.top_products_of(fx["orders"], fx["catalog"])
+
+
 # ---- sources ---------------------------------------------------------------
 
 @query
@@ -176,7 +180,7 @@ def revenue_daily(spark, sf_dir):
 
 @query
 def top_products(spark, sf_dir):
-    return gold.top_products(_fact(_fx(spark, sf_dir)))
+    return _top_products(_fx(spark, sf_dir))
 
 
 @query

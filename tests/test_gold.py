@@ -1,10 +1,13 @@
 """Goldens from the invented orders and catalog (values worked out by hand)."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import CATALOG_CSV, envelope, sample_order_payloads
 from lakecart.operators import checks, gold, reports, silver
+from lakecart.plans.registry import QUERIES
 from lakecart.sources.catalog import duplicate_keys, load_catalog, read_catalog_csv, typed_catalog
 
 
@@ -83,6 +86,40 @@ def test_top_products_and_reports(fact):
     assert {r.category: r.revenue for r in trend.collect()}["Lamps"] == 184.7
 
 
+def test_top_products_of_orders_counts_before_the_join(spark):
+    orders = spark.createDataFrame(
+        [("o1", "p1", 2, 10.25), ("o1", "p1", 1, 5.0), ("o2", "p1", None, 1.005), (None, "p1", 1, 1.0), ("o3", "twice", 3, 7.5),
+         ("o4", "twice", 1, None), ("o5", "renamed", 4, 2.0), ("o6", "unknown", 5, 3.0), ("o7", None, 6, 4.0), ("o8", None, 1, 1.0),
+         ("o9", "void", None, None)],
+        "order_id string, product_id string, quantity int, order_total double")
+    catalog = spark.createDataFrame(
+        [("p1", "n", "c", "b"), ("twice", "n", None, "b"), ("twice", "n", None, "b"), ("renamed", "x", "c", "b"),
+         ("renamed", "y", "c", "b"), (None, "n", "c", "b"), ("void", "n", "c", "b"), ("unsold", "n", "c", "b")],
+        "product_id string, product_name string, category string, brand string")
+    want = gold.top_products(orders.join(catalog, "product_id", "left"))
+    for most in (None, 100):  # left to the planner, broadcast
+        got = gold.top_products_of(orders, catalog, most)
+        assert got.dtypes == want.dtypes and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert ("twice", "n", None, "b", 8, 15.0, 2) in [tuple(r) for r in want.collect()]
+
+
+@pytest.mark.parametrize("name", ["top_products"])
+def test_leaderboard_queries_shuffle_no_dimension_with_an_order(spark, tmp_path, name):
+    day = datetime(2026, 5, 2)
+    for table, row, schema in (
+            ("lineitem", (1, 7, 3, 1, 2.0, 9.0), "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                                                 "l_quantity double, l_extendedprice double"),
+            ("orders", (1, 5, "F", day, "web"), "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, "
+                                                "o_orderpriority string"),
+            ("part", (7, "n", "t", "b", 3, 4.0), "p_partkey long, p_name string, p_type string, p_brand string, p_size int, "
+                                                 "p_retailprice double")):
+        spark.createDataFrame([row], schema).write.parquet(f"{tmp_path}/{table}.parquet")
+    df = QUERIES[name](spark, str(tmp_path))
+    assert (df.first().product_name, df.first().units_sold, df.first().revenue) == ("n", 2, 9.0)
+    of_orders = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "sum(quantity" in x]
+    assert of_orders and not any(c in x for x in of_orders for c in ("product_name", "category", "brand"))
+
+
 def test_increment_distinct_counts_do_not_add_up(spark):
     # one order with two products, split over two micro-batches
     rows = [("O1", "P1", "2026-05-02 10:00:00", 1, 5.0, "c", "web"), ("O1", "P1", "2026-05-02 11:00:00", 1, 5.0, "c", "web")]
