@@ -201,7 +201,7 @@ def revenue_trend(spark, sf_dir):
 
 @query
 def top_products_table(spark, sf_dir):
-    return reports.top_products_table(gold.top_products(_fact(_fx(spark, sf_dir))))
+    return reports.top_products_table(_top_products(_fx(spark, sf_dir)))
 
 
 def _flagged_inventory(fx) -> DataFrame:
@@ -270,7 +270,7 @@ def data_tests(spark, sf_dir):
     models = {
         "orders_gold": fact,
         "revenue_daily": gold.revenue_daily(fact),
-        "top_products": gold.top_products(fact),
+        "top_products": _top_products(fx),
         "inventory_risk": inventory.inventory_risk_model(fx["inventory"]),
     }
     return checks.run_data_tests(models)

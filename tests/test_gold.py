@@ -103,7 +103,7 @@ def test_top_products_of_orders_counts_before_the_join(spark):
     assert ("twice", "n", None, "b", 8, 15.0, 2) in [tuple(r) for r in want.collect()]
 
 
-@pytest.mark.parametrize("name", ["top_products"])
+@pytest.mark.parametrize("name", ["top_products", "top_products_table"])
 def test_leaderboard_queries_shuffle_no_dimension_with_an_order(spark, tmp_path, name):
     day = datetime(2026, 5, 2)
     for table, row, schema in (
