@@ -522,10 +522,16 @@ def additive_revenue_daily(spark, sf_dir):
     from lakecart.operators.additive import AdditiveRevenueWriter
 
     _base, layout = _stream_base(spark, "additive")
-    writer, enriched = AdditiveRevenueWriter(layout), _enriched(_fx(spark, sf_dir))
+    writer = AdditiveRevenueWriter(layout, hold=False)
+    # all batches from one run of the joins
+    sales = _enriched(_fx(spark, sf_dir)).select("event_ts", "category", "channel", "order_id", "quantity", "order_total",
+                                                 "gross_margin", "store_id").persist()
     batch = F.col("store_id").cast("bigint") % INCREMENT_BATCHES
-    for b in [*range(INCREMENT_BATCHES), REPLAYED_BATCH]:
-        writer(enriched.where(batch == b), b)
+    try:
+        for b in [*range(INCREMENT_BATCHES), REPLAYED_BATCH]:
+            writer(sales.where(batch == b), b)
+    finally:
+        sales.unpersist()
     return writer.totals(spark)
 
 

@@ -79,7 +79,7 @@ class OrderGoldBatchWriter:
 
     def __init__(self, layout: Layout, additive: bool = False):
         self.layout = layout
-        self.additive = AdditiveRevenueWriter(layout) if additive else None
+        self.additive = AdditiveRevenueWriter(layout, hold=False) if additive else None
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         batch = batch_df.persist()

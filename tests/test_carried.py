@@ -84,6 +84,37 @@ def test_bitmaps_are_cut_and_reach_past_one_bucket(spark):
         additive.additive_totals(inc, ["category"])
 
 
+def test_no_bitmap_is_shuffled_before_it_is_cut(spark):
+    sales = spark.createDataFrame(_sales(), ENRICHED).withColumn("order_date", F.to_date("event_ts"))
+    ids = sales.where("order_id is not null").select("order_date", "order_id").distinct()
+    inc = additive.increment(sales, additive.number_ids(ids, None, 4))
+    plan = inc._jdf.queryExecution().executedPlan().toString().splitlines()
+    partial = [i for i, x in enumerate(plan) if "partial_bitmap_construct_agg" in x]
+    assert partial and not any("Exchange" in plan[i - 1] for i in partial)
+    of_rows = [x for x in plan if "Join" in x or "Exchange" in x]
+    assert of_rows and not any("order_total" in x or "quantity" in x for x in of_rows)
+    rows = inc.collect()
+    groups = {(r.order_date, r.category, r.channel) for r in sales.collect()}
+    summed = [r for r in rows if r.bucket is None]
+    assert sorted(map(repr, groups)) == sorted(repr((r.order_date, r.category, r.channel)) for r in summed)
+    assert sum(r.units_sold for r in summed) == sum(r.quantity for r in sales.collect())
+    assert all(r.bits == b"" for r in summed)
+    assert all(r.units_sold is None and r.bits for r in rows if r.bucket is not None)
+
+
+def test_a_writer_computes_a_batch_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    batch = spark.createDataFrame(_sales(60), ENRICHED).withColumn("order_id", counted("order_id"))
+    additive.AdditiveRevenueWriter(Layout.under(str(tmp_path)))(batch, 0)
+    assert seen.value == 60
+
+
 # ---- late rows -------------------------------------------------------------------
 
 def _drain(spark, base, topic, **options):
