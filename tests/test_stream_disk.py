@@ -165,6 +165,22 @@ def test_written_batches_free_their_shuffles_before_gold(spark, catalog, tmp_pat
     assert seen == [(True, 40)]
 
 
+def test_latest_inventory_moves_records(spark, tmp_path, monkeypatch):
+    """And writes the rows that a comparison of whole silver rows gives."""
+    base = {"event_type": "inventory_update", "ingestion_ts": "2026-05-02T12:00:04Z", "product_id": "K1", "sku": "s", "store_id": "a",
+            "on_hand": 3, "available_to_promise": 2, "reorder_point": 5, "change_quantity": -1, "reason": "sale"}
+    events = [base | {"event_id": f"e{i}", "event_ts": f"2026-05-02T12:0{i % 3}:00Z", "store_id": "ab"[i % 2], "on_hand": i} for i in range(8)]
+    events += [base | {"event_id": "e7", "event_ts": "2026-05-02T12:01:00Z", "store_id": "b", "on_hand": None}, "{cut"]
+    valid = silver.valid_rows(silver.silver_frame(envelope(spark, "inventory", events), "inventory", now=NOW))
+    moved, newest = [], topic_streams.newest_rows
+    monkeypatch.setattr(topic_streams, "newest_rows", lambda rows, keys=None: moved.append(rows.columns) or newest(rows, keys))
+    topic_streams.LatestStateBatchWriter(f"{tmp_path}/log", now=NOW)(valid, 3)
+    written = spark.read.parquet(f"{tmp_path}/log")
+    assert "payload" in moved[0] and "on_hand" not in moved[0] and "_dq_errors" not in moved[0]
+    assert written.columns == [*valid.columns, "_batch_id"] and written.count() == 2
+    assert _rows(written.drop("_batch_id")) == _rows(newest(valid))
+
+
 def test_redelivered_reads_the_events_once(spark):
     events = spark.createDataFrame([("7", 1), ("8", 2), (None, 3), ("x", 4), ("14", 5)], "order_id string, n int").where("n <> 4")
     twice = testviews.redelivered(events)
